@@ -161,3 +161,319 @@ GROUP BY 1, 2, 3, 4, 5, 6"""
 @query("refund_items_nested", _NESTED_SQL.replace("{{", "{").replace("}}", "}"))
 def q_refund_items_nested(spark, sf):
     return marts.refund_items_nested(fx.stg_transactions(spark, sf), _items(spark, sf))
+
+
+# ----------------------------------------------------------- single operators
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidewater.functions.casts import rounded_ratio, try_decimal, try_number  # noqa: E402
+from tidewater.operators import clean  # noqa: E402
+from tidewater.operators.latest import keep_latest  # noqa: E402
+from tidewater.plans import analytics as A  # noqa: E402
+
+_UE_SRC_COLS = ", ".join(O.UE_COLS)
+
+
+@query("drop_na", "SELECT * FROM src_user_events WHERE product_id IS NOT NULL AND quantity IS NOT NULL")
+def q_drop_na(spark, sf):
+    return clean.drop_na(fx.stg_user_events(spark, sf, defaults=False), ["product_id", "quantity"])
+
+
+@query("fill_na", "SELECT * REPLACE (COALESCE(payment_method, 'USD') AS payment_method) FROM src_transactions")
+def q_fill_na(spark, sf):
+    return clean.fill_na(fx.stg_transactions(spark, sf, defaults=False), clean.TRANSACTION_FILL)
+
+
+@query("drop_duplicates", """
+SELECT transaction_id, line_item_index, product_id, quantity FROM (
+  SELECT transaction_id, line_item_index, product_id, quantity,
+    ROW_NUMBER() OVER (PARTITION BY transaction_id, line_item_index
+                       ORDER BY product_id ASC NULLS FIRST, quantity ASC NULLS FIRST) AS rn
+  FROM stg_items) WHERE rn = 1""")
+def q_drop_duplicates(spark, sf):
+    src = fx.stg_items(spark, sf).select("transaction_id", "line_item_index", "product_id", "quantity")
+    return clean.drop_duplicates(src, ["transaction_id", "line_item_index"])
+
+
+_TX_EVENT_FLAT = """
+SELECT t.* REPLACE (COALESCE(payment_method, 'USD') AS payment_method),
+  CAST(t.timestamp AS DATE) AS event_date, n.item_count
+FROM src_transactions t
+JOIN (SELECT transaction_id, CAST(COUNT(*) AS INTEGER) AS item_count FROM transaction_items GROUP BY 1) n
+  USING (transaction_id)"""
+
+
+def _flat_tx_events(df):
+    return df.withColumn("item_count", F.size("line_items")).drop("line_items")
+
+
+@query("standardize_transactions", _TX_EVENT_FLAT)
+def q_standardize_transactions(spark, sf):
+    """Typed transaction events (with their item arrays) through the standard
+    cleaning chain; output flattened for comparison."""
+    from tidewater.sources.landing import pack_transaction_events  # typed, before JSON
+    tx = fx.stg_transactions(spark, sf, defaults=False)
+    ev = tx.join(pack_transaction_events(tx, _items(spark, sf))
+                 .select("transaction_id", "line_items"), "transaction_id", "left")
+    out = clean.standardize(ev, clean.TRANSACTION_REQUIRED, clean.TRANSACTION_FILL,
+                            clean.TRANSACTION_KEY)
+    out = out.withColumn("event_date", F.col("timestamp").cast("date"))
+    return _flat_tx_events(out)
+
+
+@query("standardize_user_events", f"SELECT *, CAST(timestamp AS DATE) AS event_date FROM src_user_events")
+def q_standardize_user_events(spark, sf):
+    return clean.standardize_user_events(fx.stg_user_events(spark, sf, defaults=False))
+
+
+@query("coalesce_defaults", "SELECT * FROM stg_user_events")
+def q_coalesce_defaults(spark, sf):
+    src = fx.stg_user_events(spark, sf, defaults=False)
+    return clean.coalesce_defaults(src, {"product_id": "None", "quantity": 0})
+
+
+@query("item_subtotal", """
+SELECT transaction_id, line_item_index, tie1,
+  CAST(CAST(quantity AS DECIMAL(18,0)) * unit_price AS DECIMAL(38,2)) AS item_subtotal
+FROM stg_items""")
+def q_item_subtotal(spark, sf):
+    """quantity (TRY_TO_NUMBER of its text) x unit_price (TRY_TO_NUMBER(.,18,2))."""
+    src = fx.stg_items(spark, sf)
+    q = try_number(F.col("quantity").cast("string"))
+    p = try_decimal(F.col("unit_price").cast("string"))
+    return src.select("transaction_id", "line_item_index", "tie1",
+                      (q * p).cast("decimal(38,2)").alias("item_subtotal"))
+
+
+DYNAMIC_SPEC = {
+    "add": {"net_amount": "CAST(total - tax AS DECIMAL(18,2))"},
+    "cast": {"transaction_date": "string"},
+    "rename": {"total": "amount", "billing_country": "country"},
+    "drop": ["subtotal", "billing_city", "billing_state"],
+}
+
+
+@query("dynamic_columns", """
+SELECT transaction_id, user_id, transaction_ts, CAST(transaction_date AS VARCHAR) AS transaction_date,
+  transaction_type, status, payment_method, tax, total AS amount, billing_country AS country,
+  CAST(total - tax AS DECIMAL(18,2)) AS net_amount
+FROM fact_transactions""")
+def q_dynamic_columns(spark, sf):
+    return clean.dynamic_columns(_fact_tx(spark, sf), DYNAMIC_SPEC)
+
+
+@query("filter_completed", "SELECT * FROM fact_transactions WHERE status = 'completed'")
+def q_filter_completed(spark, sf):
+    return _fact_tx(spark, sf).filter(F.col("status") == "completed")
+
+
+@query("filter_not_null", "SELECT * FROM src_transactions WHERE original_transaction_id IS NOT NULL")
+def q_filter_not_null(spark, sf):
+    return fx.stg_transactions(spark, sf, defaults=False).filter(F.col("original_transaction_id").isNotNull())
+
+
+@query("join_inner", """
+SELECT i.transaction_id, i.line_item_index, i.category, i.item_subtotal, f.transaction_date,
+  f.transaction_type
+FROM transaction_items i JOIN fact_transactions f ON f.transaction_id = i.transaction_id""")
+def q_join_inner(spark, sf):
+    f = _fact_tx(spark, sf).select("transaction_id", "transaction_date", "transaction_type")
+    return _items(spark, sf).select("transaction_id", "line_item_index", "category",
+                                    "item_subtotal").join(f, "transaction_id")
+
+
+@query("join_left_dim", """
+SELECT f.transaction_id, f.user_id, f.total, d.full_name, d.email
+FROM fact_transactions f LEFT JOIN dim_customer d ON f.user_id = d.user_id""")
+def q_join_left_dim(spark, sf):
+    d = _dim_customer(spark, sf).select("user_id", "full_name", "email")
+    return _fact_tx(spark, sf).select("transaction_id", "user_id", "total").join(d, "user_id", "left")
+
+
+@query("join_anti", """
+SELECT e.event_id, e.user_id, e.timestamp FROM fact_user_events e
+WHERE e.event_type = 'add_to_cart' AND NOT EXISTS (
+  SELECT 1 FROM fact_transactions f
+  WHERE f.user_id = e.user_id AND f.status = 'completed' AND f.transaction_type = 'purchase')""")
+def q_join_anti(spark, sf):
+    """Cart events of users who never completed a purchase."""
+    ev = facts.fact_user_events(fx.stg_user_events(spark, sf)).filter(F.col("event_type") == "add_to_cart")
+    buyers = _fact_tx(spark, sf).filter((F.col("status") == "completed")
+                                        & (F.col("transaction_type") == "purchase")).select("user_id")
+    return ev.select("event_id", "user_id", "timestamp").join(buyers, "user_id", "left_anti")
+
+
+@query("agg_count", """
+SELECT transaction_type, status, CAST(COUNT(*) AS BIGINT) AS n FROM fact_transactions GROUP BY 1, 2""")
+def q_agg_count(spark, sf):
+    return _fact_tx(spark, sf).groupBy("transaction_type", "status").agg(F.count("*").alias("n"))
+
+
+@query("agg_count_distinct", """
+SELECT category, CAST(COUNT(DISTINCT transaction_id) AS BIGINT) AS transactions
+FROM transaction_items GROUP BY 1""")
+def q_agg_count_distinct(spark, sf):
+    return _items(spark, sf).groupBy("category").agg(F.count_distinct("transaction_id").alias("transactions"))
+
+
+@query("agg_count_if", """
+SELECT transaction_date,
+  CAST(COUNT_IF(transaction_type = 'purchase') AS BIGINT) AS purchases,
+  CAST(COUNT_IF(transaction_type = 'refund') AS BIGINT) AS refunds,
+  CAST(COUNT_IF(transaction_type = 'chargeback') AS BIGINT) AS chargebacks
+FROM fact_transactions GROUP BY 1""")
+def q_agg_count_if(spark, sf):
+    t = F.col("transaction_type")
+    return _fact_tx(spark, sf).groupBy("transaction_date").agg(
+        F.count_if(t == "purchase").alias("purchases"), F.count_if(t == "refund").alias("refunds"),
+        F.count_if(t == "chargeback").alias("chargebacks"))
+
+
+@query("agg_sum", """
+SELECT billing_country, CAST(SUM(total) AS DECIMAL(38,2)) AS total, CAST(SUM(tax) AS DECIMAL(38,2)) AS tax
+FROM fact_transactions GROUP BY 1""")
+def q_agg_sum(spark, sf):
+    return _fact_tx(spark, sf).groupBy("billing_country").agg(
+        F.sum("total").cast("decimal(38,2)").alias("total"), F.sum("tax").cast("decimal(38,2)").alias("tax"))
+
+
+@query("agg_sum_abs", """
+SELECT transaction_type, CAST(SUM(ABS(total)) AS DECIMAL(38,2)) AS gross FROM fact_transactions GROUP BY 1""")
+def q_agg_sum_abs(spark, sf):
+    return _fact_tx(spark, sf).groupBy("transaction_type").agg(
+        F.sum(F.abs("total")).cast("decimal(38,2)").alias("gross"))
+
+
+@query("agg_safe_ratio", f"""
+SELECT payment_method, CAST(SUM(total) AS DECIMAL(38,2)) AS revenue,
+  CAST(COUNT_IF(transaction_type = 'purchase') AS BIGINT) AS orders,
+  {O.cents_ratio('SUM(total)', "COUNT_IF(transaction_type = 'purchase')")} AS avg_order_value
+FROM fact_transactions WHERE status = 'completed' GROUP BY 1""")
+def q_agg_safe_ratio(spark, sf):
+    g = (_fact_tx(spark, sf).filter(F.col("status") == "completed").groupBy("payment_method")
+         .agg(F.sum("total").cast("decimal(38,2)").alias("revenue"),
+              F.count_if(F.col("transaction_type") == "purchase").alias("orders")))
+    return g.withColumn("avg_order_value", rounded_ratio("revenue", "orders"))
+
+
+@query("agg_bounds", """
+SELECT MIN(transaction_date) AS min_date, MAX(transaction_date) AS max_date,
+  MIN(total) AS min_total, MAX(total) AS max_total FROM fact_transactions""")
+def q_agg_bounds(spark, sf):
+    return _fact_tx(spark, sf).agg(F.min("transaction_date").alias("min_date"),
+                                   F.max("transaction_date").alias("max_date"),
+                                   F.min("total").alias("min_total"), F.max("total").alias("max_total"))
+
+
+@query("agg_nested_items", """
+SELECT tr.transaction_id,
+  COALESCE(string_agg(CAST(it.line_item_index AS VARCHAR) || ':' || it.product_id || ':'
+                      || CAST(it.quantity AS VARCHAR) || ':' || CAST(it.unit_price AS VARCHAR), ';'
+                      ORDER BY it.line_item_index), '') AS items_text,
+  CAST(COUNT(it.transaction_id) AS INTEGER) AS item_count
+FROM stg_transactions tr LEFT JOIN transaction_items it ON it.transaction_id = tr.transaction_id
+WHERE tr.status = 'completed' AND tr.transaction_type IN ('refund', 'chargeback')
+GROUP BY 1""")
+def q_agg_nested_items(spark, sf):
+    """The ordered item array of each refund, rendered as canonical text."""
+    nested = marts.refund_items_nested(fx.stg_transactions(spark, sf), _items(spark, sf))
+    text = F.array_join(F.transform("purchase_items", lambda x: F.concat_ws(
+        ":", x["line_item_index"].cast("string"), x["product_id"], x["quantity"].cast("string"),
+        x["unit_price"].cast("string"))), ";")
+    return nested.select("transaction_id", text.alias("items_text"),
+                         F.size("purchase_items").alias("item_count"))
+
+
+@query("keep_latest", """
+SELECT user_id, event_id, event_type, timestamp FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY timestamp DESC NULLS LAST,
+                               event_id ASC NULLS FIRST, event_type ASC NULLS FIRST) AS rn
+  FROM fact_user_events) WHERE rn = 1""")
+def q_keep_latest(spark, sf):
+    """Each user's latest event."""
+    ev = facts.fact_user_events(fx.stg_user_events(spark, sf)).select(
+        "user_id", "event_id", "event_type", "timestamp")
+    return keep_latest(ev, "user_id", "timestamp")
+
+
+@query("keep_latest_composite", """
+SELECT user_id, session_id, event_id, event_type, timestamp FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, session_id ORDER BY timestamp DESC NULLS LAST,
+                               event_id ASC NULLS FIRST, event_type ASC NULLS FIRST) AS rn
+  FROM fact_user_events) WHERE rn = 1""")
+def q_keep_latest_composite(spark, sf):
+    """Latest event per (user, session)."""
+    ev = facts.fact_user_events(fx.stg_user_events(spark, sf)).select(
+        "user_id", "session_id", "event_id", "event_type", "timestamp")
+    return keep_latest(ev, ["user_id", "session_id"], "timestamp")
+
+
+@query("latest_location", """
+SELECT user_id, event_date, bill_city, bill_country, bill_state FROM (
+  SELECT user_id, CAST(timestamp AS DATE) AS event_date, bill_city, bill_country, bill_state,
+    ROW_NUMBER() OVER (PARTITION BY user_id, CAST(timestamp AS DATE)
+      ORDER BY timestamp DESC NULLS LAST, bill_city DESC NULLS LAST, bill_country DESC NULLS LAST,
+               bill_state DESC NULLS LAST) AS rn
+  FROM stg_transactions WHERE status = 'completed') WHERE rn = 1""")
+def q_latest_location(spark, sf):
+    """Latest billing location per user and day, over all completed transactions."""
+    src = fx.stg_transactions(spark, sf).filter(F.col("status") == "completed")
+    d = F.col("timestamp").cast("date")
+    return keep_latest(src.select("user_id", d.alias("event_date"), "timestamp", "bill_city",
+                                  "bill_country", "bill_state"),
+                       ["user_id", "event_date"], ["timestamp", "bill_city", "bill_country", "bill_state"],
+                       tie_breakers=[]).drop("timestamp")
+
+
+_DAILY = f"""(SELECT transaction_date AS sales_date, CAST(SUM(total) AS DECIMAL(38,2)) AS revenue
+  FROM fact_transactions WHERE status = 'completed' GROUP BY 1)"""
+
+
+@query("running_revenue", f"""
+SELECT sales_date, revenue,
+  CAST(SUM(revenue) OVER (ORDER BY sales_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS DECIMAL(38,2)) AS running_revenue
+FROM {_DAILY}""")
+def q_running_revenue(spark, sf):
+    return A.running_revenue(marts.daily_revenue(_fact_tx(spark, sf)))
+
+
+@query("moving_avg_revenue", f"""
+SELECT sales_date, revenue,
+  {O.cents_ratio('SUM(revenue) OVER w', 'COUNT(revenue) OVER w')} AS moving_avg_revenue
+FROM {_DAILY}
+WINDOW w AS (ORDER BY sales_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def q_moving_avg_revenue(spark, sf):
+    return A.moving_avg_revenue(marts.daily_revenue(_fact_tx(spark, sf)))
+
+
+def _user_sets(spark, sf):
+    cust = fx.stg_customers(spark, sf).select("user_id")
+    buyers = _fact_tx(spark, sf).select("user_id")
+    active = fx.stg_user_events(spark, sf).select("user_id")
+    return cust, buyers, active
+
+
+@query("set_union", """
+SELECT user_id FROM fact_transactions UNION SELECT user_id FROM stg_user_events""")
+def q_set_union(spark, sf):
+    _, buyers, active = _user_sets(spark, sf)
+    return buyers.unionByName(active).distinct()
+
+
+@query("set_intersect", """
+SELECT user_id FROM fact_transactions INTERSECT SELECT user_id FROM stg_user_events""")
+def q_set_intersect(spark, sf):
+    _, buyers, active = _user_sets(spark, sf)
+    return buyers.intersect(active)
+
+
+@query("set_except", """
+SELECT user_id FROM stg_customers
+EXCEPT SELECT user_id FROM fact_transactions WHERE status = 'completed' AND transaction_type = 'purchase'""")
+def q_set_except(spark, sf):
+    """Customers without a completed purchase."""
+    cust, _, _ = _user_sets(spark, sf)
+    buyers = _fact_tx(spark, sf).filter((F.col("status") == "completed")
+                                        & (F.col("transaction_type") == "purchase")).select("user_id")
+    return cust.subtract(buyers)

@@ -74,3 +74,16 @@ def rounded_ratio(amount, count) -> Column:
     signed = F.when(cents < 0, -q).otherwise(q)
     return F.when(n == 0, F.lit(None).cast("decimal(18,2)")).otherwise(
         (signed / 100).cast("decimal(18,2)"))
+
+
+def rounded_quotient(num, den, scale: int = 4) -> Column:
+    """ROUND(num / NULLIF(den, 0), scale) for integer counts, exact, half away
+    from zero, as DECIMAL(18, scale)."""
+    f = 10 ** scale
+    a = _c(num).cast("decimal(38,0)") * f
+    n = _c(den).cast("decimal(38,0)")
+    top = F.abs(a) * 2 + n
+    q = ((top - F.pmod(top, n * 2)) / (n * 2)).cast("decimal(38,0)")
+    signed = F.when(a < 0, -q).otherwise(q)
+    return F.when(n == 0, F.lit(None).cast(f"decimal(18,{scale})")).otherwise(
+        (signed / f).cast(f"decimal(18,{scale})"))

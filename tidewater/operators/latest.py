@@ -25,7 +25,7 @@ def _orderable(df: DataFrame, name: str) -> bool:
 def keep_latest(df: DataFrame, keys, order_by, descending: bool = True,
                 tie_breakers=None) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
     if tie_breakers is None:

@@ -1,0 +1,81 @@
+"""Landing -> cleaned Parquet -> bronze -> silver, as batch steps.
+
+``land_fixtures`` packs the driver-derived sources into landing JSON (one
+folder per topic) under the shared folder; ``clean_topics`` is the ETL job
+(standardize + date-partitioned Parquet); ``bronze``/``silver`` read back.
+Paths are memoised per session and scale so that several query keys reuse
+one landing run instead of writing the same files again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidewater.operators.clean import standardize_transactions, standardize_user_events
+from tidewater.plans import facts
+from tidewater.session import scratch_dir
+from tidewater.sources import fixtures as fx
+from tidewater.sources.bronze import load_bronze
+from tidewater.sources.landing import (pack_customers, pack_products, pack_transaction_events,
+                                       pack_user_events, read_landing_json, write_json_lines)
+from tidewater.sources.schemas import TOPICS
+from tidewater.sources.sinks import write_parquet
+
+_MEMO: dict = {}
+
+EVENT_TOPICS = ("transaction_events", "user_events")
+DIM_TOPICS = ("customers", "products")
+
+
+def _memo_key(spark: SparkSession, sf_dir: str, what: str):
+    return (spark.sparkContext.applicationId, sf_dir, what)
+
+
+def packed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tx = fx.stg_transactions(spark, sf_dir, defaults=False)
+    items = facts.transaction_items(fx.stg_items(spark, sf_dir))
+    return {
+        "transaction_events": pack_transaction_events(tx, items),
+        "user_events": pack_user_events(fx.stg_user_events(spark, sf_dir, defaults=False)),
+        "customers": pack_customers(fx.stg_customers(spark, sf_dir)),
+        "products": pack_products(fx.stg_products(spark, sf_dir)),
+    }
+
+
+def land_fixtures(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+    key = _memo_key(spark, sf_dir, "landing")
+    if key not in _MEMO:
+        root = scratch_dir(spark, "landing")
+        for topic, df in packed_sources(spark, sf_dir).items():
+            write_json_lines(df, f"{root}/{topic}", files)
+        _MEMO[key] = root
+    return _MEMO[key]
+
+
+def clean_topic(spark: SparkSession, landing_root: str, topic: str) -> DataFrame:
+    df = read_landing_json(spark, f"{landing_root}/{topic}", TOPICS[topic])
+    if topic == "transaction_events":
+        return standardize_transactions(df)
+    if topic == "user_events":
+        return standardize_user_events(df)
+    return df
+
+
+def clean_topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The ETL step: each topic cleaned and written on its own, so an empty or
+    failing topic never blocks the other."""
+    key = _memo_key(spark, sf_dir, "cleaned")
+    if key not in _MEMO:
+        landing = land_fixtures(spark, sf_dir)
+        root = scratch_dir(spark, "cleaned")
+        out = {}
+        for topic in EVENT_TOPICS + DIM_TOPICS:
+            df = clean_topic(spark, landing, topic)
+            part = ("event_date",) if topic in EVENT_TOPICS else ()
+            out[topic] = write_parquet(df, f"{root}/{topic}", partition_by=part)
+        _MEMO[key] = out
+    return _MEMO[key]
+
+
+def bronze(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    return load_bronze(spark, clean_topics(spark, sf_dir)[topic])
