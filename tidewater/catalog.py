@@ -477,3 +477,277 @@ def q_set_except(spark, sf):
     buyers = _fact_tx(spark, sf).filter((F.col("status") == "completed")
                                         & (F.col("transaction_type") == "purchase")).select("user_id")
     return cust.subtract(buyers)
+
+
+# --------------------------------------------------------- JSON round trip
+from tidewater.plans import pipeline as P  # noqa: E402
+from tidewater.plans import silver as S  # noqa: E402
+from tidewater.sources.landing import read_landing_json, extract_topics  # noqa: E402
+from tidewater.sources.schemas import TOPICS  # noqa: E402
+
+_ISO = "strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_COUNTS = "(SELECT transaction_id, CAST(COUNT(*) AS INTEGER) AS n FROM transaction_items GROUP BY 1)"
+_DENSE_ITEMS = """(SELECT transaction_id,
+    CAST(ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY line_item_index) - 1 AS INTEGER) AS line_item_index,
+    user_id, timestamp, currency, product_id, product_name, category, brand, quantity, unit_price,
+    CAST(quantity * unit_price AS DECIMAL(18,2)) AS item_subtotal
+  FROM transaction_items)"""
+
+
+def _size0(c):
+    return F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c)).cast("int")
+
+
+@query("read_landing_json", f"""
+SELECT transaction_id, user_id, transaction_type, {_ISO} AS timestamp, status, payment_method, currency,
+  subtotal, tax, total, bill_city, original_transaction_id, CAST(COALESCE(n.n, 0) AS INTEGER) AS item_count
+FROM src_transactions LEFT JOIN {_COUNTS} n USING (transaction_id)""")
+def q_read_landing_json(spark, sf):
+    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf)}/transaction_events",
+                           TOPICS["transaction_events"])
+    return df.select("transaction_id", "user_id", "transaction_type", "timestamp", "status",
+                     "payment_method", "currency", "subtotal", "tax", "total",
+                     F.col("billing_address.city").alias("bill_city"), "original_transaction_id",
+                     _size0("line_items").alias("item_count"))
+
+
+@query("extract_topics", f"""
+SELECT 'transaction_events' AS topic, substr({_ISO}, 1, 10) AS day, COUNT(*) AS n FROM src_transactions GROUP BY 1, 2
+UNION ALL
+SELECT 'user_events' AS topic, substr({_ISO}, 1, 10) AS day, COUNT(*) AS n FROM src_user_events GROUP BY 1, 2""")
+def q_extract_topics(spark, sf):
+    frames = extract_topics(spark, P.land_fixtures(spark, sf))
+    out = None
+    for topic, df in frames.items():
+        g = df.groupBy(F.lit(topic).alias("topic"), F.substring("timestamp", 1, 10).alias("day")) \
+              .agg(F.count("*").alias("n"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@query("strict_load", f"""
+SELECT event_id, user_id, session_id, event_type, {_ISO} AS timestamp, page, device, browser, country,
+  city, product_id, CAST(quantity AS BIGINT) AS quantity
+FROM src_user_events""")
+def q_strict_load(spark, sf):
+    """User events read FAILFAST: any malformed line would fail the load."""
+    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf)}/user_events", TOPICS["user_events"],
+                           strict=True)
+    return df.drop("ip_address", "search_query", "element_id")
+
+
+@query("bronze_transactions", f"""
+SELECT transaction_id, CAST(timestamp AS DATE) AS event_date, n.n AS item_count,
+  TRUE AS row_num_valid, TRUE AS has_source_file
+FROM src_transactions JOIN {_COUNTS} n USING (transaction_id)""")
+def q_bronze_transactions(spark, sf):
+    b = P.bronze(spark, sf, "transaction_events")
+    return b.select(S.vs("$.transaction_id").alias("transaction_id"),
+                    F.try_variant_get("raw", "$.event_date", "date").alias("event_date"),
+                    F.size(F.try_variant_get("raw", "$.line_items", "array<variant>")).cast("int")
+                     .alias("item_count"),
+                    (F.col("row_num") >= 1).alias("row_num_valid"),
+                    F.col("source_file").endswith(".parquet").alias("has_source_file"))
+
+
+@query("bronze_user_events", """
+SELECT event_id, event_type, CAST(timestamp AS DATE) AS event_date, TRUE AS row_num_valid
+FROM src_user_events""")
+def q_bronze_user_events(spark, sf):
+    b = P.bronze(spark, sf, "user_events")
+    return b.select(S.vs("$.event_id").alias("event_id"), S.vs("$.event_type").alias("event_type"),
+                    F.try_variant_get("raw", "$.event_date", "date").alias("event_date"),
+                    (F.col("row_num") >= 1).alias("row_num_valid"))
+
+
+@query("flatten_items", f"""
+SELECT transaction_id, line_item_index, product_id, quantity, unit_price FROM {_DENSE_ITEMS}""")
+def q_flatten_items(spark, sf):
+    """Typed LATERAL un-nest: one row per array element with its 0-based index."""
+    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf)}/transaction_events",
+                           TOPICS["transaction_events"])
+    x = df.select("transaction_id", F.posexplode("line_items").alias("line_item_index", "it"))
+    return x.select("transaction_id", F.col("line_item_index").cast("int").alias("line_item_index"),
+                    "it.product_id", "it.quantity", "it.unit_price")
+
+
+@query("flatten_transactions", """
+SELECT f.transaction_id, f.user_id, f.transaction_ts, f.status, f.payment_method, i.currency,
+  i.line_item_index, i.product_id, i.quantity, i.unit_price, i.item_subtotal AS item_revenue
+FROM transaction_items i JOIN fact_transactions f ON f.transaction_id = i.transaction_id""")
+def q_flatten_transactions(spark, sf):
+    """Item-grain flat transactions: no arrays, no structs."""
+    f = _fact_tx(spark, sf).select("transaction_id", "user_id", "transaction_ts", "status",
+                                   "payment_method")
+    i = _items(spark, sf).select("transaction_id", "currency", "line_item_index", "product_id",
+                                 "quantity", "unit_price", F.col("item_subtotal").alias("item_revenue"))
+    return i.join(f, "transaction_id")
+
+
+@query("silver_transactions", f"""
+SELECT t.* EXCLUDE (processed_at) REPLACE (COALESCE(payment_method, 'USD') AS payment_method)
+FROM stg_transactions t WHERE transaction_id IN (SELECT transaction_id FROM transaction_items)""")
+def q_silver_transactions(spark, sf):
+    return S.silver_transactions(P.bronze(spark, sf, "transaction_events")).drop("processed_at")
+
+
+@query("silver_transaction_items", f"SELECT * FROM {_DENSE_ITEMS}")
+def q_silver_transaction_items(spark, sf):
+    return S.silver_transaction_items(P.bronze(spark, sf, "transaction_events")).drop("processed_at")
+
+
+@query("silver_user_events", "SELECT * EXCLUDE (processed_at) FROM stg_user_events")
+def q_silver_user_events(spark, sf):
+    return S.silver_user_events(P.bronze(spark, sf, "user_events")).drop("processed_at")
+
+
+@query("silver_customers", "SELECT * EXCLUDE (processed_at) FROM stg_customers")
+def q_silver_customers(spark, sf):
+    return S.silver_customers(P.bronze(spark, sf, "customers")).drop("processed_at")
+
+
+@query("silver_products", "SELECT * EXCLUDE (processed_at) FROM stg_products")
+def q_silver_products(spark, sf):
+    return S.silver_products(P.bronze(spark, sf, "products")).drop("processed_at")
+
+
+# ------------------------------------------------------ write and read back
+from tidewater.operators.quality import quality_report  # noqa: E402
+from tidewater.operators.upsert import VersionedTable, merge_upsert  # noqa: E402
+from tidewater.session import scratch_dir  # noqa: E402
+from tidewater.sources import sinks  # noqa: E402
+
+CUTOFF_OLD = "1999-01-01"   # target snapshot: transactions before this day
+CUTOFF_NEW = "1998-01-01"   # batch: transactions from this day on, all completed
+_FACT_COLS = ", ".join(facts.FACT_TRANSACTION_COLS)
+
+
+def _merge_inputs(spark, sf):
+    f = _fact_tx(spark, sf)
+    target = f.filter(F.col("transaction_date") < F.lit(CUTOFF_OLD).cast("date"))
+    batch = (f.filter(F.col("transaction_date") >= F.lit(CUTOFF_NEW).cast("date"))
+             .withColumn("status", F.lit("completed")))
+    return target, batch
+
+
+_MERGED_SQL = f"""
+SELECT * REPLACE (CASE WHEN transaction_date >= DATE '{CUTOFF_NEW}' THEN 'completed' ELSE status END AS status)
+FROM fact_transactions"""
+
+
+@query("merge_upsert", _MERGED_SQL)
+def q_merge_upsert(spark, sf):
+    """Snapshot before 1999 + batch from 1998 on (status now completed): one
+    year updated in place, later years inserted, older rows untouched."""
+    target, batch = _merge_inputs(spark, sf)
+    return merge_upsert(target, batch, "transaction_id", update_cols=["status", "total"])
+
+
+@query("replay_idempotent", _MERGED_SQL)
+def q_replay_idempotent(spark, sf):
+    """The same batch merged twice, through written versions: no change."""
+    target, batch = _merge_inputs(spark, sf)
+    t = VersionedTable(spark, scratch_dir(spark, "replay"))
+    t.commit(target, 0)
+    t.upsert(batch, 1, "transaction_id")
+    t.upsert(batch, 2, "transaction_id")
+    return t.current()
+
+
+@query("write_parquet_roundtrip", "SELECT * FROM fact_transactions")
+def q_write_parquet_roundtrip(spark, sf):
+    path = scratch_dir(spark, "fact_parquet")
+    sinks.write_parquet(_fact_tx(spark, sf), path, partition_by=("transaction_date",))
+    return spark.read.parquet(path)
+
+
+_DAILY_REVENUE_SQL = ORACLE["daily_revenue"]
+
+
+@query("csv_roundtrip", _DAILY_REVENUE_SQL[_DAILY_REVENUE_SQL.index("SELECT transaction_date"):])
+def q_csv_roundtrip(spark, sf):
+    df = marts.daily_revenue(_fact_tx(spark, sf))
+    path = scratch_dir(spark, "daily_revenue_csv")
+    sinks.write_csv(df, path)
+    return spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+@query("publish_staging", f"""
+SELECT *, CASE WHEN transaction_date < DATE '{CUTOFF_NEW}' THEN 1 ELSE 2 END AS batch FROM fact_transactions""")
+def q_publish_staging(spark, sf):
+    """Two loads appended under staging/<dataset>/batch=<id>; read back whole."""
+    f = _fact_tx(spark, sf)
+    root = scratch_dir(spark, "staging")
+    cut = F.lit(CUTOFF_NEW).cast("date")
+    sinks.publish_staging(f.filter(F.col("transaction_date") < cut), root, "fact_transactions", "1")
+    sinks.publish_staging(f.filter(F.col("transaction_date") >= cut), root, "fact_transactions", "2")
+    return spark.read.parquet(f"{root}/fact_transactions")
+
+
+BUCKETS = 16
+
+
+@query("bucketed_join", ORACLE["join_inner"][ORACLE["join_inner"].index("SELECT i.transaction_id"):])
+def q_bucketed_join(spark, sf):
+    """Items and transactions stored bucketed by transaction_id: the join reads
+    matching buckets side by side, with no shuffle."""
+    import uuid
+    tag = uuid.uuid4().hex[:8]
+    root = scratch_dir(spark, "bucketed")
+    f = _fact_tx(spark, sf).select("transaction_id", "transaction_date", "transaction_type")
+    i = _items(spark, sf).select("transaction_id", "line_item_index", "category", "item_subtotal")
+    tf = sinks.write_bucketed(f, spark, f"tw_fact_{tag}", f"{root}/fact", "transaction_id", BUCKETS)
+    ti = sinks.write_bucketed(i, spark, f"tw_items_{tag}", f"{root}/items", "transaction_id", BUCKETS)
+    return spark.table(ti).join(spark.table(tf), "transaction_id")
+
+
+BACKFILL_FROM, BACKFILL_TO = "1998-01-01", "2001-12-31"
+
+
+@query("backfill_range", _DAILY_REVENUE_SQL[_DAILY_REVENUE_SQL.index("SELECT transaction_date"):])
+def q_backfill_range(spark, sf):
+    """Mart built for the older history, then the range [from, to] recomputed
+    from a partition-pruned read and written by dynamic partition overwrite."""
+    fact_path = scratch_dir(spark, "fact_by_date")
+    sinks.write_parquet(_fact_tx(spark, sf), fact_path, partition_by=("transaction_date",))
+    fact = spark.read.parquet(fact_path)
+    mart = scratch_dir(spark, "daily_revenue_mart")
+    lo, hi = F.lit(BACKFILL_FROM).cast("date"), F.lit(BACKFILL_TO).cast("date")
+    first = marts.daily_revenue(fact.filter(F.col("transaction_date") < lo))
+    sinks.write_parquet(first, mart, partition_by=("sales_date",))
+    again = marts.daily_revenue(fact.filter(F.col("transaction_date").between(lo, hi)))
+    sinks.write_parquet(again, mart, partition_by=("sales_date",))
+    return spark.read.parquet(mart)
+
+
+_QUALITY_TABLES = [("fact_transactions", ["transaction_id"]),
+                   ("transaction_items", ["transaction_id", "line_item_index"]),
+                   ("fact_user_events", ["event_id"]),
+                   ("dim_customer", ["user_id"]),
+                   ("dim_product", ["product_id"])]
+
+
+def _quality_sql():
+    parts = []
+    for t, ks in _QUALITY_TABLES:
+        kl = ", ".join(ks)
+        nulls = " OR ".join(f"{k} IS NULL" for k in ks)
+        parts.append(f"""SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS row_count,
+  (SELECT COUNT(*) FROM {t} WHERE {nulls}) AS null_keys,
+  (SELECT COUNT(*) FROM (SELECT {kl} FROM {t} GROUP BY {kl} HAVING COUNT(*) > 1)) AS duplicate_keys,
+  (SELECT COUNT(*) FROM {t}) > 0
+    AND (SELECT COUNT(*) FROM {t} WHERE {nulls}) = 0
+    AND (SELECT COUNT(*) FROM (SELECT {kl} FROM {t} GROUP BY {kl} HAVING COUNT(*) > 1)) = 0 AS passed""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("validate_outputs", _quality_sql())
+def q_validate_outputs(spark, sf):
+    tables = {
+        "fact_transactions": _fact_tx(spark, sf),
+        "transaction_items": _items(spark, sf),
+        "fact_user_events": facts.fact_user_events(fx.stg_user_events(spark, sf)),
+        "dim_customer": _dim_customer(spark, sf),
+        "dim_product": dims.dim_product(fx.stg_products(spark, sf)),
+    }
+    return quality_report({t: (tables[t], ks) for t, ks in _QUALITY_TABLES})
