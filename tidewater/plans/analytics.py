@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.casts import rounded_quotient, rounded_ratio
 from tidewater.operators.joins import broadcast_if_small
+from tidewater.operators.ranking import rank_desc
 
 SUM_TYPE = "decimal(38,2)"
 
@@ -63,9 +64,9 @@ def customer_monthly_spend(fact_tx: DataFrame, dim_customer: DataFrame) -> DataF
 
 
 def customer_ranked(monthly_spend: DataFrame) -> DataFrame:
-    """Rank of each customer by spend within the month (ties share a rank)."""
-    w = Window.partitionBy("month").orderBy(F.col("spend").desc())
-    return monthly_spend.select("month", "user_id", "spend", F.rank().over(w).alias("spend_rank"))
+    """Rank of each customer by spend within the month (ties share a rank),
+    computed without a month-wide window (see ``operators.ranking``)."""
+    return rank_desc(monthly_spend.select("month", "user_id", "spend"), "month", "spend", "spend_rank")
 
 
 def running_revenue(daily: DataFrame) -> DataFrame:
