@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.joins import broadcast_if_small
-from tidewater.sources.tables import table
+from tidewater.sources.tables import memo_plan, table
 
 # fixed values of the reshaping rules
 FIXED_PROCESSED_AT = "2024-02-01 00:00:00"
@@ -25,6 +25,7 @@ REFUND_PRIORITY = "1-URGENT"
 CHARGEBACK_PRIORITY = "2-HIGH"
 
 
+@memo_plan
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation + region: a fixed-size 25-row lookup (broadcast is size-checked)."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -33,6 +34,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("n_nationkey", "n_name", "r_name")
 
 
+@memo_plan
 def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     g = broadcast_if_small(_geo(spark, sf_dir).select("n_nationkey", "n_name"))
@@ -53,6 +55,7 @@ def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+@memo_plan
 def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
@@ -72,6 +75,7 @@ def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_plan
 def stg_transactions(spark: SparkSession, sf_dir: str, defaults: bool = True) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -113,6 +117,7 @@ def stg_transactions(spark: SparkSession, sf_dir: str, defaults: bool = True) ->
     )
 
 
+@memo_plan
 def stg_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their transaction's user and time.
 
@@ -147,6 +152,7 @@ def stg_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_plan
 def stg_user_events(spark: SparkSession, sf_dir: str, defaults: bool = True) -> DataFrame:
     e = table(spark, sf_dir, "events")
     k = F.col("event_id")

@@ -20,30 +20,33 @@ def read_landing_json(spark: SparkSession, path: str, schema, strict: bool = Fal
                       keep_corrupt: bool = False) -> DataFrame:
     """Read JSON lines with a fixed schema.
 
-    PERMISSIVE (default): a malformed line keeps its text in
-    ``_corrupt_record`` (see ``quarantine``).  ``strict=True`` is FAILFAST: the
-    first bad record fails the load, as the warehouse's abort-on-error does.
-    A missing folder is an empty frame, not an error.
+    Default DROPMALFORMED: malformed lines are skipped here and collected by
+    ``quarantine``.  ``keep_corrupt=True`` is PERMISSIVE with the raw text in
+    ``_corrupt_record``.  ``strict=True`` is FAILFAST: the first bad record
+    fails the load, as the warehouse's abort-on-error does.  A missing folder
+    is an empty frame, not an error.
     """
-    sch = schema if strict else with_corrupt(schema)
-    reader = spark.read.schema(sch).option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    if not strict:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.read
+    if keep_corrupt:
+        reader = reader.schema(with_corrupt(schema)).option("mode", "PERMISSIVE") \
+            .option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        reader = reader.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
     try:
-        df = reader.json(path)
+        return reader.json(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
-    if strict or keep_corrupt:
-        return df
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def quarantine(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The malformed lines of a landing folder, for a dead-letter table."""
-    df = read_landing_json(spark, path, schema, keep_corrupt=True)
-    return df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, F.col("_metadata.file_path").alias("source_file"))
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The malformed lines of a landing folder, for a dead-letter table: lines
+    that do not parse as JSON, with their file.  Read as text, so it prunes and
+    scales like any scan (no cache of the parsed data is needed)."""
+    lines = spark.read.text(path)
+    bad = lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull())
+    return bad.select(F.col("value").alias(CORRUPT), F.col("_metadata.file_path").alias("source_file"))
 
 
 def extract_topics(spark: SparkSession, landing_root: str, topics=None) -> dict[str, DataFrame]:

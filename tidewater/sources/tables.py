@@ -8,5 +8,25 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
+_PLANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table; the (lazy) DataFrame is reused within one session, which
+    saves the footer read and plan analysis, never any data."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _PLANS:
+        _PLANS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _PLANS[key]
+
+
+def memo_plan(fn):
+    """Reuse the lazy DataFrame a builder returns for the same session and args."""
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
+        key = (fn.__module__, fn.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+               args, tuple(sorted(kw.items())))
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir, *args, **kw)
+        return _PLANS[key]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
