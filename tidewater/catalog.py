@@ -890,7 +890,7 @@ def q_archive_processed(spark, sf):
                      _size0("line_items").alias("item_count"))
 
 
-STREAM_CLEANED_FILES_PER_TRIGGER = 2000
+STREAM_CLEANED_FILES_PER_TRIGGER = 2500
 _STREAM_MEMO: dict = {}
 
 
@@ -909,7 +909,7 @@ def _stream_silver(spark, sf):
 def q_stream_silver(spark, sf):
     """Bronze stream -> silver transactions and items from the same micro-batch."""
     sink, _ = _stream_silver(spark, sf)
-    return sink.tx.current().drop("processed_at")
+    return sink.tx.current().drop("processed_at", "event_date")
 
 
 @query("stream_silver_events", BODY["silver_user_events"])
@@ -917,7 +917,7 @@ def q_stream_silver_events(spark, sf):
     cleaned = P.clean_topics(spark, sf)["user_events"]
     root = scratch_dir(spark, "silver_events_stream")
     table = J.stream_silver_events(spark, cleaned, root, f"{root}/_ckpt")
-    return table.current().drop("processed_at")
+    return table.current().drop("processed_at", "event_date")
 
 
 @query("change_feed", """
@@ -928,4 +928,4 @@ def q_change_feed(spark, sf):
     sink, root = _stream_silver(spark, sf)
     schema = spark.read.parquet(sink.changes).schema
     table = J.change_feed_to_fact(spark, sink.changes, schema, root, f"{root}/_ckpt/fact")
-    return table.current()
+    return table.current().drop("event_date")

@@ -132,3 +132,71 @@ class VersionedTable:
         cur = self.current(before=n)
         new = source if cur is None else merge_upsert(cur, source, keys, **kw)
         return self.commit(new, n)
+
+
+class PartitionedTable:
+    """A keyed table stored as Parquet partitioned by a date-like column.
+
+    ``upsert`` rewrites only the partitions the batch touches: the current rows
+    of those partitions are read (runtime partition pruning through a semi
+    join), merged with the batch, materialised with ``checkpoint()`` in the
+    cluster's checkpoint folder (the write must not read the path it
+    overwrites) and written back with dynamic partition overwrite.  Replaying a
+    batch gives the same partitions again.
+
+    Assumes a key never changes partition.  With ``check_moves`` the batch
+    keys are looked up in the *other* partitions first (key column only); if
+    any is found, the whole table is merged instead, so no stale copy stays.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_col: str, schema=None):
+        self.spark, self.root, self.part, self.schema = spark, root.rstrip("/"), partition_col, schema
+
+    def exists(self) -> bool:
+        """True once a first write has committed a partition folder."""
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return False
+        return any(st.isDirectory() and st.getPath().getName().startswith(f"{self.part}=")
+                   for st in fs.listStatus(p))
+
+    def current(self) -> DataFrame | None:
+        if self.exists():
+            return self.spark.read.parquet(self.root)
+        return None if self.schema is None else self.spark.createDataFrame([], self.schema)
+
+    def _writers(self, touched: DataFrame) -> int:
+        """Writer tasks for one batch: the shuffle parallelism, but no more than
+        two per touched partition, so a batch of one day stays a few files."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(1, min(n, 2 * touched.count()))
+
+    def _write(self, df: DataFrame, files: int | None = None) -> None:
+        from tidewater.sources.sinks import cluster_by_partition
+        (cluster_by_partition(df, [self.part], files).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.part).parquet(self.root))
+
+    def upsert(self, source: DataFrame, keys, check_moves: bool = True, **kw) -> None:
+        from tidewater.session import shared_dir
+        shared_dir(self.spark)  # make sure the checkpoint folder is set
+        keys = [keys] if isinstance(keys, str) else list(keys)
+        cur = self.current()
+        if cur is None:
+            self._write(source, self._writers(source.select(self.part).distinct()))
+            return
+        source = source.select(*[c for c in cur.columns if c in source.columns])
+        touched = source.select(self.part).distinct()
+        full = False
+        if check_moves:
+            others = cur.join(touched, self.part, "left_anti").select(*keys)
+            full = not others.join(source.select(*keys), keys, "left_semi").isEmpty()
+        base = cur if full else cur.join(touched, self.part, "left_semi")
+        merged = merge_upsert(base, source, keys, **kw).checkpoint(eager=True)
+        if full:
+            from tidewater.sources.sinks import cluster_by_partition
+            cluster_by_partition(merged, [self.part]).write.mode("overwrite") \
+                .partitionBy(self.part).parquet(self.root)
+        else:
+            self._write(merged, self._writers(touched))

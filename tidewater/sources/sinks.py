@@ -22,9 +22,7 @@ def write_parquet(df: DataFrame, path: str, partition_by=("event_date",), mode:
     """
     cols = [c for c in (partition_by or []) if c in df.columns]
     if cols:
-        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        df = df.repartitionByRange(n, *[F.col(c) for c in cols], spread)
+        df = cluster_by_partition(df, cols, files)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if cols:
         w = w.partitionBy(*cols)
@@ -32,6 +30,15 @@ def write_parquet(df: DataFrame, path: str, partition_by=("event_date",), mode:
     return path
 
 
+def cluster_by_partition(df: DataFrame, cols, files: int | None = None) -> DataFrame:
+    """Range-partition on (partition columns, row hash) before a partitioned
+    write: ``files`` writer tasks (default: the configured shuffle
+    parallelism), each covering a contiguous run of partition values."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartitionByRange(n, *[F.col(c) for c in cols], spread)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", True).csv(path)
     return path

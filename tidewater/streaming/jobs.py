@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.latest import keep_latest
-from tidewater.operators.upsert import VersionedTable
+from tidewater.operators.upsert import PartitionedTable, VersionedTable
 from tidewater.plans import facts
 from tidewater.plans import silver as S
 from tidewater.sources.bronze import stream_bronze
@@ -52,14 +52,15 @@ class SilverTransactionsSink:
     """foreachBatch target: both silver tables from the *same* micro-batch.
 
     The bronze batch is persisted once and feeds the transaction upsert and
-    the item upsert, then released; each batch also appends its upserted rows
-    to a change log that downstream consumers stream with their own
-    checkpoints.
+    the item upsert, then released.  Both tables are partitioned by event
+    date, so a batch rewrites only the days it carries.  Each batch also
+    appends its upserted rows to a change log that downstream consumers
+    stream with their own checkpoints.
     """
 
     def __init__(self, spark: SparkSession, root: str, as_of=None):
-        self.tx = VersionedTable(spark, f"{root}/stg_transactions")
-        self.items = VersionedTable(spark, f"{root}/stg_transaction_items")
+        self.tx = PartitionedTable(spark, f"{root}/stg_transactions", "event_date")
+        self.items = PartitionedTable(spark, f"{root}/stg_transaction_items", "event_date")
         self.changes = f"{root}/_changes/stg_transactions"
         self.as_of = as_of
 
@@ -69,22 +70,31 @@ class SilverTransactionsSink:
             stx = keep_latest(S.silver_transactions(b, self.as_of), "transaction_id", "processed_at")
             sit = keep_latest(S.silver_transaction_items(b, self.as_of),
                               ["transaction_id", "line_item_index"], "processed_at")
-            self.tx.upsert(stx, batch_id, "transaction_id")
-            self.items.upsert(sit, batch_id, ["transaction_id", "line_item_index"])
+            self.tx.upsert(with_event_date(stx), "transaction_id")
+            self.items.upsert(with_event_date(sit), ["transaction_id", "line_item_index"])
             stx.write.mode("overwrite").parquet(f"{self.changes}/batch={batch_id:012d}")
         finally:
             b.unpersist()
 
 
+def with_event_date(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_date", F.col("timestamp").cast("date"))
+
+
 class KeyedSink:
-    """foreachBatch target: one keyed silver/gold table."""
+    """foreachBatch target: one keyed table (versioned or date-partitioned)."""
 
-    def __init__(self, table: VersionedTable, build, keys, order: str = "processed_at"):
+    def __init__(self, table, build, keys, order: str = "processed_at", date_col: str | None = None):
         self.table, self.build, self.keys, self.order = table, build, keys, order
+        self.date_col = date_col
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = keep_latest(self.build(batch), self.keys, self.order)
-        self.table.upsert(rows, batch_id, self.keys)
+        if isinstance(self.table, PartitionedTable):
+            rows = rows.withColumn("event_date", F.col(self.date_col).cast("date"))
+            self.table.upsert(rows, self.keys)
+        else:
+            self.table.upsert(rows, batch_id, self.keys)
 
 
 def stream_silver(spark: SparkSession, cleaned_dir: str, root: str, checkpoint: str,
@@ -104,8 +114,8 @@ def stream_silver(spark: SparkSession, cleaned_dir: str, root: str, checkpoint:
 def stream_silver_events(spark: SparkSession, cleaned_dir: str, root: str, checkpoint: str,
                          as_of=None, available_now: bool = True) -> VersionedTable:
     src = stream_bronze(spark, cleaned_dir, _cleaned_schema(spark, cleaned_dir))
-    table = VersionedTable(spark, f"{root}/stg_user_events")
-    sink = KeyedSink(table, lambda b: S.silver_user_events(b, as_of), ["event_id"])
+    table = PartitionedTable(spark, f"{root}/stg_user_events", "event_date")
+    sink = KeyedSink(table, lambda b: S.silver_user_events(b, as_of), ["event_id"], date_col="timestamp")
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     _run(w, available_now)
     return table
@@ -116,8 +126,9 @@ def change_feed_to_fact(spark: SparkSession, changes_dir: str, schema, root: str
     """A downstream consumer of the silver change log, with its own checkpoint:
     each batch of changed transactions is folded into ``fact_transactions``."""
     src = spark.readStream.schema(schema).parquet(changes_dir)
-    table = VersionedTable(spark, f"{root}/fact_transactions")
-    sink = KeyedSink(table, facts.fact_transactions, ["transaction_id"], order="transaction_ts")
+    table = PartitionedTable(spark, f"{root}/fact_transactions", "event_date")
+    sink = KeyedSink(table, facts.fact_transactions, ["transaction_id"], order="transaction_ts",
+                     date_col="transaction_date")
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     _run(w, available_now)
     return table
