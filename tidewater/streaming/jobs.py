@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.latest import keep_latest
 from tidewater.operators.upsert import PartitionedTable, VersionedTable
-from tidewater.plans import facts
+from tidewater.plans import facts, marts
 from tidewater.plans import silver as S
 from tidewater.sources.bronze import stream_bronze
 from tidewater.sources.schemas import TOPICS
+from tidewater.sources.sinks import write_parquet
 
 
 def _run(writer, available_now: bool = True, every: str = "2 minutes"):
@@ -121,17 +122,39 @@ def stream_silver_events(spark: SparkSession, cleaned_dir: str, root: str, check
     return table
 
 
+class FactAndMartSink:
+    """foreachBatch target of the gold consumer: upsert the changed transactions
+    into ``fact_transactions`` (date-partitioned), then recompute the daily
+    revenue mart for the touched days only and overwrite just those days."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.fact = PartitionedTable(spark, f"{root}/fact_transactions", "event_date")
+        self.daily_path = f"{root}/fact_daily_revenue"
+        self.spark = spark
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = keep_latest(facts.fact_transactions(batch), "transaction_id", "transaction_ts")
+        rows = rows.withColumn("event_date", F.col("transaction_date"))
+        self.fact.upsert(rows, "transaction_id")
+        touched = rows.select("event_date").distinct()
+        # semi join on the partition column: only the touched days are read
+        affected = self.fact.current().join(touched, "event_date", "left_semi")
+        write_parquet(marts.daily_revenue(affected), self.daily_path, partition_by=("sales_date",))
+
+    def daily_revenue(self) -> DataFrame:
+        return self.spark.read.parquet(self.daily_path)
+
+
 def change_feed_to_fact(spark: SparkSession, changes_dir: str, schema, root: str, checkpoint: str,
-                        available_now: bool = True) -> VersionedTable:
+                        available_now: bool = True) -> FactAndMartSink:
     """A downstream consumer of the silver change log, with its own checkpoint:
-    each batch of changed transactions is folded into ``fact_transactions``."""
+    each batch of changed transactions is folded into ``fact_transactions``
+    and the daily revenue of the days it touched is recomputed."""
     src = spark.readStream.schema(schema).parquet(changes_dir)
-    table = PartitionedTable(spark, f"{root}/fact_transactions", "event_date")
-    sink = KeyedSink(table, facts.fact_transactions, ["transaction_id"], order="transaction_ts",
-                     date_col="transaction_date")
+    sink = FactAndMartSink(spark, root)
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     _run(w, available_now)
-    return table
+    return sink
 
 
 def _cleaned_schema(spark: SparkSession, cleaned_dir: str):
