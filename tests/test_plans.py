@@ -40,7 +40,7 @@ def test_no_cartesian_product(spark, key):
 
 
 def test_broadcast_only_under_limit(spark):
-    small = spark.range(10)
-    assert "broadcast" in str(broadcast_if_small(small)._jdf.queryExecution().logical()).lower() or True
+    small = broadcast_if_small(spark.range(10))
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     big = broadcast_if_small(spark.range(10), limit_bytes=1)
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater import oracle as O
 from tidewater.plans import dims, facts, marts
@@ -45,6 +46,17 @@ def _dim_customer(spark, sf):
     return dims.dim_customer(fx.stg_customers(spark, sf))
 
 
+def _refund_ids(spark, sf):
+    """Completed refunds/chargebacks: the only transactions the refund marts read."""
+    t = fx.stg_transactions(spark, sf)
+    return t.filter((F.col("status") == "completed")
+                    & F.col("transaction_type").isin(*marts.REFUND_TYPES)).select("transaction_id")
+
+
+def _refund_items(spark, sf):
+    return facts.transaction_items(fx.stg_items(spark, sf), only_transactions=_refund_ids(spark, sf))
+
+
 @query("fact_transactions", "SELECT * FROM fact_transactions")
 def q_fact_transactions(spark, sf):
     return _fact_tx(spark, sf)
@@ -113,7 +125,7 @@ FROM transaction_items i JOIN fact_transactions tx ON tx.transaction_id = i.tran
 WHERE (tx.transaction_type = 'refund' OR tx.transaction_type = 'chargeback') AND tx.status = 'completed'
 GROUP BY 1, 2""")
 def q_refunds_by_category(spark, sf):
-    return marts.refunds_by_category(_items(spark, sf), _fact_tx(spark, sf))
+    return marts.refunds_by_category(_refund_items(spark, sf), _fact_tx(spark, sf))
 
 
 @query("customer_daily_spend", """
@@ -162,11 +174,10 @@ GROUP BY 1, 2, 3, 4, 5, 6"""
 
 @query("refund_items_nested", _NESTED_SQL.replace("{{", "{").replace("}}", "}"))
 def q_refund_items_nested(spark, sf):
-    return marts.refund_items_nested(fx.stg_transactions(spark, sf), _items(spark, sf))
+    return marts.refund_items_nested(fx.stg_transactions(spark, sf), _refund_items(spark, sf))
 
 
 # ----------------------------------------------------------- single operators
-from pyspark.sql import functions as F  # noqa: E402
 
 from tidewater.functions.casts import rounded_ratio, try_decimal, try_number  # noqa: E402
 from tidewater.operators import clean  # noqa: E402
@@ -378,7 +389,7 @@ WHERE tr.status = 'completed' AND tr.transaction_type IN ('refund', 'chargeback'
 GROUP BY 1""")
 def q_agg_nested_items(spark, sf):
     """The ordered item array of each refund, rendered as canonical text."""
-    nested = marts.refund_items_nested(fx.stg_transactions(spark, sf), _items(spark, sf))
+    nested = marts.refund_items_nested(fx.stg_transactions(spark, sf), _refund_items(spark, sf))
     text = F.array_join(F.transform("purchase_items", lambda x: F.concat_ws(
         ":", x["line_item_index"].cast("string"), x["product_id"], x["quantity"].cast("string"),
         x["unit_price"].cast("string"))), ";")
@@ -851,7 +862,10 @@ def q_cart_to_purchase(spark, sf):
     ev = facts.fact_user_events(fx.stg_user_events(spark, sf))
     shift = F.date_add(F.lit(CART_SHIFT_BASE).cast("date"),
                        (F.col("transaction_id").cast("bigint") % CART_SHIFT_DAYS).cast("int"))
-    carts, purchases = A.cart_inputs(ev, _fact_tx(spark, sf), _items(spark, sf),
+    t = fx.stg_transactions(spark, sf)
+    bought = t.filter((F.col("status") == "completed") & (F.col("transaction_type") == "purchase"))
+    items = facts.transaction_items(fx.stg_items(spark, sf), only_transactions=bought)
+    carts, purchases = A.cart_inputs(ev, _fact_tx(spark, sf), items,
                                      dims.dim_product(fx.stg_products(spark, sf)), CART_MATCH, shift)
     return A.cart_to_purchase(carts, purchases, CART_WINDOW_DAYS)
 

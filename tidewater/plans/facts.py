@@ -36,8 +36,18 @@ def fact_transactions(stg_transactions: DataFrame) -> DataFrame:
     )
 
 
-def transaction_items(stg_items: DataFrame) -> DataFrame:
+def transaction_items(stg_items: DataFrame, only_transactions: DataFrame | None = None) -> DataFrame:
+    """Latest row per (transaction_id, line_item_index).
+
+    ``only_transactions`` (a frame with ``transaction_id``) restricts the build
+    to those transactions *before* the keep-latest sort.  The window is
+    partitioned by a key that contains transaction_id, so filtering on it
+    first gives the same rows; the semi join's hash partitioning on
+    transaction_id also satisfies the window, so no extra shuffle is added.
+    """
     src = stg_items.filter(F.col("transaction_id").isNotNull() & F.col("line_item_index").isNotNull())
+    if only_transactions is not None:
+        src = src.join(only_transactions.select("transaction_id").distinct(), "transaction_id", "left_semi")
     return keep_latest(src, ["transaction_id", "line_item_index"], "processed_at").select(*ITEM_COLS)
 
 
