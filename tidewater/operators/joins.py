@@ -20,9 +20,11 @@ DEFAULT_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (None when it cannot be read)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # noqa: BLE001 - not available (e.g. Spark Connect)
         return None
+    # Py4J hands a Scala BigInt over as a Python int; keep a fallback for a proxy
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:

@@ -34,11 +34,9 @@ def with_parallelism_floor(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame
     splits = df.rdd.getNumPartitions()
     if splits >= cores:
         return df
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate: leave the scan as it is
-        return df
-    if size < min_bytes:
+    from tidewater.operators.joins import estimated_bytes
+    size = estimated_bytes(df)
+    if size is None or size < min_bytes:
         return df
     return df.repartition(cores)
 
