@@ -42,7 +42,7 @@ def packed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def land_fixtures(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+def land_fixtures(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
     key = _memo_key(spark, sf_dir, "landing")
     if key not in _MEMO:
         root = scratch_dir(spark, "landing")
@@ -78,4 +78,12 @@ def clean_topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def bronze(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    return load_bronze(spark, clean_topics(spark, sf_dir)[topic])
+    """The bronze table of a topic: cleaned rows loaded once as VARIANT with
+    their file and row number, written as a table (unpartitioned, like the
+    load target it stands for) and read back by every silver build."""
+    key = _memo_key(spark, sf_dir, f"bronze/{topic}")
+    if key not in _MEMO:
+        path = scratch_dir(spark, f"bronze-{topic}")
+        load_bronze(spark, clean_topics(spark, sf_dir)[topic]).write.mode("overwrite").parquet(path)
+        _MEMO[key] = path
+    return spark.read.parquet(_MEMO[key])
