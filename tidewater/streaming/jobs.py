@@ -33,11 +33,13 @@ def _run(writer, available_now: bool = True, every: str = "2 minutes"):
 
 def ingest_landing(spark: SparkSession, landing_dir: str, topic: str, out_dir: str, checkpoint: str,
                    max_files: int | None = None, archive_dir: str | None = None,
-                   available_now: bool = True):
+                   available_now: bool = True, every: str = "5 seconds"):
     """Topic folder -> typed Parquet, each file once (checkpointed).
 
     ``max_files`` bounds one micro-batch (the poll window of the source);
     ``archive_dir`` moves consumed files there (``cleanSource=archive``).
+    ``available_now=False`` keeps polling every ``every`` and returns the
+    running query (the continuous consumer).
     """
     r = spark.readStream.schema(TOPICS[topic])
     if max_files:
@@ -46,7 +48,7 @@ def ingest_landing(spark: SparkSession, landing_dir: str, topic: str, out_dir: s
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     src = r.json(landing_dir)
     w = src.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
-    return _run(w, available_now)
+    return _run(w, available_now, every)
 
 
 class SilverTransactionsSink:
