@@ -56,19 +56,26 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, CORE_CONF[k])
 
 
+_LOCAL_DIRS: dict = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a shared file system and is
-    used as is.  Only where it is unset (local tests) a fresh folder is made.
+    used as is.  Only where it is unset (local tests) a fresh folder is made;
+    it becomes the context's checkpoint folder (the conf itself cannot be
+    changed at run time) and is reused for the rest of the application.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        d = _LOCAL_DIRS.get(sc.applicationId)
+        if d is None:
+            d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+            _LOCAL_DIRS[sc.applicationId] = d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
