@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import neardup
+from tidewater.llm import decontam, neardup, packing
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -33,3 +35,17 @@ def query(key: str, sql: str | None = None):
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-word shingles, Jaccard 0.85; no SQL: all pairs of whole texts are too slow there."""
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 ids of ``word_bpe_49k.json``; SQL has no tokenizer."""
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """13-word windows of ``benchmark``; SQL over all word positions of whole tables is too slow."""
+    found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
