@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, neardup, packing
+from tidewater.llm import decontam, neardup, packing, secrets
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -49,3 +49,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners are sources, repositories are documents; SQL has no leftmost non-overlapping match positions."""
+    rows = secrets.scan(read(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = rows.withColumn("base", F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex")))
+    return base.select("row.doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.listed("base"), 256).alias("base_sha256"),
+                       secrets.listed("spans").alias("spans"),
+                       F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+                       F.size(F.filter("spans", lambda s: s["random"] & ~s["live"])).cast("long").alias("n_copied"))
