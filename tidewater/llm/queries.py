@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, neardup, packing, secrets
+from tidewater.llm import decontam, neardup, packing, quality, secrets
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -64,3 +64,16 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secrets.listed("spans").alias("spans"),
                        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
                        F.size(F.filter("spans", lambda s: s["random"] & ~s["live"])).cast("long").alias("n_copied"))
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the labels call good."""
+    return read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted are the documents labelled good; SQL elsewhere lacks the bucket hash."""
+    judged = quality.judge(read(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "score")
