@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, neardup, packing, quality, secrets
+from tidewater.llm import decontam, neardup, packing, quality, secrets, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -77,3 +77,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", "score")
+
+
+#: The digest's 40 hexadecimal digits in four groups of 40 bits, each written as eight digits of base 32.
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS holder,
+         list_aggregate(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  CAST(((('0x' || substr(hex, CAST(i // 8 AS INT) * 10 + 1, 10))::BIGINT >> CAST(35 - 5 * (i % 8) AS INT)) & 31) AS INT) + 1,
+                  1)), 'string_agg', '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN holder = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM d
+"""
+
+
+@query("op8_warc_dictionary_archive", _WARC_SQL)
+def op8_warc_dictionary_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
