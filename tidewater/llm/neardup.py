@@ -12,9 +12,9 @@
    The prefix that counts is as deep as the region is dense.
 4. Round two takes every region (equal ``depth``-value prefix of one tree)
    that still holds two components and compares all its nodes across
-   components, in blocks, on signatures; whatever could reach the threshold is
-   confirmed on the full sets.  Nothing is capped: a large region is only cut
-   into more block pairs.
+   components on the full sets, in blocks.  Nothing is capped: a large region
+   is only cut into more block pairs, and only links that join components
+   come out, fewer than a region has nodes.
 5. Components of the confirmed links come from alternating star rounds on
    written tables.
 
@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -230,37 +229,101 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .union(state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
-def _across(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, done: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one region and two components that may reach the threshold and are not confirmed yet."""
-    floor = percent / 100 - 5.5 * math.sqrt(percent / 100 * (1 - percent / 100) / PERMUTATIONS)
+def _overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(k, sizes of the intersections of set k with each later set), by bit counts over the shared shingles."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    shared = times[place] > 1
+    owner, place = owner[shared], column[place[shared]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(sets), len(sets)), dtype=np.int32)
+    for begin in range(0, int(place[-1]) + 1 if len(place) else 0, 8192):
+        lo, hi = np.searchsorted(place, (begin, begin + 8192))
+        dense = np.zeros((len(sets), 8192), dtype=bool)
+        dense[owner[lo:hi], place[lo:hi] - begin] = True
+        bits = np.packbits(dense, axis=1).view(np.uint64)
+        for k in range(len(sets) - 1):
+            total[k, k + 1:] += np.bitwise_count(bits[k] & bits[k + 1:]).sum(axis=1, dtype=np.int32)
+    for k in range(len(sets) - 1):
+        yield k, total[k, k + 1:]
+
+
+def _links_across(node: list[int], label: list[int], block: list[int], sets: list[np.ndarray], two: bool,
+                  percent: int) -> list[tuple[int, int]]:
+    """Links that join different components of one block pair; none that only repeats a connection."""
+    root, part = np.unique(np.array(label), return_inverse=True)[1], np.array(block)
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    out = []
+    for k, both in _overlaps(sets):
+        union = size[k] + size[k + 1:] - both
+        fits = (100 * both.astype(np.int64) >= percent * union) & (both > 0)
+        if two:
+            fits &= part[k + 1:] != part[k]
+        for m in (np.flatnonzero(fits) + k + 1).tolist():
+            if root[m] != root[k]:
+                root[root == root[m]] = root[k]
+                out.append((min(node[k], node[m]), max(node[k], node[m])))
+    return out
+
+
+def _regions(members: DataFrame, texts: DataFrame, labels: DataFrame, done: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between components within a region, on the full sets of all its nodes.
+
+    A region of more than BLOCK_NODES nodes is cut into blocks, and every pair
+    of blocks is compared; what comes out joins components, so a group of n
+    nodes yields fewer than n links, not all of its pairs.
+    """
     placed = written(members.select("region", "node").distinct().join(labels, "node", "left")
                      .withColumn("component", F.coalesce("component", "node")), "regions")
-    open_regions = written(placed.groupBy("region").agg(F.count("*").alias("size"), F.min("component").alias("lo"),
-                                                        F.max("component").alias("hi"))
-                           .filter("lo <> hi").select("region", "size"), "open-regions")
-    rows = placed.join(open_regions, "region").join(nodes, "node")
-    blocked = (rows.withColumn("n_blocks", F.expr(f"cast((size + {BLOCK_NODES - 1}) div {BLOCK_NODES} as int)"))
+    several = (placed.groupBy("region").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                            F.min("node").alias("a"), F.max("node").alias("b")).filter("lo <> hi"))
+    # a region of two nodes that round one compared is settled
+    settled = done.select("a", "b", F.lit(2).cast("long").alias("size"))
+    several = written(several.join(settled, ["a", "b", "size"], "left_anti").select("region", "size"), "open-regions")
+    blocked = (placed.join(several, "region")
+               .withColumn("n_blocks", F.expr(f"cast((size + {BLOCK_NODES - 1}) div {BLOCK_NODES} as int)"))
                .withColumn("block", F.expr("cast(pmod(xxhash64(node), n_blocks) as int)"))
                .withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
-               .select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "block", "node", "component", "sig"))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint16).reshape(len(rows), -1)
-        node, comp, block = (rows[c].to_numpy() for c in ("node", "component", "block"))
-        two = rows["i"].iat[0] != rows["j"].iat[0]
-        a, b = [], []
-        for k in range(len(rows) - 1):
-            rest = np.flatnonzero((comp[k + 1:] != comp[k]) & ((block[k + 1:] != block[k]) | (not two))) + k + 1
-            if len(rest):
-                hit = rest[(sig[rest] == sig[k]).mean(axis=1) >= floor]
-                a.extend([node[k]] * len(hit))
-                b.extend(node[hit])
-        x, y = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-    pairs = blocked.groupBy("region", "i", "j").applyInPandas(compare, "a long, b long").distinct()
-    return pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+               .select("node", "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                       "block", "component"))
+    rows = (blocked.join(texts, "node").select("region", "i", "j", "block", "node", "component", "key", "text")
+            .repartition("region", "i", "j").sortWithinPartitions("region", "i", "j"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+        recent: OrderedDict[bytes, np.ndarray] = OrderedDict()
+
+        def full(key: bytes, text: str) -> np.ndarray:
+            if key not in recent:
+                s = next(_shingle_sets([text], shingle))
+                recent[key] = s if len(s) and set_key(s) == key else s[:0]
+                if len(recent) > 64:
+                    recent.popitem(last=False)
+            return recent[key]
+
+        def closed() -> pa.RecordBatch:
+            links = []
+            if len(held) > 1:
+                block, node, label, sets = (list(c) for c in zip(*held, strict=True))
+                links = _links_across(node, label, block, sets, group[1] != group[2], percent)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
+                                              names=["a", "b"])
+
+        for batch in batches:
+            for region, i, j, block, node, label, key, text in zip(*batch.columns, strict=True):
+                at = (region.as_py(), i.as_py(), j.as_py())
+                if at != group:
+                    if held:
+                        yield closed()
+                    group = at
+                held.append((block.as_py(), node.as_py(), label.as_py(), full(key.as_py(), text.as_py())))
+        if held:
+            yield closed()
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
@@ -296,8 +359,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     first = written(confirm(nearest, texts, shingle, percent), "confirmed")
     links = first.filter("linked").select("a", "b")
     labels = components(links)
-    second = written(confirm(_across(members, signed, labels, percent, first), texts, shingle, percent), "confirmed")
-    merged = second.filter("linked").select("a", "b")
+    merged = written(_regions(members, texts, labels, first, shingle, percent), "confirmed")
     if not merged.isEmpty():
         # the first round's components are stars already; only the new links are added to them
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, neardup, packing, quality, secrets, warc
+from tidewater.llm import decontam, licenses, neardup, packing, quality, secrets, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -101,3 +101,9 @@ FROM d
 def op8_warc_dictionary_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, read back."""
     return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules over whole texts; SQL elsewhere lacks the look-arounds of the patterns."""
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("detections")
