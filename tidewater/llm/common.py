@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.session import scratch_dir
 
@@ -32,3 +33,8 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 yield out
 
     return df.mapInArrow(run, schema)
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows; else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import broadcast_up_to
+
 BUCKETS = 8192  # for each n-gram order
 SHRINKAGE = 30.0
 THRESHOLD = -0.08
@@ -42,8 +44,7 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     ratio is shrunk towards 1 by SHRINKAGE expected n-grams.
     """
     ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).filter("trusted_id is not null").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = broadcast_up_to(ids, BROADCAST_IDS)
     grams = _hashes(_rows(docs, text_col))
     marked = grams.join(ids, F.col(f"row.`{id_col}`").cast("long") == F.col("trusted_id"), "left")
     counts = (marked.select(F.col("trusted_id").isNotNull().cast("long").alias("good"), F.explode(F.expr(

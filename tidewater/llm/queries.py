@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, licenses, neardup, packing, quality, secrets, warc
+from tidewater.llm import decontam, langid, licenses, neardup, packing, quality, secrets, toxicity, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -107,3 +107,20 @@ def op8_warc_dictionary_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules over whole texts; SQL elsewhere lacks the look-arounds of the patterns."""
     return licenses.scan(read(spark, sf_dir, "documents")).drop("detections")
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained outside the held-out fold; held-out accuracy stands in for SQL."""
+    docs = read(spark, sf_dir, "documents")
+    fold = langid.bucket(F.col("doc_id"), 4)
+    network = langid.fit(docs.filter(fold != 2))
+    return langid.identify(docs, network).select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_toxicity_weak_supervision")
+def op3_toxicity_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns outside the held-out fold; held-out accuracy stands in for SQL."""
+    fold = langid.bucket(F.col("doc_id"), 5)
+    scored = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), fold != 0)
+    return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")

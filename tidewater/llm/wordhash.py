@@ -73,10 +73,20 @@ class Words:
         np.cumsum((data.astype(U64) + U64(1)) * _POWERS.up[: len(data)], out=total[1:])
         h = (total[self.end] - total[self.start]) * _POWERS.down[self.start]
         self.hash = mix(h + (self.end - self.start).astype(U64) * U64(0xD6E8FEB86659FD93))
+        self._total = total
         self.first = np.searchsorted(self.start, np.concatenate(([0], ends_of_docs[:-1])))
         self.last = np.append(self.first[1:], len(self.start))
         self.count = self.last - self.first
 
+    def prefix(self, n: int) -> np.ndarray:
+        """Hashes of the words' first ``n`` bytes, apart from those of words; of the whole word if it is shorter."""
+        h = (self._total[np.minimum(self.start + n, self.end)] - self._total[self.start]) * _POWERS.down[self.start]
+        return mix(h + U64((n * 0xE7037ED1A0B428DB) & 0xFFFFFFFFFFFFFFFF))
+
+    def documents(self, at: np.ndarray) -> np.ndarray:
+        """The document of each word position."""
+        return np.searchsorted(self.last, at, side="right")
+
     def of(self, doc: int) -> np.ndarray:
         return self.hash[self.first[doc] : self.last[doc]]
 
