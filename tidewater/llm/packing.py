@@ -67,6 +67,19 @@ def _bin_id(level: int, leaf: int, local: np.ndarray) -> np.ndarray:
     return (np.int64(level) << 56) + (np.int64(leaf) << 28) + local
 
 
+def _runs(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first, texts) of runs of about ``limit`` characters; a null text is empty."""
+    begin, size, run = 0, 0, []
+    for i, text in enumerate(column):
+        run.append(text.as_py() or "")
+        size += len(run[-1])
+        if size >= limit:
+            yield begin, run
+            begin, size, run = i + 1, 0, []
+    if run:
+        yield begin, run
+
+
 def _leaves(docs: DataFrame, tokenizer: str, capacity: int, slack: int, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, leaf = _tokenizer(tokenizer), TaskContext.get().partitionId()
@@ -90,14 +103,16 @@ def _leaves(docs: DataFrame, tokenizer: str, capacity: int, slack: int, end_id:
             return out
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens = encode.ids(text.as_py() or "") + end
-                total = len(tokens) // 4
-                for k in range(0, total, capacity):
-                    n = min(capacity, total - k)
-                    held.append((doc, k // capacity, k, n, zlib.crc32(tokens[4 * k: 4 * (k + n)])))
-            if len(held) >= GROUP_PIECES:
-                yield packed()
+            docs = batch.column(0).to_pylist()
+            for begin, texts in _runs(batch.column(1)):
+                for doc, tokens in zip(docs[begin:], encode.block(texts), strict=False):
+                    tokens += end
+                    total = len(tokens) // 4
+                    for k in range(0, total, capacity):
+                        n = min(capacity, total - k)
+                        held.append((doc, k // capacity, k, n, zlib.crc32(tokens[4 * k: 4 * (k + n)])))
+                if len(held) >= GROUP_PIECES:
+                    yield packed()
         if held:
             yield packed()
 

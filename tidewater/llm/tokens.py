@@ -2,53 +2,115 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
+import string
+from array import array
 
-_CHUNK_LIMIT = 48
-_PUNCTUATED = re.compile(r"([^']*[A-Za-z0-9])([.,;:!?]+)")
+_CACHED_LENGTH = 48
+#: Punctuation after letters; an apostrophe may begin a contraction instead.
+_TAIL = string.punctuation.replace("'", "")
+_PARTS = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
 
 
-class _Chunks(dict):
-    """chunk -> its ids as little-endian unsigned 32-bit bytes; emptied when it holds ``limit`` chunks."""
+def _byte_letters() -> list[str]:
+    """Byte-level BPE's letter for each byte: itself where it prints, else one from U+0100 on in order."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in prints else chr(next(others)) for b in range(256)]
 
-    def __init__(self, tokenizer, limit: int):
-        super().__init__({"": b""})
-        self.tokenizer, self.limit = tokenizer, limit
 
-    def encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+_LETTERS = _byte_letters()
+
+
+def _plain(chunk: str) -> bool:
+    """Letters that lower case and normalisation keep letters, one for one."""
+    return chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0130")
+
+
+def _kinds(part: dict | None, parts: str) -> list[str]:
+    return [p["type"] for p in (part or {}).get(parts, [])]
+
+
+class _Both(dict):
+    """A block's new chunks in front of the known ones."""
+
+    def __init__(self, known: dict[str, bytes], new: dict[str, bytes]):
+        super().__init__(new)
+        self.known = known
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(chunk) > _CHUNK_LIMIT:
-            return self.encode(chunk)
-        # punctuation after a letter or digit is a token run of its own
-        parts = _PUNCTUATED.fullmatch(chunk)
-        ids = self[parts[1]] + self[parts[2]] if parts else self.encode(chunk)
-        if len(self) >= self.limit:
-            self.clear()
-            self[""] = b""
-        self[chunk] = ids
-        return ids
+        return self.known[chunk]
 
 
 class ChunkedTokenizer:
-    """Ids of a tokenizer that drops white space and never joins what it separates.
+    """Ids of a word tokenizer that drops white space and never joins what it separates.
 
-    Such a tokenizer (a pre-tokenizer that removes white space) gives the same
-    ids for a text as for its chunks one after the other, so each distinct
-    chunk is encoded once per worker.  Words repeat; encoding them again is
-    most of the work of tokenizing a corpus.
+    Its ids for a text are those of the text's chunks one after the other, so
+    each distinct chunk is encoded once while it stays in the cache.  A chunk
+    of letters is one word and goes to the model in lower case directly;
+    punctuation after it is a token run of its own; any other chunk goes through
+    the whole tokenizer.  The cache has two generations of ``limit`` chunks:
+    what is not used again drops out.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.chunks = _Chunks(Tokenizer.from_file(path), limit)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if (_kinds(spec["normalizer"], "normalizers"), _kinds(spec["pre_tokenizer"], "pretokenizers")) != tuple(_PARTS.values()):
+            raise ValueError(f"{path} is not a lower-casing tokenizer of separate words")
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        low = word.lower()
+        if not low.isascii():
+            low = "".join([_LETTERS[b] for b in low.encode()])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(low)]).tobytes()
+
+    def _fill(self, missing: list[str]) -> dict[str, bytes]:
+        known, new = self.young, {}
+        for chunk in missing:
+            word = chunk.rstrip(_TAIL)
+            if not word or not _plain(word):
+                new[chunk] = self._encode(chunk)
+                continue
+            ids = new.get(word) or known.get(word)
+            if ids is None:
+                ids = new[word] = self._word(word)
+            tail = chunk[len(word):]
+            if tail:
+                if tail not in known:
+                    known[tail] = self._encode(tail)
+                new[chunk] = ids + known[tail]
+        return new
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        flat = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        return b"".join(map(self.chunks.__getitem__, flat.split(" ")))
+    def block(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        known, missing = self.young, []
+        for chunk in set().union(*split):
+            if chunk not in known:
+                if chunk in self.old:
+                    known[chunk] = self.old[chunk]
+                else:
+                    missing.append(chunk)
+        look = known
+        if missing:
+            new = self._fill(missing)
+            if any(len(c) > _CACHED_LENGTH for c in new):  # long chunks are not kept
+                look = _Both(known, new)
+                known.update((c, ids) for c, ids in new.items() if len(c) <= _CACHED_LENGTH)
+            else:
+                known.update(new)
+        out = [b"".join(map(look.__getitem__, chunks)) for chunks in split]
+        if len(known) > self.limit:
+            self.old, self.young = known, {"": b""}
+        return out
