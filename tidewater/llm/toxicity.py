@@ -44,11 +44,12 @@ TRIGGERS = "idiot idiots moron morons loser losers clown clowns scum scums trash
 PREFIXES = (4, 6, 8)  # bytes from the start of a word
 CANDIDATES = 65_536  # terms of the most toxic rows, counted in the other rows too
 LEARNED_TERMS = 4096
-LEAST_ODDS, STRONG_ODDS, LEAST_ROWS = 2.3, 3.0, 3
+LEAST_ROWS = 3
+GRADES = {"weak": 2.0, "fair": 2.8, "strong": 3.6}  # least log odds of a learned lexicon
 SAMPLE_ROWS = 20_000
 BROADCAST_LABELS = 2_000_000
 HAND = [*LEXICONS, *PATTERNS]
-VOTERS = [*HAND, "words", "weak_words", *(f"start_{n}" for n in PREFIXES), "weak_starts", "two_terms", "five_terms"]
+VOTERS = [*HAND, *(f"{grade}_{kind}" for kind in ("words", "starts") for grade in GRADES), "two_terms", "five_terms"]
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -151,7 +152,7 @@ def learn_terms(rows: DataFrame) -> tuple[Terms, float]:
     # a cautious bound: a term of few rows must not look strong by chance
     few, many = np.maximum(toxic - 1.64 * np.sqrt(toxic), 0), clean + 1.64 * np.sqrt(clean)
     odds = np.log((few + 0.5) / (bad + 1)) - np.log((many + 1.5) / (good + 1))
-    chosen = np.flatnonzero(odds >= LEAST_ODDS)
+    chosen = np.flatnonzero(odds >= min(GRADES.values()))
     chosen = np.sort(chosen[np.argsort(-(odds * toxic)[chosen], kind="stable")][:LEARNED_TERMS])
     return Terms(hashes[chosen], odds[chosen], kinds[chosen]), bad / (bad + good)
 
@@ -169,7 +170,9 @@ def votes(docs: DataFrame, terms: Terms) -> DataFrame:
         triggers = Lookup(_hashes(TRIGGERS))
         patterns = {name: re.compile(p) for name, p in PATTERNS.items()}
         bit = {name: 1 << i for i, name in enumerate(VOTERS)}
-        strong = learned.odds >= STRONG_ODDS
+        grade = np.searchsorted(list(GRADES.values()), learned.odds, side="right") - 1
+        lexicon = np.array([[bit[f"{g}_{kind}"] for g in GRADES] for kind in ("words", "starts")])
+        mark = lexicon[(learned.kinds > 0).astype(int), grade] if len(grade) else grade
         for batch in batches:
             texts = batch.column(1).to_pylist()
             fired, found = np.zeros(len(texts), dtype=np.int64), [[] for _ in texts]
@@ -186,20 +189,9 @@ def votes(docs: DataFrame, terms: Terms) -> DataFrame:
                     found[d].append(p)
             for i, places in enumerate(found):
                 if places:
-                    kinds, hard = learned.kinds[places], strong[places]
-                    if (hard & (kinds == 0)).any():
-                        fired[i] |= bit["words"]
-                    if (~hard & (kinds == 0)).any():
-                        fired[i] |= bit["weak_words"]
-                    for n in PREFIXES:
-                        if (hard & (kinds == n)).any():
-                            fired[i] |= bit[f"start_{n}"]
-                    if (~hard & (kinds > 0)).any():
-                        fired[i] |= bit["weak_starts"]
-                    if hard.sum() >= 2:
-                        fired[i] |= bit["two_terms"]
-                    if hard.sum() >= 5:
-                        fired[i] |= bit["five_terms"]
+                    fired[i] |= np.bitwise_or.reduce(mark[places])
+                    sure = (grade[places] > 0).sum()
+                    fired[i] |= (bit["two_terms"] if sure >= 2 else 0) | (bit["five_terms"] if sure >= 5 else 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fired), pa.array(found, pa.list_(pa.int32()))],
                                              names=["row", "votes", "terms"])
 
@@ -257,13 +249,10 @@ def fit_classifier(features: list[np.ndarray], targets: np.ndarray, weights: np.
     w, a, b = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     share = weights / weights.sum()
     w[-1] = np.log((share @ targets + 1e-6) / (1 - share @ targets + 1e-6))
-    # toxic and clean rows weigh the same, so that rare evidence is learned; the bias is set back afterwards
-    half = np.where(targets >= 0.5, 0.5 / max(share[targets >= 0.5].sum(), 1e-9), 0.5 / max(share[targets < 0.5].sum(), 1e-9))
-    balanced = share * half
     for t in range(1, steps + 1):
         z = np.bincount(row, w[col], minlength=len(features)) + w[-1]
-        g = balanced * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - targets)
-        grad = np.append(np.bincount(col, g[row], minlength=size), g.sum()) + 1e-5 * w
+        g = share * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - targets)
+        grad = np.append(np.bincount(col, g[row], minlength=size), g.sum()) + 1e-6 * w
         a, b = 0.9 * a + 0.1 * grad, 0.999 * b + 0.001 * grad * grad
         w -= 0.1 * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-9)
     return w
