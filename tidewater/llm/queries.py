@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, langid, licenses, neardup, packing, quality, secrets, toxicity, warc
+from tidewater.llm import chat, decontam, langid, licenses, neardup, packing, quality, secrets, toxicity, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -124,3 +124,38 @@ def op3_toxicity_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame
     fold = langid.bucket(F.col("doc_id"), 5)
     scored = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), fold != 0)
     return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+_TURN = "'<|' || coalesce(role, '') || '|>' || chr(10) || coalesce({text}, '') || '<|end|>' || chr(10)"
+_CHAT_SQL = f"""
+WITH last AS (
+  SELECT conv_id, max(turn) AS last, max_by(text, turn) AS reply FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), head AS (
+  SELECT c.conv_id, l.last, l.reply, o.conv_id IS NOT NULL AS answered, o.reply AS other,
+         count(*) FILTER (l.last IS NULL OR c.turn < l.last) AS n_head,
+         coalesce(string_agg({_TURN.format(text='c.text')}, '' ORDER BY c.turn)
+                  FILTER (l.last IS NULL OR c.turn < l.last), '') AS head
+  FROM conversations c LEFT JOIN last l USING (conv_id) LEFT JOIN last o ON o.conv_id = xor(c.conv_id, 1)
+  GROUP BY ALL
+), made AS (
+  SELECT *, last IS NOT NULL AND answered AND reply IS NOT DISTINCT FROM other AS equal,
+         CASE WHEN last IS NULL THEN '' ELSE {_TURN.replace("coalesce(role, '')", "'assistant'").format(text='reply')} END AS mine,
+         CASE WHEN last IS NULL OR NOT answered THEN '' ELSE {_TURN.replace("coalesce(role, '')", "'assistant'").format(text='other')} END AS theirs
+  FROM head
+)
+SELECT conv_id, n_head + CASE WHEN equal THEN 1 ELSE 0 END AS n_prompt_turns,
+       head || CASE WHEN equal THEN mine ELSE '' END AS prompt,
+       CASE WHEN equal THEN '' ELSE mine END AS chosen,
+       CASE WHEN equal THEN '' ELSE theirs END AS rejected,
+       CASE WHEN equal OR mine = '' THEN '' ELSE '14:' || (length(mine) - 1) END AS chosen_mask,
+       CASE WHEN equal OR theirs = '' THEN '' ELSE '14:' || (length(theirs) - 1) END AS rejected_mask
+FROM made
+"""
+
+
+@query("op5_preference_formatting", _CHAT_SQL)
+def op5_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against the reply of its neighbour."""
+    made = chat.format_preferences(chat.reply_pairs(read(spark, sf_dir, "conversations")))
+    return made.select(F.col("pair_id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", "rejected",
+                       chat.spans_text("chosen_mask").alias("chosen_mask"), chat.spans_text("rejected_mask").alias("rejected_mask"))
