@@ -81,20 +81,21 @@ def _shingle_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, key, sig) of every row; key and sig are null for a text without words."""
+    """(doc_id, text_key, n, key, sig) of every row; key and sig are null for a text without words."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, keys, sigs = [], [], []
-        for s in _shingle_sets(batch.column(1).to_pylist(), shingle):
+        for s in _shingle_sets(batch.column(2).to_pylist(), shingle):
             n.append(len(s))
             keys.append(set_key(s) if len(s) else None)
             sigs.append(signature(s).tobytes() if len(s) else None)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-            names=["doc_id", "n", "key", "sig"])
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
+            names=["doc_id", "text_key", "n", "key", "sig"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, fn, "doc_id long, n long, key binary, sig binary")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return map_arrow(rows, fn, "doc_id long, text_key long, n long, key binary, sig binary")
 
 
 def _fixed(column: pa.Array, width: int) -> np.ndarray:
@@ -327,8 +328,8 @@ def _regions(members: DataFrame, texts: DataFrame, labels: DataFrame, done: Data
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row.
+                    id_col: str = "doc_id", text_col: str = "text", with_text_key: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row; also xxhash64 of the text as ``text_key`` if asked for.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of
     their sets of distinct ``shingle``-word windows (A-Z in lower case, words
@@ -366,7 +367,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
         labels = components(stars.union(merged))
     placed = classes.join(labels, "node", "left").select(
         "key", F.coalesce("component", "node").alias("component_id"))
-    out = sigs.select("doc_id", F.col("n").alias("n_shingles"), "key").join(written(placed, "placed"), "key", "left")
+    out = sigs.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key").join(written(placed, "placed"), "key", "left")
     own = F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept")
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), kept, *(["text_key"] if with_text_key else []))

@@ -98,8 +98,10 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, id_
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.expr("transform(slice(h2, 1, greatest(size(h2) - 1, 0)), (h, i) -> xxhash64(h, get(h1, i + 2)))").alias("tri"),
         (_total("h1", weights, 0) + _total("h2", weights, BUCKETS)).alias("sum_of_weights"))
-    judged = stats.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", _repeated("tri").alias("n_repeat_words"),
-                          F.expr("sum_of_weights / greatest(2 * n_words - 1, 1)").alias("score"))
+    # The generator keeps filters on the verdict above it: pushed below, they would repeat the work of every projection.
+    judged = stats.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.explode(F.array(F.struct(
+        _repeated("tri").alias("n_repeat_words"), F.expr("sum_of_weights / greatest(2 * n_words - 1, 1)").alias("score")))).alias("j"))
+    judged = judged.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "j.n_repeat_words", "j.score")
     failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
     return judged.select("*", failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"))
 
