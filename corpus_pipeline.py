@@ -9,7 +9,7 @@ next stage's input.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontam, neardup, packing, quality, secrets
@@ -29,21 +29,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (5-word shingles, Jaccard 0.8), the one with the smallest id."""
     found = neardup.near_duplicates(docs, shingle=5, percent=80, with_text_key=True)
     kept = found.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
-    keyed = docs.withColumn("kept_key_", F.xxhash64(docs["text"].cast("string")))
-    joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["kept_id"]) & (keyed["kept_key_"] == kept["kept_key"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "kept_key_"]).select(*docs.columns)
+    rows = docs.select(_row(docs), docs["doc_id"].alias("id"), F.xxhash64(docs["text"].cast("string")).alias("key"))
+    joined = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")), "left_semi")
+    return joined.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents; cuts hit spans of more than MAX_SPAN_WORDS words out of the others."""
     found = decontam.contamination(docs, read(spark, sf_dir, "benchmark"), max_span=MAX_SPAN_WORDS)
-    return _with_text(found.filter("not contaminated").select("row.*", "cleaned"), "cleaned")
+    return _with_text(found.filter("not contaminated"), "cleaned")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces live-looking credentials; keeps every document."""
-    plain = secrets.redact(secrets.scan(docs)).withColumn("redacted_", F.col("text"))
-    return _with_text(plain, "redacted_")
+    return _with_text(secrets.redact(secrets.scan(docs)), "redacted")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +50,23 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-def _with_text(docs: DataFrame, column: str) -> DataFrame:
-    """``column`` in place of the text, with the count of characters where there is one."""
-    columns = [c for c in docs.columns if c != column]
-    replaced = {"text": F.col(column).alias("text")}
-    if "n_chars" in columns:
-        replaced["n_chars"] = F.length(column).cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return docs.select(*[replaced.get(c, docs[f"`{c}`"]) for c in columns])
+def _row(docs: DataFrame) -> Column:
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+
+
+def _with_text(rows: DataFrame, column: str) -> DataFrame:
+    """The documents in the struct ``row`` with ``column`` as their text, and its characters counted anew where it differs."""
+    fields = rows.schema["row"].dataType.names
+    new, old = F.col(column), F.col("row.text")
+    out = []
+    for c in fields:
+        value = F.col("row").getField(c)
+        if c == "text":
+            value = new
+        elif c == "n_chars":
+            value = F.when(new.eqNullSafe(old), value).otherwise(F.length(new).cast(rows.schema["row"].dataType[c].dataType))
+        out.append(value.alias(c))
+    return rows.select(*out)
 
 
 STAGES = [

@@ -15,7 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,10 +118,14 @@ def scan(docs: DataFrame, repository_col: str = "doc_id", owner_col: str = "sour
     """
     found = written(candidates(docs, text_col), "secret-candidates")
     held = found.filter("size(spans) > 0")
-    counts = written(ownership(held.select(F.col(f"row.`{repository_col}`").alias("repository"), F.col(f"row.`{owner_col}`").alias("owner"),
+
+    def of_row(name: str) -> Column:
+        return F.col("row").getField(name)
+
+    counts = written(ownership(held.select(of_row(repository_col).alias("repository"), of_row(owner_col).alias("owner"),
                                            "spans"), "repository", "owner"), "secret-owners")
     # a verdict for each document and hash, by the rows' repository and spans: repeated rows share it
-    key = held.select(F.col(f"row.`{repository_col}`").alias("repository"), F.col("spans").alias("found")).distinct()
+    key = held.select(of_row(repository_col).alias("repository"), F.col("spans").alias("found")).distinct()
     verdicts = (key.select("repository", "found", F.explode("found").alias("s"))
                 .join(counts.withColumnRenamed("hash", "h"), F.col("s.hash") == F.col("h"))
                 .select("repository", "found", F.struct(
@@ -129,12 +133,12 @@ def scan(docs: DataFrame, repository_col: str = "doc_id", owner_col: str = "sour
                     (F.col("s.random") & (F.col("owners") < copied_owners)).alias("live")).alias("s"))
                 .groupBy("repository", "found").agg(F.collect_list("s").alias("judged")))
     none = found.filter("size(spans) = 0").select("row", F.array().cast(verdicts.schema["judged"].dataType).alias("spans"))
-    some = held.join(verdicts, held["row"][repository_col].eqNullSafe(verdicts["repository"])
+    some = held.join(verdicts, of_row(repository_col).eqNullSafe(verdicts["repository"])
                      & (held["spans"] == verdicts["found"])).select("row", F.col("judged").alias("spans"))
     return some.unionByName(none)
 
 
-def listed(spans: str) -> F.Column:
+def listed(spans: str) -> Column:
     """``kind:start:end`` of an array of spans by start, then kind as listed, comma-joined."""
     order = F.transform(F.col(spans), lambda s: F.struct(
         s["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("rank"), s["end"].alias("end"),
@@ -143,15 +147,12 @@ def listed(spans: str) -> F.Column:
 
 
 def redact(rows: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The original rows with every live-looking span replaced by ``mark``; overlapping spans by one."""
-    row = rows.schema["row"].dataType
-    at = row.names.index(text_col)
+    """(row, redacted): the original rows, and their text with ``mark`` for every live-looking span; overlapping spans share one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.column(0).flatten()
-            texts = columns[at].to_pylist()
-            for i, spans in enumerate(batch.column(1).to_pylist()):
+            texts = batch.column(1).to_pylist()
+            for i, spans in enumerate(batch.column(2).to_pylist()):
                 text, parts, end = texts[i], [], 0
                 for s in sorted((s["start"], s["end"]) for s in spans if s["live"]):
                     if s[0] >= end:
@@ -159,7 +160,7 @@ def redact(rows: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
                     end = max(end, s[1])
                 if parts:
                     texts[i] = "".join(parts) + text[end:]
-            columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=row.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "redacted"])
 
-    return rows.select("row", "spans").mapInArrow(run, row)
+    schema = T.StructType([rows.schema["row"], T.StructField("redacted", T.StringType())])
+    return rows.select("row", F.col("row").getField(text_col).cast("string").alias("text"), "spans").mapInArrow(run, schema)
