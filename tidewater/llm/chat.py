@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import small_batches
+
 END = "<|end|>\n"
 TRAINED_ROLE = "assistant"
 IGNORED = 0
@@ -103,7 +105,8 @@ def tokenize(formatted: DataFrame, tokenizer: str) -> DataFrame:
     ids = T.ArrayType(T.IntegerType())
     names = ["prompt_ids", "chosen_ids", "chosen_mask_ids", "rejected_ids", "rejected_mask_ids"]
     schema = T.StructType([*formatted.schema.fields, *[T.StructField(n, ids) for n in names]])
-    at = {c: i for i, c in enumerate(formatted.columns)}
+    columns = formatted.columns
+    at = {c: i for i, c in enumerate(columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -128,14 +131,14 @@ def tokenize(formatted: DataFrame, tokenizer: str) -> DataFrame:
 
         for batch in batches:
             made: list[list] = [[] for _ in names]
-            columns = [batch.column(at[c]).to_pylist() for c in ("prompt", "chosen", "chosen_mask", "rejected", "rejected_mask")]
-            for prompt, chosen, cm, rejected, rm in zip(*columns, strict=True):
+            sides = [batch.column(at[c]).to_pylist() for c in ("prompt", "chosen", "chosen_mask", "rejected", "rejected_mask")]
+            for prompt, chosen, cm, rejected, rm in zip(*sides, strict=True):
                 for i, v in enumerate([encode(prompt), *masked(chosen, cm), *masked(rejected, rm)]):
                     made[i].append(v)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(m, pa.list_(pa.int32())) for m in made]],
-                                             names=[*formatted.columns, *names])
+                                             names=[*columns, *names])
 
-    return formatted.mapInArrow(run, schema)
+    return small_batches(formatted).mapInArrow(run, schema)
 
 
 def reply_pairs(conversations: DataFrame) -> DataFrame:
