@@ -15,6 +15,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself; its session hands Python workers a few megabytes of rows at a time from now on."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")):
+        df.sparkSession.conf.set(key, most)
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
@@ -32,7 +39,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
             if out is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:

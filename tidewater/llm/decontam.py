@@ -12,15 +12,16 @@ other word would reset the automaton to a match of one word at most.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import written
+from tidewater.llm.common import small_batches, written
 from tidewater.llm.wordhash import NON_WORD, U64, Words, blocks, mix
 
 BLOCK_WORDS = 400_000
@@ -164,24 +165,6 @@ def stretches(words: Words, automaton: Automaton) -> Iterator[tuple[int, int]]:
     yield from zip(begins[long].tolist(), ends[long].tolist(), strict=True)
 
 
-def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, str]]]:
-    """The test items in blocks of about ``BLOCK_WORDS`` words; one block is on the driver at a time."""
-    items = (benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-             .filter("id is not null and text is not null"))
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // (4 * BLOCK_WORDS)))
-    for k in range(n):
-        yield [(r.id, r.text) for r in items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-               .orderBy("id", "text").toLocalIterator()]
-
-
-def _automaton(items: list[tuple[str, str]], window: int) -> Automaton:
-    return Automaton([(item, Words([text.encode()], NON_WORD).hash) for item, text in items], window)
-
-
-_BUILT: dict[str, Automaton] = {}
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_percent: float = 5.0,
                   max_span: int | None = None, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its columns as the struct ``row``, and what the items hit in ``text``.
@@ -201,29 +184,42 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_p
     is hit.  Repeated documents each get their row; an empty table gives none.
     """
     spark = docs.sparkSession
-    state = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
-                        docs["text"].cast("string").alias("text"),
-                        F.lit(0).cast("long").alias("n_words"),
-                        F.array().cast("array<struct<b:int,e:int,x:int,y:int>>").alias("spans"),
-                        F.array().cast("array<string>").alias("items"))
+    state = small_batches(docs).select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"),
+        F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<b:int,e:int,x:int,y:int>>").alias("spans"),
+        F.array().cast("array<string>").alias("items"))
     schema = state.schema
-    for k, items in enumerate(_item_blocks(benchmark, id_col, text_col)):
+    result = T.StructType([schema["row"], schema["n_words"], T.StructField("n_hit", T.LongType()), schema["items"],
+                           T.StructField("contaminated", T.BooleanType()), T.StructField("cleaned", T.StringType())])
+    items = (benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+             .filter("id is not null and text is not null"))
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-size // (4 * BLOCK_WORDS)))
+    for k in range(n_blocks):
         if k:
             state = written(state, "decontamination")
-        sent, tag = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+        part = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k).orderBy("id", "text")
+        sent = spark.sparkContext.broadcast([(r.id, r.text) for r in part.toLocalIterator()])
+        state = state.mapInArrow(_pass(sent, window, k == n_blocks - 1, max_percent, max_span), result if k == n_blocks - 1 else schema)
+    return state
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, tag=tag) -> Iterator[pa.RecordBatch]:
-            if tag not in _BUILT:
-                _BUILT.clear()
-                _BUILT[tag] = _automaton(sent.value, window)
-            automaton = _BUILT[tag]
-            for batch in batches:
-                yield _scan(batch, automaton)
 
-        state = state.mapInArrow(run, schema)
-    result = T.StructType([schema["row"], schema["n_words"], T.StructField("n_hit", T.LongType()), schema["items"],
-                           T.StructField("contaminated", T.BooleanType()), T.StructField("cleaned", T.StringType())])
-    return state.mapInArrow(lambda it: (_digest(b, max_percent, max_span) for b in it), result)
+def _pass(sent: Broadcast, window: int, last: bool, max_percent: float, max_span: int | None) -> Callable:
+    """One block of items over all documents; the last block's pass also sums up."""
+    tag = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if tag not in _BUILT:
+            _BUILT.clear()
+            _BUILT[tag] = Automaton([(item, Words([text.encode()], NON_WORD).hash) for item, text in sent.value], window)
+        for batch in batches:
+            found = _scan(batch, _BUILT[tag])
+            yield _digest(found, max_percent, max_span) if last else found
+
+    return run
+
+
+_BUILT: dict[str, Automaton] = {}
 
 
 def _scan(batch: pa.RecordBatch, automaton: Automaton) -> pa.RecordBatch:

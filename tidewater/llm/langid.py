@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import small_batches
 from tidewater.llm.wordhash import blocks
 
 WINDOW = 256
@@ -148,7 +149,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     (chosen by a hash of their id), and SAMPLE_WINDOWS windows of each, spread
     over the whole text.  The languages themselves are those of all rows.
     """
-    rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
+    rows = small_batches(labelled).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
                            F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null")
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(counts)
@@ -212,5 +213,5 @@ def identify(docs: DataFrame, network: Network | None, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang), pa.array(score, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "doc_id long, lang_pred string, score double")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_up_to, written
+from tidewater.llm.common import broadcast_up_to, small_batches, written
 from tidewater.llm.wordhash import NON_WORD, U64, Words, blocks
 
 #: Hand-written lexicons of insults, by group.
@@ -272,7 +272,7 @@ def score(docs: DataFrame, labels: DataFrame, trained: Column, id_col: str = "do
     rows each get their row.  Without labels the hand-written voters remain.
     Other columns are ignored; an empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     base = base.withColumn("trained", F.coalesce(trained, F.lit(False)))
     known = broadcast_up_to(labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))
                             .filter("doc_id is not null and toxic is not null"), BROADCAST_LABELS)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import written
+from tidewater.llm.common import small_batches, written
 from tidewater.session import scratch_dir
 
 #: Magic number of the skippable frame that holds a WARC dictionary.
@@ -204,7 +204,7 @@ def archive(pages: DataFrame, min_bytes: int = 0, level: int = 3, max_file_bytes
         folder = "file://" + folder.removeprefix("file:")
     fs, root = _open(folder)
     fs.create_dir(root, recursive=True)
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     sample, used = [], 0

@@ -15,6 +15,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 BLOCK_BYTES = 1 << 20
+SPAN_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -59,29 +60,46 @@ _POWERS = _Powers()
 
 
 class Words:
-    """The words of one block: hash, document index, and each document's slice."""
+    """The words of one block: hash, place in its bytes, and each document's slice.
+
+    Hashes are taken over stretches of SPAN_BYTES, so a long text needs a few
+    bytes of memory for each of its own, not a table of 64-bit sums.
+    """
 
     def __init__(self, texts: Sequence[bytes], separators: np.ndarray):
         data = LOWER[np.frombuffer(b"\x20".join(texts) + b"\x20", dtype=np.uint8)]
         sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-        ends_of_docs = np.cumsum(sizes)
-        gap = separators[data]
-        edge = np.flatnonzero(np.diff(gap.astype(np.int8), prepend=np.int8(1)))
+        edge = np.flatnonzero(np.diff(separators[data].view(np.int8), prepend=np.int8(1)))
         self.start, self.end = edge[0::2], edge[1::2]
-        _POWERS.upto(len(data) + 1)
-        total = np.zeros(len(data) + 1, dtype=U64)
-        np.cumsum((data.astype(U64) + U64(1)) * _POWERS.up[: len(data)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * _POWERS.down[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(U64) * U64(0xD6E8FEB86659FD93))
-        self._total = total
+        self.hash = np.empty(len(self.start), dtype=U64)
+        self._data = data
+        i = 0
+        while i < len(self.start):
+            begin = self.start[i]
+            j = max(i + 1, int(np.searchsorted(self.end, begin + SPAN_BYTES, side="right")))
+            self.hash[i:j] = self._hashes(begin, self.start[i:j], self.end[i:j])
+            i = j
+        ends_of_docs = np.cumsum(sizes)
         self.first = np.searchsorted(self.start, np.concatenate(([0], ends_of_docs[:-1])))
         self.last = np.append(self.first[1:], len(self.start))
         self.count = self.last - self.first
 
+    def _hashes(self, begin: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        data = self._data[begin: end[-1]]
+        _POWERS.upto(len(data) + 1)
+        total = np.zeros(len(data) + 1, dtype=U64)
+        np.cumsum((data.astype(U64) + U64(1)) * _POWERS.up[: len(data)], out=total[1:])
+        h = (total[end - begin] - total[start - begin]) * _POWERS.down[start - begin]
+        return mix(h + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+
     def prefix(self, n: int) -> np.ndarray:
         """Hashes of the words' first ``n`` bytes, apart from those of words; of the whole word if it is shorter."""
-        h = (self._total[np.minimum(self.start + n, self.end)] - self._total[self.start]) * _POWERS.down[self.start]
-        return mix(h + U64((n * 0xE7037ED1A0B428DB) & 0xFFFFFFFFFFFFFFFF))
+        h = np.full(len(self.start), (n * 0xE7037ED1A0B428DB) & 0xFFFFFFFFFFFFFFFF, dtype=U64)
+        for k in range(n):
+            at = self.start + k
+            byte = np.where(at < self.end, self._data[np.minimum(at, len(self._data) - 1)], 0)
+            h = h * U64(_BASE) + byte.astype(U64) + U64(1)
+        return mix(h)
 
     def documents(self, at: np.ndarray) -> np.ndarray:
         """The document of each word position."""
