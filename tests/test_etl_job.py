@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from tests.conftest import SF_SMALL
@@ -13,7 +15,7 @@ def test_parse_config_splits_on_first_equals():
 
 
 def test_run_etl_topics_independent(spark):
-    landing = P.land_fixtures(spark, SF_SMALL)
+    landing = P.land_fixtures(spark, SF_SMALL, P.EVENT_TOPICS)
     out = scratch_dir(spark, "etl_out")
     written = run_etl(spark, landing, out)
     assert set(written) == {"transaction_events", "user_events"}
@@ -22,3 +24,34 @@ def test_run_etl_topics_independent(spark):
     # a missing topic folder is skipped, the others still run
     empty_root = scratch_dir(spark, "etl_empty")
     assert run_etl(spark, empty_root, scratch_dir(spark, "etl_out2")) == {}
+
+
+def _land(spark, folder, events):
+    spark.createDataFrame([(json.dumps(e) if isinstance(e, dict) else e,) for e in events], "value string").coalesce(1) \
+        .write.mode("append").text(folder)
+
+
+def test_second_landing_of_a_day_keeps_the_first(spark):
+    root = scratch_dir(spark, "etl_twice")
+    for n in (1, 2):
+        _land(spark, f"{root}/landing/user_events", [{"event_id": f"e{n}", "timestamp": "2024-01-02T03:04:05.000000Z"}, "{bad"])
+        run_etl(spark, f"{root}/landing", f"{root}/out")
+    got = spark.read.parquet(f"{root}/out/user_events")
+    assert sorted(r.event_id for r in got.collect()) == ["e1", "e2"]
+    assert spark.read.text(f"{root}/out/user_events/_quarantine").count() == 2
+
+
+def test_date_range(spark):
+    root = scratch_dir(spark, "etl_range")
+    _land(spark, f"{root}/landing/user_events", [{"event_id": f"e{d}", "timestamp": f"2024-01-{d:02d}T00:00:00.000000Z"} for d in range(1, 10)])
+    run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-03", end="2024-01-05")
+    assert sorted(r.event_id for r in spark.read.parquet(f"{root}/out/user_events").collect()) == ["e3", "e4", "e5"]
+
+
+def test_a_broken_rule_fails_the_run(spark, monkeypatch):
+    from tidewater.plans import etl
+    monkeypatch.setitem(etl.CLEAN, "transaction_events", lambda df: df.withColumn("event_date", df["timestamp"].substr(1, 10).cast("date")))
+    root = scratch_dir(spark, "etl_rule")
+    _land(spark, f"{root}/landing/transaction_events", [{"transaction_id": "t1", "timestamp": "2024-01-02T00:00:00.000000Z"}] * 2)
+    with pytest.raises(Exception, match="output validation failed"):
+        run_etl(spark, f"{root}/landing", f"{root}/out")

@@ -67,10 +67,11 @@ def test_refunds_by_category_preaggregates_before_join(spark):
 
 
 def test_merge_with_hot_partition_key(spark):
-    target = spark.range(N).select(F.lit("d").alias("day"), F.col("id").cast("string").alias("k"),
-                                   F.lit(0).alias("v"))
-    batch = spark.range(0, N, 2).select(F.lit("d").alias("day"), F.col("id").cast("string").alias("k"),
-                                        F.lit(1).alias("v"))
-    out = merge_upsert(target, batch, "k")
+    """One day holds a third of all rows of target and batch; every row is merged once."""
+    day = F.when(F.col("id") % 3 == 0, "d").otherwise(F.col("id").cast("string")).alias("day")
+    target = spark.range(N).select(day, F.col("id").cast("string").alias("k"), F.lit(0).alias("v"))
+    batch = spark.range(0, N, 2).select(day, F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    out = merge_upsert(target, batch, ["day", "k"])
     assert out.count() == N
     assert out.filter("v = 1").count() == len(range(0, N, 2))
+    assert out.filter("day = 'd'").count() == len(range(0, N, 3))

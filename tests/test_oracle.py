@@ -18,7 +18,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(QS))
+@pytest.mark.parametrize("key", sorted(SQLS))
 def test_key_matches_oracle(spark, con, key):
     df = QS[key](spark, SF_SMALL)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]

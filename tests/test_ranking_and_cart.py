@@ -17,7 +17,7 @@ def test_rank_desc_equals_window_rank(spark):
         v = None if i % 97 == 0 else decimal.Decimal(rnd.randint(0, 300)) / 10
         rows.append((g, f"u{i}", v))
     df = spark.createDataFrame(rows, "g string, u string, v decimal(18,2)")
-    mine = rank_desc(df, "g", "v", "r", buckets=8)
+    mine = rank_desc(df, "g", "v", "r")
     w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
     ref = df.withColumn("r", F.rank().over(w))
     a = sorted(tuple(r) for r in mine.select("g", "u", "r").collect())

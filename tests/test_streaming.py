@@ -6,6 +6,8 @@ from tests.conftest import SF_SMALL
 from tidewater.plans import layers as P
 from tidewater.plans import silver as S
 from tidewater.session import scratch_dir
+from tidewater.sources.bronze import load_bronze
+from tidewater.sources.landing import write_json_lines
 from tidewater.streaming import jobs as J
 
 
@@ -13,43 +15,75 @@ def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-def test_stream_silver_equals_batch_and_restart_adds_nothing(spark):
-    cleaned = P.clean_topics(spark, SF_SMALL)["transaction_events"]
+def test_stream_equals_batch_and_restart_adds_nothing(spark):
+    cleaned = P.clean_topics(spark, SF_SMALL, ("transaction_events",))["transaction_events"]
     root = scratch_dir(spark, "t_stream")
-    ck = f"{root}/_ckpt"
-    sink = J.stream_silver(spark, cleaned, root, ck, max_files=50)
-    batches = sorted(os.listdir(sink.changes))
+
+    def run():
+        sink, _ = J.stream_silver(spark, cleaned, "transaction_events", root, f"{root}/_ckpt/silver", max_files=40)
+        gold, _ = J.stream_gold(spark, {t: sink.changes(t) for t in sink.builds}, f"{root}/gold", f"{root}/_ckpt/gold",
+                                kept_marts=())
+        return sink, gold
+
+    sink, gold = run()
+    batches = sorted(os.listdir(sink.changes("transactions")))
     assert len(batches) > 1  # several micro-batches
+    bronze = load_bronze(spark, cleaned)
     cols = ["transaction_id", "user_id", "status", "total", "bill_city"]
-    batch = S.silver_transactions(P.bronze(spark, SF_SMALL, "transaction_events"))
-    assert _rows(sink.tx.current(), cols) == _rows(batch, cols)
+    assert _rows(gold.stg_transactions.current(), cols) == _rows(S.silver_transactions(bronze), cols)
     icols = ["transaction_id", "line_item_index", "product_id", "quantity", "item_subtotal"]
-    assert _rows(sink.items.current(), icols) == _rows(
-        S.silver_transaction_items(P.bronze(spark, SF_SMALL, "transaction_events")), icols)
-    # restart from the checkpoint with no new files: nothing is processed
-    before = _rows(sink.tx.current(), cols)
-    sink2 = J.stream_silver(spark, cleaned, root, ck, max_files=50)
-    assert sorted(os.listdir(sink2.changes)) == batches
-    assert _rows(sink2.tx.current(), cols) == before
-
-
-def test_ingest_each_file_once(spark):
-    landing = P.land_fixtures(spark, SF_SMALL)
-    root = scratch_dir(spark, "t_ingest")
-    src = f"{landing}/user_events"
+    assert _rows(gold.items.current(), icols) == _rows(S.silver_transaction_items(bronze), icols)
+    # restart from the checkpoints with no new files: nothing is processed
+    versions = gold.items.versions()
+    sink2, gold2 = run()
+    assert sorted(os.listdir(sink2.changes("transactions"))) == batches
+    assert gold2.items.versions() == versions
+
+
+def test_stamp_is_one_per_batch(spark):
+    cleaned = P.clean_topics(spark, SF_SMALL, ("user_events",))["user_events"]
+    root = scratch_dir(spark, "t_stamp")
+    sink, _ = J.stream_silver(spark, cleaned, "user_events", root, f"{root}/_ckpt")
+    got = spark.read.parquet(sink.changes("events"))
+    assert got.select("batch", "processed_at").distinct().count() == got.select("batch").distinct().count()
+
+
+def _landing(spark, name, parts=3):
+    root = scratch_dir(spark, name)
+    events = P.packed_sources(spark, SF_SMALL)["user_events"].repartition(parts)
+    write_json_lines(events, f"{root}/in")
+    return root
+
+
+def test_ingest_each_file_once_and_keep_bad_lines(spark):
+    root = _landing(spark, "t_ingest")
+    spark.createDataFrame([("{broken",), ('{"event_id": "z", "quantity": "n/a"}',), ("",)], "value string") \
+        .write.mode("append").text(f"{root}/in")
     for _ in range(2):
-        J.ingest_landing(spark, src, "user_events", f"{root}/out", f"{root}/_ckpt", max_files=1)
-    n_out = spark.read.parquet(f"{root}/out").count()
-    n_in = spark.read.json(src).count()
-    assert n_out == n_in
+        J.ingest_landing(spark, f"{root}/in", "user_events", f"{root}/out", f"{root}/_ckpt", max_files=1)
+    lines = spark.read.text(f"{root}/in").filter("trim(value) <> ''").count()
+    good = spark.read.parquet(f"{root}/out")
+    assert good.count() + 1 == lines and good.filter("event_id = 'z' and quantity is null").count() == 1
+    assert [r.value for r in spark.read.text(f"{root}/out/_quarantine").collect()] == ["{broken"]
 
 
 def test_archive_moves_consumed_files(spark):
-    landing = P.land_fixtures(spark, SF_SMALL)
-    root = scratch_dir(spark, "t_archive")
-    spark.read.text(f"{landing}/user_events").repartition(3).write.text(f"{root}/in")
+    root = _landing(spark, "t_archive")
+    before = len([f for f in os.listdir(f"{root}/in") if f.startswith("part-")])
     for _ in range(2):
         J.ingest_landing(spark, f"{root}/in", "user_events", f"{root}/out", f"{root}/_ckpt",
                          max_files=1, archive_dir=f"{root}/archive")
     archived = [f for _, _, fs in os.walk(f"{root}/archive") for f in fs if f.startswith("part-")]
-    assert len(archived) >= 2
+    left = [f for f in os.listdir(f"{root}/in") if f.startswith("part-")]
+    assert len(archived) >= 2 and len(archived) + len(left) == before
+
+
+def test_continuous_ingest_returns_the_running_query(spark):
+    root = _landing(spark, "t_running")
+    q = J.ingest_landing(spark, f"{root}/in", "user_events", f"{root}/out", f"{root}/_ckpt", available_now=False,
+                         every="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and spark.read.parquet(f"{root}/out").count() == spark.read.text(f"{root}/in").count()
+    finally:
+        q.stop()

@@ -11,6 +11,7 @@ from tidewater import oracle as O
 from tidewater.plans import dims, facts, marts
 from tidewater.session import apply_core_conf
 from tidewater.sources import fixtures as fx
+from tidewater.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,7 +89,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date_value,
   CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day,
   CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(isodow(d) AS INTEGER) AS day_of_week,
   strftime(d, '%a') AS day_name, isodow(d) IN (6, 7) AS is_weekend
-FROM (SELECT CAST(unnest(generate_series(min_d, LEAST(max_d, min_d + 49999), INTERVAL 1 DAY)) AS DATE) AS d
+FROM (SELECT CAST(unnest(generate_series(min_d, max_d, INTERVAL 1 DAY)) AS DATE) AS d
       FROM (SELECT CAST(MIN(CAST(timestamp AS DATE)) - 30 AS DATE) AS min_d,
                    CAST(MAX(CAST(timestamp AS DATE)) + 30 AS DATE) AS max_d
             FROM stg_transactions WHERE timestamp IS NOT NULL) b
@@ -118,12 +119,12 @@ def q_revenue_by_category(spark, sf):
 
 
 @query("refunds_by_category", """
-SELECT CAST(tx.transaction_date AS DATE) AS sales_date, i.category,
-  CAST(COUNT(DISTINCT tx.transaction_id) AS BIGINT) AS refund_count,
-  CAST(SUM(ABS(i.item_subtotal)) AS DECIMAL(38,2)) AS refund_amount
-FROM transaction_items i JOIN fact_transactions tx ON tx.transaction_id = i.transaction_id
-WHERE (tx.transaction_type = 'refund' OR tx.transaction_type = 'chargeback') AND tx.status = 'completed'
-GROUP BY 1, 2""")
+SELECT transaction_date AS sales_date, category, COUNT(*) AS refund_count, CAST(SUM(amount) AS DECIMAL(38,2)) AS refund_amount
+FROM (SELECT transaction_id, category, SUM(CASE WHEN item_subtotal < 0 THEN -item_subtotal ELSE item_subtotal END) AS amount
+      FROM transaction_items GROUP BY ALL) amounts
+NATURAL JOIN (SELECT transaction_id, transaction_date FROM fact_transactions
+              WHERE status = 'completed' AND transaction_type IN ('refund', 'chargeback')) returned
+GROUP BY ALL""")
 def q_refunds_by_category(spark, sf):
     return marts.refunds_by_category(_refund_items(spark, sf), _fact_tx(spark, sf))
 
@@ -139,40 +140,25 @@ def q_customer_daily_spend(spark, sf):
 
 
 @query("customer_risk", """
-SELECT c.user_id, c.event_date, d.full_name AS customer_name, d.email AS email,
-  l.bill_city, l.bill_country, l.bill_state, c.num_refunds, c.num_chargebacks
-FROM (SELECT user_id, CAST(timestamp AS DATE) AS event_date,
-        CAST(COUNT_IF(transaction_type = 'refund') AS BIGINT) AS num_refunds,
-        CAST(COUNT_IF(transaction_type = 'chargeback') AS BIGINT) AS num_chargebacks
-      FROM stg_transactions
-      WHERE status = 'completed' AND transaction_type IN ('refund', 'chargeback')
-      GROUP BY 1, 2) c
-LEFT JOIN (SELECT * FROM (
-      SELECT user_id, CAST(timestamp AS DATE) AS event_date, bill_city, bill_country, bill_state,
-        ROW_NUMBER() OVER (PARTITION BY user_id, CAST(timestamp AS DATE)
-          ORDER BY timestamp DESC NULLS LAST, bill_city DESC NULLS LAST,
-                   bill_country DESC NULLS LAST, bill_state DESC NULLS LAST) AS rn
-      FROM stg_transactions
-      WHERE status = 'completed' AND transaction_type IN ('refund', 'chargeback')) WHERE rn = 1) l
-  ON l.user_id = c.user_id AND l.event_date = c.event_date
-LEFT JOIN dim_customer d ON d.user_id = c.user_id""")
+SELECT user_id, event_date, full_name AS customer_name, email, place.c AS bill_city, place.n AS bill_country,
+  place.s AS bill_state, num_refunds, num_chargebacks
+FROM (SELECT user_id, timestamp::DATE AS event_date, COUNT(*) FILTER (transaction_type = 'refund') AS num_refunds,
+        COUNT(*) FILTER (transaction_type = 'chargeback') AS num_chargebacks,
+        max(struct_pack(t := timestamp, c := bill_city, n := bill_country, s := bill_state)) AS place
+      FROM stg_transactions WHERE status = 'completed' AND transaction_type IN ('refund', 'chargeback')
+      GROUP BY 1, 2) days
+LEFT JOIN (SELECT user_id, full_name, email FROM dim_customer) USING (user_id)""")
 def q_customer_risk(spark, sf):
     return marts.customer_risk(fx.stg_transactions(spark, sf), _dim_customer(spark, sf))
 
 
-_NESTED_SQL = """
-SELECT tr.user_id, tr.transaction_id, tr.timestamp, tr.bill_country, tr.bill_city, tr.bill_state,
-  COALESCE(list({{'product_id': it.product_id, 'product_name': it.product_name,
-                  'category': it.category, 'brand': it.brand, 'quantity': it.quantity,
-                  'unit_price': it.unit_price, 'item_subtotal': it.item_subtotal,
-                  'currency': it.currency, 'line_item_index': it.line_item_index}}
-             ORDER BY it.line_item_index) FILTER (WHERE it.transaction_id IS NOT NULL), []) AS purchase_items
-FROM stg_transactions tr LEFT JOIN transaction_items it ON it.transaction_id = tr.transaction_id
-WHERE tr.status = 'completed' AND tr.transaction_type IN ('refund', 'chargeback')
-GROUP BY 1, 2, 3, 4, 5, 6"""
-
-
-@query("refund_items_nested", _NESTED_SQL.replace("{{", "{").replace("}}", "}"))
+@query("refund_items_nested", """
+SELECT user_id, transaction_id, timestamp, bill_country, bill_city, bill_state, ifnull(purchase_items, []) AS purchase_items
+FROM stg_transactions LEFT JOIN (
+  SELECT transaction_id, list(struct_pack(product_id, product_name, category, brand, quantity, unit_price,
+                                          item_subtotal, currency, line_item_index) ORDER BY line_item_index) AS purchase_items
+  FROM transaction_items GROUP BY transaction_id) bought USING (transaction_id)
+WHERE status = 'completed' AND transaction_type IN ('refund', 'chargeback')""")
 def q_refund_items_nested(spark, sf):
     return marts.refund_items_nested(fx.stg_transactions(spark, sf), _refund_items(spark, sf))
 
@@ -516,7 +502,7 @@ SELECT transaction_id, user_id, transaction_type, {_ISO} AS timestamp, status, p
   subtotal, tax, total, bill_city, original_transaction_id, CAST(COALESCE(n.n, 0) AS INTEGER) AS item_count
 FROM src_transactions LEFT JOIN {_COUNTS} n USING (transaction_id)""")
 def q_read_landing_json(spark, sf):
-    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf)}/transaction_events",
+    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf, ("transaction_events",))}/transaction_events",
                            TOPICS["transaction_events"])
     return df.select("transaction_id", "user_id", "transaction_type", "timestamp", "status",
                      "payment_method", "currency", "subtotal", "tax", "total",
@@ -544,7 +530,7 @@ SELECT event_id, user_id, session_id, event_type, {_ISO} AS timestamp, page, dev
 FROM src_user_events""")
 def q_strict_load(spark, sf):
     """User events read FAILFAST: any malformed line would fail the load."""
-    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf)}/user_events", TOPICS["user_events"],
+    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf, ("user_events",))}/user_events", TOPICS["user_events"],
                            strict=True)
     return df.drop("ip_address", "search_query", "element_id")
 
@@ -577,7 +563,7 @@ def q_bronze_user_events(spark, sf):
 SELECT transaction_id, line_item_index, product_id, quantity, unit_price FROM {_DENSE_ITEMS}""")
 def q_flatten_items(spark, sf):
     """Typed LATERAL un-nest: one row per array element with its 0-based index."""
-    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf)}/transaction_events",
+    df = read_landing_json(spark, f"{P.land_fixtures(spark, sf, ("transaction_events",))}/transaction_events",
                            TOPICS["transaction_events"])
     x = df.select("transaction_id", F.posexplode("line_items").alias("line_item_index", "it"))
     return x.select("transaction_id", F.col("line_item_index").cast("int").alias("line_item_index"),
@@ -670,8 +656,8 @@ def q_replay_idempotent(spark, sf):
 @query("write_parquet_roundtrip", "SELECT * FROM fact_transactions")
 def q_write_parquet_roundtrip(spark, sf):
     path = scratch_dir(spark, "fact_parquet")
-    sinks.write_parquet(_fact_tx(spark, sf), path, partition_by=("transaction_date",))
-    return spark.read.parquet(path)
+    sinks.write_parquet(P.with_month(_fact_tx(spark, sf), "transaction_date"), path, partition_by=("event_month",))
+    return spark.read.parquet(path).drop("event_month")
 
 
 @query("csv_roundtrip", BODY["daily_revenue"])
@@ -694,7 +680,14 @@ def q_publish_staging(spark, sf):
     return spark.read.parquet(f"{root}/fact_transactions")
 
 
-BUCKETS = 16
+BUCKET_BYTES = 128 << 20
+
+
+def _buckets(source) -> int:
+    """Buckets of about BUCKET_BYTES of the files a table is built from; a power of two."""
+    from tidewater.operators.joins import estimated_bytes
+    size = estimated_bytes(source) or 0
+    return 1 << max(2, min(16, (size // BUCKET_BYTES).bit_length()))
 
 
 @query("bucketed_join", BODY["join_inner"])
@@ -706,28 +699,29 @@ def q_bucketed_join(spark, sf):
     root = scratch_dir(spark, "bucketed")
     f = _fact_tx(spark, sf).select("transaction_id", "transaction_date", "transaction_type")
     i = _items(spark, sf).select("transaction_id", "line_item_index", "category", "item_subtotal")
-    tf = sinks.write_bucketed(f, spark, f"tw_fact_{tag}", f"{root}/fact", "transaction_id", BUCKETS)
-    ti = sinks.write_bucketed(i, spark, f"tw_items_{tag}", f"{root}/items", "transaction_id", BUCKETS)
+    n = _buckets(table(spark, sf, "lineitem"))
+    tf = sinks.write_bucketed(f, spark, f"tw_fact_{tag}", f"{root}/fact", "transaction_id", n)
+    ti = sinks.write_bucketed(i, spark, f"tw_items_{tag}", f"{root}/items", "transaction_id", n)
     return spark.table(ti).join(spark.table(tf), "transaction_id")
 
 
-BACKFILL_FROM, BACKFILL_TO = "1998-01-01", "2001-12-31"
+BACKFILL_FROM = "1998-01-01"
 
 
 @query("backfill_range", BODY["daily_revenue"])
 def q_backfill_range(spark, sf):
-    """Mart built for the older history, then the range [from, to] recomputed
+    """Mart built for the older history, then everything from a day on recomputed
     from a partition-pruned read and written by dynamic partition overwrite."""
     fact_path = scratch_dir(spark, "fact_by_date")
-    sinks.write_parquet(_fact_tx(spark, sf), fact_path, partition_by=("transaction_date",))
-    fact = spark.read.parquet(fact_path)
+    sinks.write_parquet(P.with_month(_fact_tx(spark, sf), "transaction_date"), fact_path, partition_by=("event_month",))
+    fact = spark.read.parquet(fact_path).drop("event_month")
     mart = scratch_dir(spark, "daily_revenue_mart")
-    lo, hi = F.lit(BACKFILL_FROM).cast("date"), F.lit(BACKFILL_TO).cast("date")
+    lo = F.lit(BACKFILL_FROM).cast("date")
     first = marts.daily_revenue(fact.filter(F.col("transaction_date") < lo))
-    sinks.write_parquet(first, mart, partition_by=("sales_date",))
-    again = marts.daily_revenue(fact.filter(F.col("transaction_date").between(lo, hi)))
-    sinks.write_parquet(again, mart, partition_by=("sales_date",))
-    return spark.read.parquet(mart)
+    sinks.write_parquet(P.with_month(first, "sales_date"), mart, partition_by=("event_month",))
+    again = marts.daily_revenue(fact.filter(F.col("transaction_date") >= lo))
+    sinks.write_parquet(P.with_month(again, "sales_date"), mart, partition_by=("event_month",))
+    return spark.read.parquet(mart).drop("event_month")
 
 
 _QUALITY_TABLES = [("fact_transactions", ["transaction_id"]),
@@ -830,10 +824,10 @@ def q_customer_monthly_spend(spark, sf):
 
 @query("customer_ranked", f"""
 SELECT month, user_id, spend,
-  CAST(RANK() OVER (PARTITION BY month ORDER BY spend DESC NULLS LAST) AS INTEGER) AS spend_rank
+  CAST(RANK() OVER (PARTITION BY month ORDER BY spend DESC NULLS LAST) AS BIGINT) AS spend_rank
 FROM ({_MONTHLY_SPEND})""")
 def q_customer_ranked(spark, sf):
-    return A.customer_ranked(A.customer_monthly_spend(_fact_tx(spark, sf), _dim_customer(spark, sf)))
+    return A.customer_ranked(_fact_tx(spark, sf))
 
 
 CART_WINDOW_DAYS = 7
@@ -855,7 +849,7 @@ FROM (SELECT c.cart_date, EXISTS (
         WHERE p.user_id = c.user_id AND p.match_key = c.match_key
           AND p.purchase_date BETWEEN c.cart_date AND CAST(c.cart_date + {CART_WINDOW_DAYS} AS DATE)) AS conv
       FROM (SELECT e.event_id, e.user_id, d.category AS match_key, CAST(e.timestamp AS DATE) AS cart_date
-            FROM fact_user_events e JOIN dim_product d ON d.product_id = e.product_id
+            FROM fact_user_events e LEFT JOIN dim_product d ON d.product_id = e.product_id
             WHERE e.event_type = 'add_to_cart') c)
 GROUP BY 1""")
 def q_cart_to_purchase(spark, sf):
@@ -871,79 +865,76 @@ def q_cart_to_purchase(spark, sf):
 
 
 # ------------------------------------------------------------------ streaming
+from tidewater.operators.upsert import PartitionedTable  # noqa: E402
+from tidewater.plans.gold import GoldTables  # noqa: E402
 from tidewater.streaming import jobs as J  # noqa: E402
 
-STREAM_FILES_PER_TRIGGER = 1
+
+def _files_for(spark, path: str, batches: int) -> int:
+    """Files a trigger takes so that a folder is read in about ``batches`` micro-batches."""
+    names = spark.read.format("binaryFile").load(path).select("path").count()
+    return max(1, -(-names // batches))
 
 
 @query("ingest_landing", BODY["strict_load"])
 def q_ingest_landing(spark, sf):
-    """Landing topic -> typed Parquet by a checkpointed file stream, one file per
-    micro-batch (the poll window), drained with availableNow."""
-    landing = P.land_fixtures(spark, sf)
+    """Landing topic -> typed Parquet by a checkpointed file stream in several
+    micro-batches (the poll window), drained with availableNow."""
+    landing = f"{P.land_fixtures(spark, sf, ('user_events',))}/user_events"
     root = scratch_dir(spark, "ingest")
-    J.ingest_landing(spark, f"{landing}/user_events", "user_events", f"{root}/out", f"{root}/_ckpt",
-                     max_files=STREAM_FILES_PER_TRIGGER)
-    return spark.read.parquet(f"{root}/out").drop("ip_address", "search_query", "element_id")
+    J.ingest_landing(spark, landing, "user_events", f"{root}/out", f"{root}/_ckpt", max_files=_files_for(spark, landing, 3))
+    return spark.read.parquet(f"{root}/out").drop("ip_address", "search_query", "element_id", "batch")
 
 
 @query("archive_processed", BODY["read_landing_json"])
 def q_archive_processed(spark, sf):
-    """File stream with cleanSource=archive over a private copy of the landing
-    folder: consumed files are moved below the archive folder."""
-    landing = P.land_fixtures(spark, sf)
+    """File stream with cleanSource=archive over a private landing folder: the
+    consumed files are moved below the archive folder, and the answer is read
+    from there and from what the last batch left behind."""
+    landing = f"{P.land_fixtures(spark, sf, ('transaction_events',))}/transaction_events"
     root = scratch_dir(spark, "archive")
-    spark.read.text(f"{landing}/transaction_events").write.text(f"{root}/in")
-    for _ in range(2):  # files of the last batch are archived on the following run
-        J.ingest_landing(spark, f"{root}/in", "transaction_events", f"{root}/out", f"{root}/_ckpt",
-                         max_files=STREAM_FILES_PER_TRIGGER, archive_dir=f"{root}/archive")
-    df = spark.read.parquet(f"{root}/out")
+    J.ingest_landing(spark, landing, "transaction_events", f"{root}/out", f"{root}/_ckpt",
+                     max_files=_files_for(spark, landing, 3), archive_dir=f"{root}/archive")
+    lines = spark.read.option("recursiveFileLookup", True).text([p for p in (f"{root}/archive", landing) if _has_files(spark, p)])
+    df = parse_lines(lines, TOPICS["transaction_events"])
     return df.select("transaction_id", "user_id", "transaction_type", "timestamp", "status",
                      "payment_method", "currency", "subtotal", "tax", "total",
                      F.col("billing_address.city").alias("bill_city"), "original_transaction_id",
                      _size0("line_items").alias("item_count"))
 
 
-STREAM_CLEANED_FILES_PER_TRIGGER = 2500
-_STREAM_MEMO: dict = {}
+def _has_files(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.listFiles(p, True).hasNext()
+
 
+def _streamed(spark, sf, topic: str):
+    """Cleaned files of a topic through the silver stream in about three micro-batches; its sink and root."""
+    cleaned = P.clean_topics(spark, sf, (topic,))[topic]
+    root = scratch_dir(spark, f"silver_stream_{topic}")
+    files = max(1, -(-spark.read.parquet(cleaned).select("event_month").distinct().count() // 3))
+    sink, _ = J.stream_silver(spark, cleaned, topic, root, f"{root}/_ckpt/silver", max_files=files)
+    return sink, root
 
-def _stream_silver(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STREAM_MEMO:
-        cleaned = P.clean_topics(spark, sf)["transaction_events"]
-        root = scratch_dir(spark, "silver_stream")
-        sink = J.stream_silver(spark, cleaned, root, f"{root}/_ckpt/silver",
-                               max_files=STREAM_CLEANED_FILES_PER_TRIGGER)
-        _STREAM_MEMO[key] = (sink, root)
-    return _STREAM_MEMO[key]
+
+def _stream_to_gold(spark, sf, topic: str, kept_marts=()) -> GoldTables:
+    sink, root = _streamed(spark, sf, topic)
+    changes = {t: sink.changes(t) for t in sink.builds}
+    files = max(_files_for(spark, f"{path}/*/*.parquet", 2) for path in changes.values())
+    gold, _ = J.stream_gold(spark, changes, f"{root}/gold", f"{root}/_ckpt/gold", max_files=files, kept_marts=kept_marts)
+    return gold
 
 
 @query("stream_silver", BODY["silver_transactions"])
 def q_stream_silver(spark, sf):
-    """Bronze stream -> silver transactions and items from the same micro-batch."""
-    sink, _ = _stream_silver(spark, sf)
-    return sink.tx.current().drop("processed_at", "event_date")
+    """Bronze stream -> silver transactions and items -> persisted tables, several micro-batches each."""
+    return _stream_to_gold(spark, sf, "transaction_events").stg_transactions.current().drop("processed_at", "event_month")
 
 
 @query("stream_silver_events", BODY["silver_user_events"])
 def q_stream_silver_events(spark, sf):
-    cleaned = P.clean_topics(spark, sf)["user_events"]
-    root = scratch_dir(spark, "silver_events_stream")
-    table = J.stream_silver_events(spark, cleaned, root, f"{root}/_ckpt")
-    return table.current().drop("processed_at", "event_date")
-
-
-_FEED_MEMO: dict = {}
-
-
-def _change_feed(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FEED_MEMO:
-        sink, root = _stream_silver(spark, sf)
-        schema = spark.read.parquet(sink.changes).schema
-        _FEED_MEMO[key] = J.change_feed_to_fact(spark, sink.changes, schema, root, f"{root}/_ckpt/fact")
-    return _FEED_MEMO[key]
+    return _stream_to_gold(spark, sf, "user_events").stg_events.current().drop("processed_at", "event_month")
 
 
 @query("change_feed", """
@@ -951,7 +942,7 @@ SELECT * REPLACE (COALESCE(payment_method, 'USD') AS payment_method) FROM fact_t
 WHERE transaction_id IN (SELECT transaction_id FROM transaction_items)""")
 def q_change_feed(spark, sf):
     """Silver change log consumed by a gold stream with its own checkpoint."""
-    return _change_feed(spark, sf).fact.current().drop("event_date")
+    return _stream_to_gold(spark, sf, "transaction_events").fact_transactions.current().drop("event_month")
 
 
 @query("daily_revenue_stream", f"""
@@ -964,6 +955,175 @@ FROM fact_transactions
 WHERE status = 'completed' AND transaction_id IN (SELECT transaction_id FROM transaction_items)
 GROUP BY transaction_date""")
 def q_daily_revenue_stream(spark, sf):
-    """Daily revenue kept by the gold stream: each batch recomputes only the
-    days it touched (incremental refresh of the daily mart)."""
-    return _change_feed(spark, sf).daily_revenue()
+    """Daily revenue kept by the gold stream: each batch recomputes the months
+    its rows left or entered."""
+    return _stream_to_gold(spark, sf, "transaction_events", ("daily_revenue",)).marts["daily_revenue"].current().drop("event_month")
+
+
+# ------------------------------------------- batches with updates and moves
+
+def _third(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(3))
+
+
+def _batches(df, key: str, wrong: dict):
+    """Three batches whose end is ``df``: first two thirds with wrong values and an
+    early stamp, then the rest and one correction, then the other correction again with it."""
+    early = df.filter(_third(key) < 2).withColumns(wrong).withColumn(
+        "processed_at", F.col("processed_at") - F.expr("INTERVAL 4000 DAYS"))
+    return [early, df.filter(_third(key) != 1), df.filter(_third(key) != 2)]
+
+
+def _wrong_tx():
+    return {"status": F.lit("pending"), "timestamp": F.col("timestamp") + F.expr("INTERVAL 40 DAYS"),
+            "total": F.col("total") + F.lit(1).cast("decimal(18,2)")}
+
+
+def _gold_feeds(spark, sf) -> dict:
+    moved = F.col("timestamp") + F.expr("INTERVAL 40 DAYS")
+    return {
+        "transactions": _batches(fx.stg_transactions(spark, sf), "transaction_id", _wrong_tx()),
+        "items": _batches(fx.stg_items(spark, sf).drop("tie1", "tie2", "tie3", "tie4"), "transaction_id",
+                          {"timestamp": moved, "quantity": F.col("quantity") + 1}),
+        "events": _batches(fx.stg_user_events(spark, sf), "event_id", {"timestamp": moved, "page": F.lit("old")}),
+        "customers": _batches(fx.stg_customers(spark, sf), "user_id", {"last_name": F.lit("Old"), "email": F.lit("old")}),
+        "products": _batches(fx.stg_products(spark, sf), "product_id", {"category": F.lit("old")}),
+    }
+
+
+def _gold(spark, sf, feeds, kept_marts=(), batches=(0, 1, 2)) -> GoldTables:
+    """Gold tables after batches of the given feeds."""
+    gold, source = GoldTables(spark, scratch_dir(spark, "gold"), kept_marts), _gold_feeds(spark, sf)
+    for n in batches:
+        gold.apply(n, **{f: source[f][n] for f in feeds})
+    return gold
+
+
+def _register_gold(name: str, feeds: tuple, body: str, get):
+    @query(f"gold_{name}_incremental", body)
+    def _q(spark, sf):
+        replayed = (0, 1, 1, 2, 2) if name == "fact_transactions" else (0, 1, 2)
+        return get(_gold(spark, sf, feeds, [m for m in GoldTables.MARTS if m == name], replayed))
+    _q.__doc__ = f"{name} kept through three batches with corrections and moved dates."
+
+
+def _no_month(table):
+    return table.current().drop("event_month", "processed_at")
+
+
+_TX_DIM = ("transactions", "customers")
+for _name, _feeds, _sql, _get in (
+    ("stg_customers", ("customers",), BODY["silver_customers"], lambda g: _no_month(g.stg_customers)),
+    ("stg_products", ("products",), BODY["silver_products"], lambda g: _no_month(g.stg_products)),
+    ("dim_customer", ("customers",), BODY["dim_customer"], lambda g: _no_month(g.dim_customer)),
+    ("dim_product", ("products",), BODY["dim_product"], lambda g: _no_month(g.dim_product)),
+    ("fact_transactions", ("transactions",), BODY["fact_transactions"], lambda g: _no_month(g.fact_transactions)),
+    ("transaction_items", ("items",), BODY["transaction_items"], lambda g: _no_month(g.items)),
+    ("fact_user_events", ("events",), BODY["fact_user_events"], lambda g: _no_month(g.events)),
+    ("daily_revenue", ("transactions",), BODY["daily_revenue"], lambda g: _no_month(g.marts["daily_revenue"])),
+    ("revenue_by_category", ("items",), BODY["revenue_by_category"], lambda g: _no_month(g.marts["revenue_by_category"])),
+    ("refunds_by_category", ("transactions", "items"), BODY["refunds_by_category"], lambda g: _no_month(g.marts["refunds_by_category"])),
+    ("customer_daily_spend", _TX_DIM, BODY["customer_daily_spend"], lambda g: _no_month(g.marts["customer_daily_spend"])),
+    ("customer_risk", _TX_DIM, BODY["customer_risk"], lambda g: _no_month(g.marts["customer_risk"])),
+    ("refund_items_nested", ("transactions", "items"), BODY["refund_items_nested"], lambda g: _no_month(g.marts["refund_items_nested"])),
+):
+    _register_gold(_name, _feeds, _sql, _get)
+
+
+def _by_date(spark, name: str) -> PartitionedTable:
+    return PartitionedTable(spark, scratch_dir(spark, name), "event_month")
+
+
+@query("upsert_moved_date", "SELECT * FROM fact_transactions")
+def q_upsert_moved_date(spark, sf):
+    """Every transaction first lies 40 days late; the second batch moves it."""
+    f, t = _fact_tx(spark, sf), _by_date(spark, "moved")
+    late = f.withColumn("transaction_date", F.date_add("transaction_date", 40))
+    t.upsert(P.with_month(late, "transaction_date"), "transaction_id", 0)
+    t.upsert(P.with_month(f, "transaction_date"), "transaction_id", 1)
+    return t.current().drop("event_month")
+
+
+@query("upsert_null_date", """
+SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN NULL ELSE transaction_date END AS transaction_date)
+FROM fact_transactions""")
+def q_upsert_null_date(spark, sf):
+    """Rows without a date come in two batches; the second must not lose those of the first."""
+    k = F.col("transaction_id").cast("bigint")
+    f = _fact_tx(spark, sf).withColumn("transaction_date", F.when(k % 3 != 0, F.col("transaction_date")))
+    t = _by_date(spark, "nulls")
+    t.upsert(P.with_month(f.filter(k % 2 == 0), "transaction_date"), "transaction_id", 0)
+    t.upsert(P.with_month(f.filter(k % 2 == 1), "transaction_date"), "transaction_id", 1)
+    return t.current().drop("event_month")
+
+
+@query("upsert_three_batches", _MERGED_SQL)
+def q_upsert_three_batches(spark, sf):
+    """Old snapshot, a batch of updates and new rows, and the same batch replayed."""
+    target, batch = _merge_inputs(spark, sf)
+    t = _by_date(spark, "three")
+    t.upsert(P.with_month(target, "transaction_date"), "transaction_id", 0)
+    for n in (1, 1, 2):
+        t.upsert(P.with_month(batch, "transaction_date"), "transaction_id", n)
+    return t.current().drop("event_month")
+
+
+@query("daily_revenue_updates", BODY["daily_revenue"])
+def q_daily_revenue_updates(spark, sf):
+    """Later batches change status and date of earlier rows and empty the days of a month."""
+    tx, gold = fx.stg_transactions(spark, sf), GoldTables(spark, scratch_dir(spark, "updates"), ("daily_revenue",))
+    wrong = tx.withColumns(_wrong_tx()).withColumn("processed_at", F.col("processed_at") - F.expr("INTERVAL 4000 DAYS"))
+    alone = wrong.withColumns({"timestamp": F.lit("1970-05-05").cast("timestamp_ntz"), "status": F.lit("completed")})
+    gold.apply(0, transactions=wrong.filter(_third("transaction_id") > 0).unionByName(alone.filter(_third("transaction_id") == 0)))
+    gold.apply(1, transactions=tx.filter(_third("transaction_id") == 0))
+    gold.apply(2, transactions=tx.filter(_third("transaction_id") > 0))
+    return _no_month(gold.marts["daily_revenue"])
+
+
+# --------------------------------------------------- landing with bad lines
+from tidewater.plans.etl import run_etl  # noqa: E402
+from tidewater.sources.landing import parse_lines, quarantine  # noqa: E402
+
+
+def _dirty(spark, sf) -> str:
+    """User events as JSON lines in which numbers drift to text and some lines are broken."""
+    ev = fx.stg_user_events(spark, sf, defaults=False).select("event_id", "event_type", "quantity")
+    k = F.col("event_id").cast("bigint")
+    q = F.coalesce(F.col("quantity").cast("string"), F.lit("null"))
+    number = (F.when(F.col("quantity").isNull(), "null").when(k % 4 == 0, F.concat(F.lit('"'), q, F.lit('"')))
+              .when(k % 4 == 1, F.concat(q, F.lit(".0"))).when(k % 4 == 2, F.lit('"n/a"')).otherwise(q))
+    line = F.concat(F.lit('{"event_id": "'), F.col("event_id"), F.lit('", "event_type": "'), F.col("event_type"),
+                    F.lit('", "quantity": '), number, F.lit("}"))
+    broken = F.when(k % 7 == 3, F.concat(F.lit("{broken "), F.col("event_id"))).when(k % 7 == 4, F.lit("")).otherwise(line)
+    path = f"{scratch_dir(spark, 'dirty')}/user_events"
+    ev.select(broken.alias("value")).write.text(path)
+    return path
+
+
+@query("read_landing_dirty", """
+SELECT event_id, event_type,
+  CASE WHEN CAST(event_id AS BIGINT) % 4 <> 2 THEN CAST(quantity AS BIGINT) END AS quantity
+FROM src_user_events WHERE CAST(event_id AS BIGINT) % 7 NOT IN (3, 4)""")
+def q_read_landing_dirty(spark, sf):
+    """Every line that is a JSON object keeps its row, whatever its number fields hold."""
+    return read_landing_json(spark, _dirty(spark, sf), TOPICS["user_events"]).select("event_id", "event_type", "quantity")
+
+
+@query("quarantine_rows", """
+SELECT '{broken ' || event_id AS line FROM src_user_events WHERE CAST(event_id AS BIGINT) % 7 = 3""")
+def q_quarantine_rows(spark, sf):
+    return quarantine(spark, _dirty(spark, sf)).select(F.col("_corrupt_record").alias("line"))
+
+
+@query("etl_two_landings", """
+SELECT event_id, event_type, CAST(timestamp AS DATE) AS event_date FROM src_user_events""")
+def q_etl_two_landings(spark, sf):
+    """Two landings that share days: the second run appends its files and keeps the first's rows."""
+    from tidewater.sources.landing import pack_user_events, write_json_lines
+    ev = pack_user_events(fx.stg_user_events(spark, sf, defaults=False))
+    root = scratch_dir(spark, "two_landings")
+    for n in range(2):
+        write_json_lines(ev.filter(F.col("event_id").cast("bigint") % 2 == n), f"{root}/new{n}")
+        spark.read.text(f"{root}/new{n}").write.mode("append").text(f"{root}/landing/user_events")
+        run_etl(spark, f"{root}/landing", f"{root}/out")
+    return spark.read.parquet(f"{root}/out/user_events").select("event_id", "event_type", "event_date")

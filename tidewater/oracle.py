@@ -131,11 +131,10 @@ PROD_COLS = ["product_id", "product_name", "category", "subcategory", "brand", "
              "msrp", "cost_price", "created_date", "is_active", "processed_at"]
 
 
-def latest_sql(src: str, keys: list[str], order: str, cols: list[str], where: str = "TRUE") -> str:
-    """ROW_NUMBER()=1 per key, order desc, ties broken by every other column asc
+def latest_sql(src: str, keys: list[str], order: list[str], ties: list[str], where: str = "TRUE") -> str:
+    """ROW_NUMBER()=1 per key: ``order`` desc, then ``ties`` asc
     (NULLS FIRST for asc, NULLS LAST for desc: Spark's defaults)."""
-    ties = [c for c in cols if c not in keys and c != order]
-    ob = ", ".join([f"{order} DESC NULLS LAST"] + [f"{c} ASC NULLS FIRST" for c in ties])
+    ob = ", ".join([f"{c} DESC NULLS LAST" for c in order] + [f"{c} ASC NULLS FIRST" for c in ties])
     return (f"SELECT * EXCLUDE (rn__) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "
             f"{', '.join(keys)} ORDER BY {ob}) AS rn__ FROM {src} WHERE {where}) WHERE rn__ = 1")
 
@@ -145,24 +144,26 @@ GOLD["fact_transactions"] = f"""
 SELECT transaction_id, user_id, timestamp AS transaction_ts, CAST(timestamp AS DATE) AS transaction_date,
   transaction_type, status, payment_method, tax, total, subtotal,
   bill_country AS billing_country, bill_city AS billing_city, bill_state AS billing_state
-FROM ({latest_sql('stg_transactions', ['transaction_id'], 'processed_at', TX_COLS, 'timestamp IS NOT NULL')})"""
+FROM ({latest_sql('stg_transactions', ['transaction_id'], ['processed_at', 'timestamp'],
+                  ['status', 'total'], 'timestamp IS NOT NULL')})"""
 GOLD["transaction_items"] = f"""
 SELECT transaction_id, user_id, timestamp, product_id, product_name, category, brand, quantity,
   unit_price, item_subtotal, currency, line_item_index
-FROM ({latest_sql('stg_items', ['transaction_id', 'line_item_index'], 'processed_at', ITEM_SRC_COLS,
+FROM ({latest_sql('stg_items', ['transaction_id', 'line_item_index'], ['processed_at', 'timestamp'], ['product_id', 'quantity'],
                   'transaction_id IS NOT NULL AND line_item_index IS NOT NULL')})"""
 GOLD["fact_user_events"] = f"""
 SELECT event_id, event_type, timestamp, user_id, session_id, page, device, browser, country, city,
   product_id, quantity
-FROM ({latest_sql('stg_user_events', ['event_id'], 'processed_at', UE_COLS, 'event_id IS NOT NULL')})"""
+FROM ({latest_sql('stg_user_events', ['event_id'], ['processed_at', 'timestamp'],
+                  ['event_type', 'page'], 'event_id IS NOT NULL')})"""
 GOLD["dim_customer"] = f"""
 SELECT user_id, first_name, last_name, first_name || ' ' || last_name AS full_name, email,
   account_type, registration_date, date_of_birth, loyalty_points, state, TRUE AS is_active
-FROM ({latest_sql('stg_customers', ['user_id'], 'processed_at', CUST_COLS)})"""
+FROM ({latest_sql('stg_customers', ['user_id'], ['processed_at'], [c for c in CUST_COLS if c not in ('user_id', 'processed_at')])})"""
 GOLD["dim_product"] = f"""
 SELECT product_id, product_name, category, subcategory, manufacturer, brand, msrp, cost_price,
   created_date, is_active
-FROM ({latest_sql('stg_products', ['product_id'], 'processed_at', PROD_COLS)})"""
+FROM ({latest_sql('stg_products', ['product_id'], ['processed_at'], [c for c in PROD_COLS if c not in ('product_id', 'processed_at')])})"""
 
 GOLD_ORDER = ["fact_transactions", "transaction_items", "fact_user_events", "dim_customer",
               "dim_product"]

@@ -37,8 +37,13 @@ def type_totals(fact_tx: DataFrame, ttype: str, grain: str = "day") -> DataFrame
             .agg(F.count("*").alias("transactions"), F.sum(amount).cast(SUM_TYPE).alias("amount")))
 
 
-def heavy_users(fact_tx: DataFrame, ttype: str, threshold: int) -> DataFrame:
-    """Users with more than ``threshold`` completed ``ttype`` in one month."""
+HEAVY_THRESHOLDS = {"refund": 10, "chargeback": 5}  # documented limits (fixed values)
+
+
+def heavy_users(fact_tx: DataFrame, ttype: str, threshold: int | None = None) -> DataFrame:
+    """Users with more than ``threshold`` completed ``ttype`` in one month; the documented limit by default."""
+    if threshold is None:
+        threshold = HEAVY_THRESHOLDS[ttype]
     return (_completed(fact_tx, ttype)
             .groupBy("user_id", _period("month"))
             .agg(F.count("*").alias("events"))
@@ -63,10 +68,12 @@ def customer_monthly_spend(fact_tx: DataFrame, dim_customer: DataFrame) -> DataF
                                                "orders", "spend")
 
 
-def customer_ranked(monthly_spend: DataFrame) -> DataFrame:
-    """Rank of each customer by spend within the month (ties share a rank),
+def customer_ranked(fact_tx: DataFrame) -> DataFrame:
+    """Rank of each customer by completed spend within the month (ties share a rank),
     computed without a month-wide window (see ``operators.ranking``)."""
-    return rank_desc(monthly_spend.select("month", "user_id", "spend"), "month", "spend", "spend_rank")
+    spend = (_completed(fact_tx).groupBy(_period("month"), "user_id")
+             .agg(F.sum("total").cast(SUM_TYPE).alias("spend")))
+    return rank_desc(spend, "month", "spend", "spend_rank")
 
 
 def running_revenue(daily: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def cart_to_purchase(cart_events: DataFrame, purchases: DataFrame, days: int = 7
     nxt = F.min(F.when(F.col("kind") == 1, F.col("d"))).over(w)
     tagged = (c2.unionByName(p2).withColumn("next_purchase", nxt).filter(F.col("kind") == 0)
               .select("event_id", F.col("d").alias("cart_date"),
-                      (F.col("next_purchase").isNotNull()
+                      (F.col("next_purchase").isNotNull() & F.col("match_key").isNotNull()
                        & (F.col("next_purchase") <= F.date_add("d", days))).alias("converted")))
     g = tagged.groupBy("cart_date").agg(F.count("*").alias("carts"),
                                          F.count_if("converted").alias("conversions"))
@@ -131,7 +138,7 @@ def cart_inputs(user_events: DataFrame, fact_tx: DataFrame, items: DataFrame,
     tx = _completed(fact_tx, "purchase").select("transaction_id", "user_id", pdate.alias("purchase_date"))
     if match == "category":
         prod = broadcast_if_small(products.select("product_id", F.col("category").alias("match_key")))
-        carts = carts.join(prod, "product_id")
+        carts = carts.join(prod, "product_id", "left")  # a cart of an unknown product converts to nothing
         it = items.select("transaction_id", F.col("category").alias("match_key")).dropDuplicates()
     else:
         carts = carts.withColumn("match_key", F.col("product_id"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidewater.functions.casts import date_key, day_name, iso_day_of_week, month_name
 from tidewater.operators.latest import keep_latest
 
-DIM_DATE_MAX_ROWS = 50000  # row cap of the date span (fixed value)
 DIM_DATE_MARGIN_DAYS = 30  # days added on each side of the data (fixed value)
 
 
@@ -33,19 +32,18 @@ def dim_product(stg_products: DataFrame, as_of=None) -> DataFrame:
 
 
 def dim_date(stg_transactions: DataFrame) -> DataFrame:
-    """Calendar 30 days either side of the data, at most 50,000 days.
+    """Calendar 30 days either side of the data, every day of it.
 
     The bounds are one global min/max (partial aggregation on every task, one
     row to the final step); the span is generated from that single row and is
-    bounded by the cap, so it never grows with the data.
+    bounded by the date type, so it never grows with the data.
     """
     d = F.col("timestamp").cast("date")
     bounds = (stg_transactions.filter(F.col("timestamp").isNotNull())
               .agg(F.date_sub(F.min(d), DIM_DATE_MARGIN_DAYS).alias("min_d"),
                    F.date_add(F.max(d), DIM_DATE_MARGIN_DAYS).alias("max_d")))
-    hi = F.least(F.col("max_d"), F.date_add(F.col("min_d"), DIM_DATE_MAX_ROWS - 1))
     span = bounds.filter(F.col("min_d").isNotNull()).select(
-        F.explode(F.sequence(F.col("min_d"), hi)).alias("d"))
+        F.explode(F.sequence(F.col("min_d"), F.col("max_d"))).alias("d"))
     d = F.col("d")
     dow = iso_day_of_week(d)
     return span.select(

@@ -1,10 +1,14 @@
-"""Batch ETL job: landing JSON topics -> cleaned, date-partitioned Parquet.
+"""Batch ETL job: landing JSON topics -> cleaned Parquet, validated, new files only.
 
-    spark-submit -m tidewater.plans.etl --landing L --out O [--config k=v ...]
+    spark-submit -m tidewater.plans.etl --landing L --out O [--from D] [--to D] [--archive A] [--config k=v ...]
 
-Each topic is read with its fixed schema, standardized and written on its
-own, so an empty or missing topic never blocks the other.  Errors are not
-swallowed: the job exits non-zero and the scheduler's retry can act.
+Each topic is read, standardized and written on its own, so an empty or
+missing topic never blocks the other.  A run takes the files that no run has
+taken before (a checkpointed file stream, drained once) and appends them below
+``out/<topic>/batch=<n>``; a repeated batch rewrites its own folder.  Lines
+without a JSON object go to ``out/<topic>/_quarantine``.  ``--archive`` moves
+consumed files there.  Errors are not swallowed: the job exits non-zero and
+the scheduler's retry can act, and so it does if a batch breaks a rule.
 ``--config`` pairs are split on the first ``=`` only.
 """
 
@@ -13,10 +17,17 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.plans.layers import EVENT_TOPICS, clean_topic
-from tidewater.sources.sinks import write_parquet
+from tidewater.operators.clean import standardize_transactions, standardize_user_events
+from tidewater.operators.quality import assert_quality, quality_report
+from tidewater.plans.layers import EVENT_TOPICS, write_cleaned
+
+CLEAN = {"transaction_events": standardize_transactions, "user_events": standardize_user_events}
+KEYS = {"transaction_events": ["transaction_id"], "user_events": ["event_id"]}
+#: Topics whose batches must hold each key once; user events pass through as they come.
+UNIQUE = {"transaction_events"}
 
 
 def parse_config(pairs) -> dict:
@@ -29,21 +40,57 @@ def parse_config(pairs) -> dict:
     return out
 
 
-def run_etl(spark: SparkSession, landing: str, out: str, topics=EVENT_TOPICS) -> dict[str, str]:
-    """Clean every topic that has data; returns topic -> written path."""
-    written = {}
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Rows whose event date lies in [start, end]; rows without a date only without bounds."""
+    if start:
+        df = df.filter(F.col("event_date") >= F.lit(start).cast("date"))
+    if end:
+        df = df.filter(F.col("event_date") <= F.lit(end).cast("date"))
+    return df
+
+
+def run_etl(spark: SparkSession, landing: str, out: str, topics=EVENT_TOPICS, start: str | None = None,
+            end: str | None = None, archive: str | None = None) -> dict[str, str]:
+    """Clean every topic that has a landing folder; returns topic -> cleaned folder."""
+    from tidewater.streaming.jobs import ingest_landing
+
+    done = {}
     for topic in topics:
-        df = clean_topic(spark, landing.rstrip("/"), topic)
-        if df.isEmpty():  # emptiness guard: one row is enough, no full count
+        source, target = f"{landing.rstrip('/')}/{topic}", f"{out.rstrip('/')}/{topic}"
+        if not _exists(spark, source):
             continue
-        written[topic] = write_parquet(df, f"{out.rstrip('/')}/{topic}", partition_by=("event_date",))
-    return written
+
+        def write(rows: DataFrame, path: str, topic: str = topic) -> None:
+            write_cleaned(between(CLEAN[topic](rows), start, end), path, topic)
+            if topic in UNIQUE:
+                written = spark.read.parquet(path) if not _empty(spark, path) else None
+                if written is not None:
+                    assert_quality(quality_report({topic: (written, KEYS[topic])}))
+
+        ingest_landing(spark, source, topic, target, f"{out.rstrip('/')}/_checkpoints/{topic}",
+                       archive_dir=f"{archive.rstrip('/')}/{topic}" if archive else None, clean=write)
+        done[topic] = target
+    return done
+
+
+def _empty(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder holds no partition: nothing was left of the batch."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not any(st.isDirectory() for st in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p))
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description="landing JSON -> cleaned Parquet")
     ap.add_argument("--landing", required=True)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--from", dest="start")
+    ap.add_argument("--to", dest="end")
+    ap.add_argument("--archive")
     ap.add_argument("--name", default="tidewater-etl")
     ap.add_argument("--master", default=None)
     ap.add_argument("--config", action="append")
@@ -51,8 +98,7 @@ def main(argv=None) -> int:
     from tidewater.session import build_session
     spark = build_session(a.master, app=a.name, extra=parse_config(a.config))
     try:
-        written = run_etl(spark, a.landing, a.out)
-        print({k: v for k, v in written.items()})
+        print(run_etl(spark, a.landing, a.out, start=a.start, end=a.end, archive=a.archive))
         return 0
     finally:
         spark.stop()

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.latest import keep_latest
 
+#: newest event wins; equal times go by these columns, which settle the rows' values
+TX_TIES = ["status", "total"]
+ITEM_TIES = ["product_id", "quantity"]
+EVENT_TIES = ["event_type", "page"]
+
 FACT_TRANSACTION_COLS = [
     "transaction_id", "user_id", "transaction_ts", "transaction_date", "transaction_type",
     "status", "payment_method", "tax", "total", "subtotal",
@@ -24,7 +29,7 @@ USER_EVENT_COLS = [
 
 def fact_transactions(stg_transactions: DataFrame) -> DataFrame:
     latest = keep_latest(stg_transactions.filter(F.col("timestamp").isNotNull()),
-                         "transaction_id", "processed_at")
+                         "transaction_id", ["processed_at", "timestamp"], tie_breakers=TX_TIES)
     return latest.select(
         "transaction_id", "user_id",
         F.col("timestamp").alias("transaction_ts"),
@@ -48,9 +53,10 @@ def transaction_items(stg_items: DataFrame, only_transactions: DataFrame | None
     src = stg_items.filter(F.col("transaction_id").isNotNull() & F.col("line_item_index").isNotNull())
     if only_transactions is not None:
         src = src.join(only_transactions.select("transaction_id").distinct(), "transaction_id", "left_semi")
-    return keep_latest(src, ["transaction_id", "line_item_index"], "processed_at").select(*ITEM_COLS)
+    return keep_latest(src, ["transaction_id", "line_item_index"], ["processed_at", "timestamp"],
+                       tie_breakers=ITEM_TIES).select(*ITEM_COLS)
 
 
 def fact_user_events(stg_user_events: DataFrame) -> DataFrame:
     src = stg_user_events.filter(F.col("event_id").isNotNull())
-    return keep_latest(src, "event_id", "processed_at").select(*USER_EVENT_COLS)
+    return keep_latest(src, "event_id", ["processed_at", "timestamp"], tie_breakers=EVENT_TIES).select(*USER_EVENT_COLS)

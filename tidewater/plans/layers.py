@@ -2,14 +2,13 @@
 
 ``land_fixtures`` packs the driver-derived sources into landing JSON (one
 folder per topic) under the shared folder; ``clean_topics`` is the ETL job
-(standardize + date-partitioned Parquet); ``bronze``/``silver`` read back.
-Paths are memoised per session and scale so that several query keys reuse
-one landing run instead of writing the same files again.
+(standardize + Parquet in month folders); ``bronze``/``silver`` read back.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.operators.clean import standardize_transactions, standardize_user_events
 from tidewater.plans import facts
@@ -21,16 +20,10 @@ from tidewater.sources.landing import (pack_customers, pack_products, pack_trans
 from tidewater.sources.schemas import TOPICS
 from tidewater.sources.sinks import write_parquet
 
-_MEMO: dict = {}
-
 EVENT_TOPICS = ("transaction_events", "user_events")
 DIM_TOPICS = ("customers", "products")
 
 
-def _memo_key(spark: SparkSession, sf_dir: str, what: str):
-    return (spark.sparkContext.applicationId, sf_dir, what)
-
-
 def packed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tx = fx.stg_transactions(spark, sf_dir, defaults=False)
     items = facts.transaction_items(fx.stg_items(spark, sf_dir))
@@ -42,14 +35,13 @@ def packed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def land_fixtures(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
-    key = _memo_key(spark, sf_dir, "landing")
-    if key not in _MEMO:
-        root = scratch_dir(spark, "landing")
-        for topic, df in packed_sources(spark, sf_dir).items():
-            write_json_lines(df, f"{root}/{topic}", files)
-        _MEMO[key] = root
-    return _MEMO[key]
+def land_fixtures(spark: SparkSession, sf_dir: str, topics=EVENT_TOPICS + DIM_TOPICS) -> str:
+    """Landing folders of the given topics, written with the input's own parallelism; a fresh root on every call."""
+    root = scratch_dir(spark, "landing")
+    sources = packed_sources(spark, sf_dir)
+    for topic in topics:
+        write_json_lines(sources[topic], f"{root}/{topic}")
+    return root
 
 
 def clean_topic(spark: SparkSession, landing_root: str, topic: str) -> DataFrame:
@@ -61,21 +53,25 @@ def clean_topic(spark: SparkSession, landing_root: str, topic: str) -> DataFrame
     return df
 
 
-def clean_topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def with_month(df: DataFrame, date_col: str = "event_date") -> DataFrame:
+    """``event_month``, the first day of the month: the folder column of event tables.
+    Days would be thousands of folders of a few rows each; the day stays a column."""
+    return df.withColumn("event_month", F.trunc(F.col(date_col).cast("date"), "MM"))
+
+
+def write_cleaned(df: DataFrame, path: str, topic: str, mode: str = "overwrite") -> str:
+    if topic in EVENT_TOPICS:
+        return write_parquet(with_month(df), path, partition_by=("event_month",), mode=mode)
+    return write_parquet(df, path, partition_by=(), mode=mode)
+
+
+def clean_topics(spark: SparkSession, sf_dir: str, topics=EVENT_TOPICS + DIM_TOPICS) -> dict[str, str]:
     """The ETL step: each topic cleaned and written on its own, so an empty or
     failing topic never blocks the other."""
-    key = _memo_key(spark, sf_dir, "cleaned")
-    if key not in _MEMO:
-        landing = land_fixtures(spark, sf_dir)
-        root = scratch_dir(spark, "cleaned")
-        out = {}
-        for topic in EVENT_TOPICS + DIM_TOPICS:
-            df = clean_topic(spark, landing, topic)
-            part = ("event_date",) if topic in EVENT_TOPICS else ()
-            out[topic] = write_parquet(df, f"{root}/{topic}", partition_by=part)
-        _MEMO[key] = out
-    return _MEMO[key]
+    landing = land_fixtures(spark, sf_dir, topics)
+    root = scratch_dir(spark, "cleaned")
+    return {t: write_cleaned(clean_topic(spark, landing, t), f"{root}/{t}", t) for t in topics}
 
 
 def bronze(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    return load_bronze(spark, clean_topics(spark, sf_dir)[topic])
+    return load_bronze(spark, clean_topics(spark, sf_dir, (topic,))[topic])

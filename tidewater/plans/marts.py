@@ -102,11 +102,11 @@ def refund_items_nested(stg_tx: DataFrame, items: DataFrame) -> DataFrame:
     tx = (stg_tx.filter((F.col("status") == "completed")
                         & F.col("transaction_type").isin(*REFUND_TYPES))
           .select("user_id", "transaction_id", "timestamp", "bill_country", "bill_city", "bill_state"))
-    it = items.select(F.col("transaction_id").alias("_it_tx"), *ITEM_STRUCT_FIELDS)
-    j = tx.join(it, tx.transaction_id == it._it_tx, "left")
+    # one row per transaction before the join: nothing fans out
     entry = F.struct(F.col("line_item_index").alias("k"), F.struct(*ITEM_STRUCT_FIELDS).alias("v"))
-    g = (j.groupBy("user_id", "transaction_id", "timestamp", "bill_country", "bill_city", "bill_state")
-         .agg(F.collect_list(F.when(F.col("_it_tx").isNotNull(), entry)).alias("_items")))
-    return g.select("user_id", "transaction_id", "timestamp", "bill_country", "bill_city",
-                    "bill_state",
-                    F.transform(F.sort_array("_items"), lambda x: x["v"]).alias("purchase_items"))
+    per_tx = (items.join(tx.select("transaction_id").distinct(), "transaction_id", "left_semi")
+              .groupBy("transaction_id").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["v"]).alias("purchase_items")))
+    kind = per_tx.schema["purchase_items"].dataType
+    return tx.join(per_tx, "transaction_id", "left").select(
+        "user_id", "transaction_id", "timestamp", "bill_country", "bill_city", "bill_state",
+        F.coalesce("purchase_items", F.array().cast(kind)).alias("purchase_items"))

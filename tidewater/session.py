@@ -7,7 +7,6 @@ session that already exists except what correctness needs (time zone, ANSI).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,7 +59,7 @@ _LOCAL_DIRS: dict = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder named by ``spark.checkpoint.dir``.
+    """The cluster-wide folder named by ``spark.checkpoint.dir``; without it a cluster is refused.
 
     On a cluster this is set by the operator to a shared file system and is
     used as is.  Only where it is unset (local tests) a fresh folder is made;
@@ -70,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = _LOCAL_DIRS.get(sc.applicationId)
         if d is None:
             d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
@@ -83,6 +84,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared folder for one run."""
     base = shared_dir(spark)
     path = f"{base}/tidewater-runs/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

@@ -7,46 +7,94 @@ the same fixed schema and the same downstream code.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-from tidewater.sources.schemas import CORRUPT, TOPICS, with_corrupt
+from tidewater.sources.schemas import CORRUPT, TOPICS
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
-def read_landing_json(spark: SparkSession, path: str, schema, strict: bool = False,
-                      keep_corrupt: bool = False) -> DataFrame:
-    """Read JSON lines with a fixed schema.
+def parse_lines(lines: DataFrame, schema, strict: bool = False) -> DataFrame:
+    """JSON text lines (column ``value``) -> typed rows, one per line that is a JSON object.
 
-    Default DROPMALFORMED: malformed lines are skipped here and collected by
-    ``quarantine``.  ``keep_corrupt=True`` is PERMISSIVE with the raw text in
-    ``_corrupt_record``.  ``strict=True`` is FAILFAST: the first bad record
-    fails the load, as the warehouse's abort-on-error does.  A missing folder
-    is an empty frame, not an error.
+    Fields are path lookups with ``try_`` casts, so a number written as text,
+    or text where a number belongs, keeps its row (the field is NULL if it
+    cannot be read) and the rows never depend on the columns asked for.
+    ``strict`` fails on the first line that is no object or has a number field
+    that is none, also when only other columns are read.
     """
-    reader = spark.read
-    if keep_corrupt:
-        reader = reader.schema(with_corrupt(schema)).option("mode", "PERMISSIVE") \
-            .option("columnNameOfCorruptRecord", CORRUPT)
+    v = F.try_parse_json("value")
+    good = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+    rows = lines.filter(F.trim("value") != "")
+    if strict:
+        rows = rows.filter(F.when(good & ~_drifts(v, schema), True).otherwise(
+            F.raise_error(F.concat(F.lit("malformed record: "), F.substring("value", 1, 200))).cast("boolean")))
     else:
-        reader = reader.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
+        rows = rows.filter(good)
+    return rows.select(*[_field(v, f).alias(f.name) for f in schema.fields])
+
+
+def _field(v: F.Column, f) -> F.Column:
+    return _typed(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType)
+
+
+def _typed(v: F.Column, kind) -> F.Column:
+    if isinstance(kind, StructType):
+        inner = F.struct(*[_field(v, f).alias(f.name) for f in kind.fields])
+        return F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), inner)
+    if isinstance(kind, ArrayType):
+        return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: _typed(x, kind.elementType))
+    return F.try_variant_get(v, "$", kind.simpleString())
+
+
+def _drifts(v: F.Column, kind) -> F.Column:
+    """Whether a value is there but cannot be read as its field's type."""
+    if isinstance(kind, StructType):
+        checks = [_drifts(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType) for f in kind.fields]
+        return F.coalesce(reduce(lambda a, b: a | b, checks), F.lit(False))
+    if isinstance(kind, ArrayType):
+        return F.coalesce(F.exists(F.try_variant_get(v, "$", "array<variant>"), lambda x: _drifts(x, kind.elementType)), F.lit(False))
+    text = F.try_variant_get(v, "$", "string")
+    return F.coalesce(text.isNotNull() & F.try_variant_get(v, "$", kind.simpleString()).isNull(), F.lit(False))
+
+
+def _text(spark: SparkSession, path: str) -> DataFrame | None:
+    """The folder's lines; None where there is no folder."""
     try:
-        return reader.json(path)
+        return spark.read.text(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], schema)
+            return None
         raise
 
 
+def read_landing_json(spark: SparkSession, path: str, schema, strict: bool = False) -> DataFrame:
+    """The good lines of a landing folder with a fixed schema; the others are ``quarantine``'s.
+
+    A missing folder is an empty frame, not an error.
+    """
+    lines = _text(spark, path)
+    return spark.createDataFrame([], schema) if lines is None else parse_lines(lines, schema, strict)
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """Lines that hold something but no JSON object."""
+    v = F.try_parse_json("value")
+    return lines.filter((F.trim("value") != "") & F.try_variant_get(v, "$", "map<string,variant>").isNull())
+
+
 def quarantine(spark: SparkSession, path: str) -> DataFrame:
-    """The malformed lines of a landing folder, for a dead-letter table: lines
-    that do not parse as JSON, with their file.  Read as text, so it prunes and
-    scales like any scan (no cache of the parsed data is needed)."""
-    lines = spark.read.text(path)
-    bad = lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull())
-    return bad.select(F.col("value").alias(CORRUPT), F.col("_metadata.file_path").alias("source_file"))
+    """The malformed lines of a landing folder, for a dead-letter table, with their file.
+    Good and quarantined lines together are all lines that are not blank."""
+    lines = _text(spark, path)
+    if lines is None:
+        return spark.createDataFrame([], f"{CORRUPT} string, source_file string")
+    return bad_lines(lines).select(F.col("value").alias(CORRUPT), F.col("_metadata.file_path").alias("source_file"))
 
 
 def extract_topics(spark: SparkSession, landing_root: str, topics=None) -> dict[str, DataFrame]:
@@ -118,7 +166,6 @@ def pack_products(p: DataFrame) -> DataFrame:
                     F.col("created_date").cast("string").alias("created_date"), "is_active")
 
 
-def write_json_lines(df: DataFrame, path: str, files: int | None = None) -> str:
-    out = df.repartition(files) if files else df
-    out.write.mode("overwrite").json(path)
+def write_json_lines(df: DataFrame, path: str) -> str:
+    df.write.mode("overwrite").json(path)
     return path

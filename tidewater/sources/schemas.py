@@ -46,6 +46,3 @@ TOPICS = {
     "products": PRODUCT,
 }
 
-
-def with_corrupt(schema: StructType) -> StructType:
-    return StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])

@@ -8,46 +8,6 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
-_PLANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table; the (lazy) DataFrame is reused within one session, which
-    saves the footer read and plan analysis, never any data."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _PLANS:
-        _PLANS[key] = with_parallelism_floor(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-    return _PLANS[key]
-
-
-def with_parallelism_floor(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
-    """Spread an input that scans as fewer splits than the cluster has cores.
-
-    Parquet splits at row-group boundaries, so a file with one row group is
-    one task however many cores there are.  When the scan yields fewer splits
-    than ``defaultParallelism`` (and enough rows to be worth it), a
-    round-robin repartition follows the scan; Catalyst still pushes filters
-    and column pruning below it into the scan.  A large input has many splits
-    and is left alone, and so is a tiny lookup (under ``min_bytes``).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits >= cores:
-        return df
-    from tidewater.operators.joins import estimated_bytes
-    size = estimated_bytes(df)
-    if size is None or size < min_bytes:
-        return df
-    return df.repartition(cores)
-
-
-def memo_plan(fn):
-    """Reuse the lazy DataFrame a builder returns for the same session and args."""
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
-        key = (fn.__module__, fn.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"),
-               args, tuple(sorted(kw.items())))
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, sf_dir, *args, **kw)
-        return _PLANS[key]
-    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
-    return wrapper
+    """Parquet table, listed afresh on every call; the scan's own splits set its parallelism."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -2,26 +2,27 @@
 
 Every job is incremental through its checkpoint: ``trigger(availableNow=True)``
 drains what has arrived and stops (a finite task for a scheduler), and the
-same query with ``processingTime`` runs forever.  Writes go through
-``foreachBatch`` into keyed upserts, so a replayed micro-batch (at-least-once
-input) leaves the tables unchanged.
+same query with ``processingTime`` runs forever and is returned to the caller.
+Writes go through ``foreachBatch`` into tables that take a batch number, so a
+replayed micro-batch (at-least-once input) leaves them unchanged.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.latest import keep_latest
-from tidewater.operators.upsert import PartitionedTable, VersionedTable
-from tidewater.plans import facts, marts
 from tidewater.plans import silver as S
-from tidewater.sources.bronze import stream_bronze
+from tidewater.plans.gold import GoldTables
+from tidewater.sources.bronze import to_bronze
+from tidewater.sources.landing import bad_lines, parse_lines
 from tidewater.sources.schemas import TOPICS
-from tidewater.sources.sinks import write_parquet
 
 
 def _run(writer, available_now: bool = True, every: str = "2 minutes"):
+    """A finished query, its failure raised; or the running one."""
     w = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     q = w.start()
     if available_now:
@@ -31,134 +32,110 @@ def _run(writer, available_now: bool = True, every: str = "2 minutes"):
     return q
 
 
+def _batch_time() -> Column:
+    """One literal per micro-batch, so all of its writes carry the same stamp."""
+    return F.lit(dt.datetime.now(dt.timezone.utc))
+
+
 def ingest_landing(spark: SparkSession, landing_dir: str, topic: str, out_dir: str, checkpoint: str,
                    max_files: int | None = None, archive_dir: str | None = None,
-                   available_now: bool = True, every: str = "5 seconds"):
-    """Topic folder -> typed Parquet, each file once (checkpointed).
+                   available_now: bool = True, every: str = "5 seconds", clean=None):
+    """Topic folder -> typed Parquet below ``out_dir/batch=<n>``, each file once (checkpointed).
 
+    Lines that hold no JSON object go to ``out_dir/_quarantine/batch=<n>``.
     ``max_files`` bounds one micro-batch (the poll window of the source);
     ``archive_dir`` moves consumed files there (``cleanSource=archive``).
-    ``available_now=False`` keeps polling every ``every`` and returns the
-    running query (the continuous consumer).
+    ``clean(df, path)`` writes the typed rows of a batch in another way.
     """
-    r = spark.readStream.schema(TOPICS[topic])
+    r = spark.readStream
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    src = r.json(landing_dir)
-    w = src.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
-    return _run(w, available_now, every)
+
+    def sink(lines: DataFrame, n: int) -> None:
+        rows, path = parse_lines(lines, TOPICS[topic]), f"{out_dir}/batch={n:012d}"
+        if clean is None:
+            rows.write.mode("overwrite").parquet(path)
+        else:
+            clean(rows, path)
+        bad_lines(lines).write.mode("overwrite").text(f"{out_dir}/_quarantine/batch={n:012d}")
+
+    return _run(r.text(landing_dir).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), available_now, every)
 
 
-class SilverTransactionsSink:
-    """foreachBatch target: both silver tables from the *same* micro-batch.
+def _cleaned(spark: SparkSession, cleaned_dir: str, max_files: int | None) -> DataFrame:
+    r = spark.readStream.schema(spark.read.parquet(cleaned_dir).schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return to_bronze(r.parquet(cleaned_dir))
+
 
-    The bronze batch is persisted once and feeds the transaction upsert and
-    the item upsert, then released.  Both tables are partitioned by event
-    date, so a batch rewrites only the days it carries.  Each batch also
-    appends its upserted rows to a change log that downstream consumers
-    stream with their own checkpoints.
+class SilverSink:
+    """foreachBatch target: the silver tables of one topic, and a change log of the rows of each batch.
+
+    The change log (``_changes/<table>/batch=<n>``) is what downstream
+    consumers stream, with checkpoints of their own.
     """
 
-    def __init__(self, spark: SparkSession, root: str, as_of=None):
-        self.tx = PartitionedTable(spark, f"{root}/stg_transactions", "event_date")
-        self.items = PartitionedTable(spark, f"{root}/stg_transaction_items", "event_date")
-        self.changes = f"{root}/_changes/stg_transactions"
-        self.as_of = as_of
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            stx = keep_latest(S.silver_transactions(b, self.as_of), "transaction_id", "processed_at")
-            sit = keep_latest(S.silver_transaction_items(b, self.as_of),
-                              ["transaction_id", "line_item_index"], "processed_at")
-            self.tx.upsert(with_event_date(stx), "transaction_id")
-            self.items.upsert(with_event_date(sit), ["transaction_id", "line_item_index"])
-            stx.write.mode("overwrite").parquet(f"{self.changes}/batch={batch_id:012d}")
-        finally:
-            b.unpersist()
-
-
-def with_event_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", F.col("timestamp").cast("date"))
-
-
-class KeyedSink:
-    """foreachBatch target: one keyed table (versioned or date-partitioned)."""
-
-    def __init__(self, table, build, keys, order: str = "processed_at", date_col: str | None = None):
-        self.table, self.build, self.keys, self.order = table, build, keys, order
-        self.date_col = date_col
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = keep_latest(self.build(batch), self.keys, self.order)
-        if isinstance(self.table, PartitionedTable):
-            rows = rows.withColumn("event_date", F.col(self.date_col).cast("date"))
-            self.table.upsert(rows, self.keys)
-        else:
-            self.table.upsert(rows, batch_id, self.keys)
+    BUILDS = {
+        "transaction_events": {"transactions": S.silver_transactions, "items": S.silver_transaction_items},
+        "user_events": {"events": S.silver_user_events},
+        "customers": {"customers": S.silver_customers},
+        "products": {"products": S.silver_products},
+    }
 
+    def __init__(self, spark: SparkSession, root: str, topic: str):
+        self.spark, self.root, self.builds = spark, root, self.BUILDS[topic]
 
-def stream_silver(spark: SparkSession, cleaned_dir: str, root: str, checkpoint: str,
-                  max_files: int | None = None, as_of=None, available_now: bool = True):
-    src = stream_bronze(spark, cleaned_dir, _cleaned_schema(spark, cleaned_dir))
-    if max_files:
-        src = spark.readStream.schema(_cleaned_schema(spark, cleaned_dir)) \
-            .option("maxFilesPerTrigger", max_files).parquet(cleaned_dir)
-        from tidewater.sources.bronze import to_bronze
-        src = to_bronze(src)
-    sink = SilverTransactionsSink(spark, root, as_of)
-    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    _run(w, available_now)
-    return sink
-
-
-def stream_silver_events(spark: SparkSession, cleaned_dir: str, root: str, checkpoint: str,
-                         as_of=None, available_now: bool = True) -> VersionedTable:
-    src = stream_bronze(spark, cleaned_dir, _cleaned_schema(spark, cleaned_dir))
-    table = PartitionedTable(spark, f"{root}/stg_user_events", "event_date")
-    sink = KeyedSink(table, lambda b: S.silver_user_events(b, as_of), ["event_id"], date_col="timestamp")
-    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    _run(w, available_now)
-    return table
-
-
-class FactAndMartSink:
-    """foreachBatch target of the gold consumer: upsert the changed transactions
-    into ``fact_transactions`` (date-partitioned), then recompute the daily
-    revenue mart for the touched days only and overwrite just those days."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.fact = PartitionedTable(spark, f"{root}/fact_transactions", "event_date")
-        self.daily_path = f"{root}/fact_daily_revenue"
-        self.spark = spark
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = keep_latest(facts.fact_transactions(batch), "transaction_id", "transaction_ts")
-        rows = rows.withColumn("event_date", F.col("transaction_date"))
-        self.fact.upsert(rows, "transaction_id")
-        touched = rows.select("event_date").distinct()
-        # semi join on the partition column: only the touched days are read
-        affected = self.fact.current().join(touched, "event_date", "left_semi")
-        write_parquet(marts.daily_revenue(affected), self.daily_path, partition_by=("sales_date",))
-
-    def daily_revenue(self) -> DataFrame:
-        return self.spark.read.parquet(self.daily_path)
-
-
-def change_feed_to_fact(spark: SparkSession, changes_dir: str, schema, root: str, checkpoint: str,
-                        available_now: bool = True) -> FactAndMartSink:
-    """A downstream consumer of the silver change log, with its own checkpoint:
-    each batch of changed transactions is folded into ``fact_transactions``
-    and the daily revenue of the days it touched is recomputed."""
-    src = spark.readStream.schema(schema).parquet(changes_dir)
-    sink = FactAndMartSink(spark, root)
-    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    _run(w, available_now)
-    return sink
-
-
-def _cleaned_schema(spark: SparkSession, cleaned_dir: str):
-    """Schema of the cleaned Parquet dataset (partition column included)."""
-    return spark.read.parquet(cleaned_dir).schema
+    def changes(self, table: str) -> str:
+        return f"{self.root}/_changes/{table}"
+
+    def __call__(self, batch: DataFrame, n: int) -> None:
+        stamp = _batch_time()
+        for table, build in self.builds.items():
+            build(batch, stamp).write.mode("overwrite").parquet(f"{self.changes(table)}/batch={n:012d}")
+
+
+def stream_silver(spark: SparkSession, cleaned_dir: str, topic: str, root: str, checkpoint: str,
+                  max_files: int | None = None, available_now: bool = True, every: str = "2 minutes"):
+    """Cleaned files of a topic -> change logs of its silver tables; (sink, query)."""
+    sink = SilverSink(spark, root, topic)
+    w = _cleaned(spark, cleaned_dir, max_files).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return sink, _run(w, available_now, every)
+
+
+class GoldSink:
+    """foreachBatch target of the change logs: one batch of rows of every feed into all tables."""
+
+    def __init__(self, gold: GoldTables, schemas: dict):
+        self.gold, self.schemas = gold, schemas
+
+    def __call__(self, batch: DataFrame, n: int) -> None:
+        feeds = {}
+        for feed, schema in self.schemas.items():
+            rows = batch.filter(F.col("feed") == feed).select(f"{feed}.*")
+            if not rows.isEmpty():
+                feeds[feed] = rows.select(*[f.name for f in schema.fields])
+        if feeds:
+            self.gold.apply(n, **feeds)
+
+
+def stream_gold(spark: SparkSession, changes: dict[str, str], root: str, checkpoint: str, max_files: int | None = None,
+                available_now: bool = True, every: str = "2 minutes", kept_marts=GoldTables.MARTS):
+    """Change logs (feed -> folder) -> persisted silver and gold tables; (tables, query).
+
+    The feeds are one stream, so every table sees the batches in one order.
+    """
+    gold = GoldTables(spark, root, kept_marts)
+    schemas = {feed: spark.read.parquet(path).drop("batch").schema for feed, path in changes.items()}
+    source = None
+    for feed, path in changes.items():
+        r = spark.readStream.schema(schemas[feed])
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        one = r.parquet(f"{path}/*")
+        rows = one.select(F.lit(feed).alias("feed"), F.struct(*schemas[feed].names).alias(feed))
+        source = rows if source is None else source.unionByName(rows, allowMissingColumns=True)
+    w = source.writeStream.foreachBatch(GoldSink(gold, schemas)).option("checkpointLocation", checkpoint)
+    return gold, _run(w, available_now, every)
