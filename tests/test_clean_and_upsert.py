@@ -29,6 +29,7 @@ def test_standardize_transactions_contract(spark):
     df = spark.createDataFrame([
         ("t1", "u", "purchase", "completed", None, ["i"], "2024-01-02T03:04:05Z"),
         ("t1", "u", "purchase", "completed", "paypal", ["i"], "2024-01-02T03:04:05Z"),
+        ("t1", "u", "purchase", "pending", None, ["i"], "2024-01-01T03:04:05Z"),
         ("t2", None, "purchase", "completed", "paypal", ["i"], "2024-01-02T03:04:05Z"),
         ("t3", "u", "refund", "completed", "paypal", None, "2024-01-02T03:04:05Z"),
         ("t4", "u", "refund", "completed", "paypal", ["i"], "bad"),

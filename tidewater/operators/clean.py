@@ -49,12 +49,13 @@ def standardize(df: DataFrame, drop_na_cols=None, fill_na_values=None, dedupe_ke
     if fill_na_values:
         df = fill_na(df, fill_na_values)
     if dedupe_keys:
-        df = drop_duplicates(df, dedupe_keys, dedupe_order)
+        df = drop_duplicates(df, dedupe_keys, dedupe_order, descending=bool(dedupe_order))
     return add_event_date(df)
 
 
 def standardize_transactions(df: DataFrame) -> DataFrame:
-    return standardize(df, TRANSACTION_REQUIRED, TRANSACTION_FILL, TRANSACTION_KEY)
+    """Of events with one id the newest survives."""
+    return standardize(df, TRANSACTION_REQUIRED, TRANSACTION_FILL, TRANSACTION_KEY, ["timestamp"])
 
 
 def standardize_user_events(df: DataFrame) -> DataFrame:
