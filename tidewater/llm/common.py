@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +18,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Spark sends the package to the workers, which need not have it on their path."""
+    package = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidewater-package-")) / "tidewater_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df`` itself; its session hands Python workers a few megabytes of rows at a time from now on."""
+    """``df`` itself; its session has the package on the workers, and hands them a few megabytes of rows at a time, from now on."""
+    _ship_package(df.sparkSession)
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")):
         df.sparkSession.conf.set(key, most)
     return df
