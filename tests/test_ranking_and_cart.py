@@ -47,3 +47,13 @@ def test_cart_to_purchase_against_brute_force(spark):
     pdf = spark.createDataFrame(purchases, "user_id string, match_key string, purchase_date date")
     got = {r.cart_date: [r.carts, r.conversions] for r in cart_to_purchase(cdf, pdf, 7).collect()}
     assert got == brute_cart(carts, purchases, 7)
+
+
+def test_heavy_users_by_the_documented_limits(spark):
+    from tidewater.plans.analytics import heavy_users
+    day = dt.date(2024, 3, 5)
+    rows = [("r11", "refund")] * 11 + [("r10", "refund")] * 10 + [("c6", "chargeback")] * 6 + [("c5", "chargeback")] * 5
+    fact = spark.createDataFrame([(u, t, "completed", day) for u, t in rows],
+                                 "user_id string, transaction_type string, status string, transaction_date date")
+    assert [(r.user_id, r.events) for r in heavy_users(fact, "refund").collect()] == [("r11", 11)]
+    assert [(r.user_id, r.events) for r in heavy_users(fact, "chargeback").collect()] == [("c6", 6)]
