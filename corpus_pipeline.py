@@ -22,7 +22,7 @@ MAX_SPAN_WORDS = 50
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what the quality rules keep, unchanged."""
-    return quality.judge(docs, trusted_ids(spark, sf_dir)).filter("kept").select("row.*")
+    return quality.judge(docs, trusted_ids(spark, sf_dir), distinct_texts=True).filter("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

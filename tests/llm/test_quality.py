@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from tests.llm import odd
-from tidewater.llm import quality
+from tidewater.llm import quality, queries
 
 
 def signed(h):
@@ -79,3 +79,35 @@ def test_no_python_in_the_plan(spark):
     ids = spark.createDataFrame([(200,)], "doc_id long")
     plan = quality.judge(odd.documents(spark, ROWS), ids)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+GOOD = [(1000 + i, " ".join(f"g{(i * j * j + j) % 61} plain{(i + j) % 13}" for j in range(60)), "en", "a") for i in range(60)]
+OTHER = [(2000 + i, " ".join(f"junk{(i * j) % 29}%%%" for j in range(70)), "en", "a") for i in range(20)]
+HOT = " ".join(f"hot{j}" for j in range(400))
+COPIES = [(3000 + i, HOT, "en", "a") for i in range(40)]
+
+
+@pytest.mark.parametrize("labelled", ["all", "one", "none"])
+def test_copies_count_as_one_document(spark, labelled):
+    trusted = {d for d, _, _, _ in GOOD} | {"all": {d for d, _, _, _ in COPIES}, "one": {3007}, "none": set()}[labelled]
+    ids = spark.createDataFrame([(i,) for i in sorted(trusted)], "doc_id long")
+    got = quality.judge(odd.documents(spark, GOOD + OTHER + COPIES), ids, distinct_texts=True).collect()
+    want = brute([(d, t) for d, t, _, _ in GOOD + OTHER + COPIES[7:8]], trusted)
+    score = {d: s for d, _, s in want}
+    assert len(got) == len(GOOD + OTHER + COPIES)
+    for r in got:
+        d = r.row.doc_id
+        assert r.score == pytest.approx(score[d if d < 3000 else 3007], abs=1e-9)
+        if 1000 <= d < 2000:
+            assert r.kept == (not r.base_failed)
+    if labelled != "none":
+        assert all(r.kept for r in got if r.row.doc_id >= 3000)
+
+
+def test_query_gives_copies_the_weight_of_one(spark, tmp_path):
+    odd.documents(spark, GOOD + OTHER + COPIES, clashing=False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d, 1) for d, _, _, _ in GOOD + COPIES], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.QUERIES["op6_quality_rules"](spark, str(tmp_path)).collect()
+    want = {d: s for d, _, s in brute([(d, t) for d, t, _, _ in GOOD + OTHER + COPIES[:1]], {d for d, _, _, _ in GOOD + COPIES})}
+    assert len(got) == len(GOOD + OTHER + COPIES)
+    assert all(r.score == pytest.approx(want[min(r.doc_id, 3000)], abs=1e-9) for r in got)

@@ -73,8 +73,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_quality_rules")
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trusted are the documents labelled good; SQL elsewhere lacks the bucket hash."""
-    judged = quality.judge(read(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    """Trusted are the documents labelled good, copies count once; SQL elsewhere lacks the bucket hash."""
+    judged = quality.judge(read(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir), distinct_texts=True)
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", "score")
 
