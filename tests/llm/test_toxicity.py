@@ -81,3 +81,24 @@ def test_odd_rows(spark):
         assert len(got) == len(odd.DOCS) + 1 and by[4] == by[5] == by[6] and all(0 <= r.score <= 1 for r in got)
         assert by[15] > by[5]
     assert toxicity.score(odd.documents(spark, []), none, trained()).count() == 0
+
+
+def learned(spark, rows):
+    return toxicity.learn_terms(spark.createDataFrame(rows, "text string, toxic boolean"))[0]
+
+
+def test_a_toxic_term_is_learned_among_many_commoner_neutral_ones(spark):
+    neutral = " ".join(f"{i * 7919 % 100_003:05d}{i * 104_729 % 1_000_003:06d}" for i in range(20_000))
+    rows = [(neutral + (" zorglax" if i < 20 else ""), True) for i in range(30)] + [(neutral, False)] * 100
+    assert set(_word_hashes("zorglax")) <= set(learned(spark, rows).hashes.tolist())
+
+
+def test_no_learned_term_is_cut(spark):
+    bad = " ".join(f"{i * 7919 % 100_003:05d}{i * 104_729 % 1_000_003:06d}" for i in range(5_000))
+    terms = learned(spark, [(bad, True)] * 40 + [("only clean words", False)] * 400)
+    assert set(_word_hashes(bad)) <= set(terms.hashes.tolist())
+    assert (np.diff(terms.hashes.astype(object)) > 0).all() and (terms.odds >= min(toxicity.GRADES.values())).all()
+
+
+def _word_hashes(text):
+    return Words([text.encode()], NON_WORD).hash.tolist()

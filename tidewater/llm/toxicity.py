@@ -42,8 +42,6 @@ PATTERNS = {
 }
 TRIGGERS = "idiot idiots moron morons loser losers clown clowns scum scums trash trashs fool fools up lost hell dead yourself"
 PREFIXES = (4, 6, 8)  # bytes from the start of a word
-CANDIDATES = 65_536  # terms of the most toxic rows, counted in the other rows too
-LEARNED_TERMS = 4096
 LEAST_ROWS = 3
 GRADES = {"weak": 2.0, "fair": 2.8, "strong": 3.6}  # least log odds of a learned lexicon
 SAMPLE_ROWS = 20_000
@@ -61,12 +59,14 @@ class Lookup:
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = hashes
-        self.table = np.zeros(1 << 20, dtype=bool)
-        self.table[(hashes & U64((1 << 20) - 1)).astype(np.int64)] = True
+        size = 1 << min(max(20, (16 * len(hashes)).bit_length()), 26)
+        self.mask = U64(size - 1)
+        self.table = np.zeros(size, dtype=bool)
+        self.table[(hashes & self.mask).astype(np.int64)] = True
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions in ``h`` that are members, their places in the list)."""
-        at = np.flatnonzero(self.table[(h & U64((1 << 20) - 1)).astype(np.int64)])
+        at = np.flatnonzero(self.table[(h & self.mask).astype(np.int64)])
         if not len(at) or not len(self.hashes):
             return at[:0], at[:0]
         place = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
@@ -103,17 +103,19 @@ class Terms:
 def learn_terms(rows: DataFrame) -> tuple[Terms, float]:
     """Terms of the labelled rows (text, toxic), and the share of toxic rows.
 
-    Every labelled row is counted.  The candidates are the terms that the most
-    toxic rows have; their counts in the other rows come from a second pass.
+    Every term of every labelled row is counted, in the toxic and the clean
+    rows at once, and tested where it is counted.  Only those whose odds reach
+    the lowest grade are brought together, all of them: about 28 bytes each.
     """
     totals = {bool(r.toxic): r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = totals.get(True, 0), totals.get(False, 0)
     if not bad or not good:
         return Terms(), (bad + 1) / (bad + good + 2) if bad + good else 0.1
 
-    def toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, run in blocks(batch.column(0).to_pylist()):
+            marks = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for begin, run in blocks(batch.column(0).to_pylist()):
                 words = Words(run, NON_WORD)
                 doc = words.documents(np.arange(len(words.hash)))
                 for kind, h in _kinds(words):
@@ -121,40 +123,23 @@ def learn_terms(rows: DataFrame) -> tuple[Terms, float]:
                     h_, d_ = h[order], doc[order]
                     new = np.ones(len(h_), dtype=bool)
                     new[1:] = (h_[1:] != h_[:-1]) | (d_[1:] != d_[:-1])
-                    values, counts = np.unique(h_[new], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.full(len(values), kind, dtype=np.int32)),
-                                                      pa.array(counts.astype(np.int64))], names=["term", "kind", "n"])
-
-    candidates = (rows.filter("toxic").select("text").mapInArrow(toxic_terms, "term long, kind int, n long")
-                  .groupBy("term", "kind").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_ROWS)
-                  .orderBy(F.desc("n"), "term").limit(CANDIDATES).collect())
-    if not candidates:
-        return Terms(), bad / (bad + good)
-    hashes = np.array([r.term for r in candidates], dtype=np.int64).view(U64)
-    order = np.argsort(hashes)
-    hashes, kinds = hashes[order], np.array([r.kind for r in candidates])[order]
-    toxic = np.array([r.n for r in candidates], dtype=float)[order]
-    sent = rows.sparkSession.sparkContext.broadcast(hashes)
-
-    def clean_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(sent.value)
-        total = np.zeros(len(lookup.hashes), dtype=np.int64)
-        for batch in batches:
-            for _, run in blocks(batch.column(0).to_pylist()):
-                total += np.bincount(_pairs(Words(run, NON_WORD), lookup)[1], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["place", "n"])
-
-    clean = np.zeros(len(hashes))
-    for r in (rows.filter("not toxic").select("text").mapInArrow(clean_counts, "place long, n long").groupBy("place")
-              .agg(F.sum("n").alias("n")).collect()):
-        clean[r.place] = r.n
+                    h_, mark = h_[new], marks[begin + d_[new]]
+                    first = np.flatnonzero(np.append(True, h_[1:] != h_[:-1])[:len(h_)])
+                    toxic = np.add.reduceat(mark, first) if len(first) else mark
+                    counts = np.diff(np.append(first, len(h_)))
+                    yield pa.RecordBatch.from_arrays([pa.array(h_[first].view(np.int64)), pa.array(np.full(len(first), kind, dtype=np.int32)),
+                                                      pa.array(toxic), pa.array(counts - toxic)], names=["term", "kind", "toxic", "clean"])
+
+    counts = (rows.select("text", "toxic").mapInArrow(term_counts, "term long, kind int, toxic long, clean long")
+              .groupBy("term", "kind").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") >= LEAST_ROWS))
     # a cautious bound: a term of few rows must not look strong by chance
-    few, many = np.maximum(toxic - 1.64 * np.sqrt(toxic), 0), clean + 1.64 * np.sqrt(clean)
-    odds = np.log((few + 0.5) / (bad + 1)) - np.log((many + 1.5) / (good + 1))
-    chosen = np.flatnonzero(odds >= min(GRADES.values()))
-    chosen = np.sort(chosen[np.argsort(-(odds * toxic)[chosen], kind="stable")][:LEARNED_TERMS])
-    return Terms(hashes[chosen], odds[chosen], kinds[chosen]), bad / (bad + good)
+    few = F.greatest(F.col("toxic") - 1.64 * F.sqrt("toxic"), F.lit(0.0))
+    many = F.col("clean") + 1.64 * F.sqrt("clean")
+    odds = F.log((few + 0.5) / (bad + 1)) - F.log((many + 1.5) / (good + 1))
+    learned = counts.select("term", "kind", odds.alias("odds")).filter(F.col("odds") >= min(GRADES.values())).toArrow()
+    hashes = learned["term"].to_numpy().view(U64)
+    order = np.argsort(hashes)
+    return Terms(hashes[order], learned["odds"].to_numpy()[order], learned["kind"].to_numpy()[order].astype(np.int64)), bad / (bad + good)
 
 
 def votes(docs: DataFrame, terms: Terms) -> DataFrame:
@@ -286,11 +271,26 @@ def score(docs: DataFrame, labels: DataFrame, trained: Column, id_col: str = "do
         weights = _classifier(teaching, model, dict(order), len(terms.hashes), sample_rows)
     else:
         weights = np.zeros(len(terms.hashes) + len(HAND) + 1)
-    table = F.from_json(F.lit("[" + ",".join(f"{w:.9g}" for w in weights) + "]"), "array<double>")
-    hand = F.expr(f"filter(transform(sequence(0, {len(HAND) - 1}), i -> if(votes & shiftleft(1L, i) <> 0, i + {len(terms.hashes)}, -1)), i -> i >= 0)")
-    z = F.aggregate(F.concat("terms", hand), F.lit(float(weights[-1])), lambda total, i: total + F.get(table, i))
-    p = 1 / (1 + F.exp(-z))
-    return voted.select("doc_id", p.alias("score"), (p >= 0.5).cast("int").alias("predicted"))
+    return _scored(voted, weights, len(terms.hashes))
+
+
+def _scored(voted: DataFrame, weights: np.ndarray, n_terms: int) -> DataFrame:
+    """(doc_id, score, predicted) by the classifier's weights: terms, hand-written votes and, last, the bias."""
+    sent = voted.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = sent.value
+        for batch in batches:
+            fired = batch.column(1).to_numpy(zero_copy_only=False)
+            found = batch.column(2)
+            row = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
+            z = np.bincount(row, w[found.flatten().to_numpy(zero_copy_only=False)], minlength=batch.num_rows)
+            z = z + ((fired[:, None] >> np.arange(len(HAND))) & 1) @ w[n_terms:-1] + w[-1]
+            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
+                                             names=["doc_id", "score", "predicted"])
+
+    return voted.select("doc_id", "votes", "terms").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
 def _classifier(teaching: DataFrame, model: LabelModel, counts: dict[int, int], n_terms: int, sample_rows: int) -> np.ndarray:
