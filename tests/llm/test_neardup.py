@@ -96,3 +96,24 @@ def test_forest_shape_covers_the_threshold():
         depth, trees, width = neardup.forest_shape(percent)
         assert trees * width <= neardup.PERMUTATIONS and depth <= width
         assert (1 - (percent / 100) ** depth) ** trees <= 1e-6
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(11)
+
+    def family(k):
+        base = [f"f{k}w{j}" for j in range(120)]
+        return [" ".join(base[:i] + [f"x{rng.randrange(10_000)}"] + base[i + 1:]) for i in (3, 117)]
+
+    rows = []
+    for k in range(30):  # the id 10 * k + 5 stands for one text of each of two families, and for a text alone
+        (a, b), (c, d) = family(2 * k), family(2 * k + 1)
+        rows += [(10 * k + 5, a), (10 * k + 5, c), (10 * k + 7, b), (10 * k + 3 if k % 2 else 10 * k + 9, d),
+                 (10 * k + 5, f"alone {k} " + " ".join(f"a{k}b{j}" for j in range(30)))]
+    rng.shuffle(rows)
+    want = brute(rows, 3, 85)
+    assert len({(d, c) for d, _, c in want if d % 10 == 5 and c != d}) == 15  # a family of each second id has a smaller one
+    for order in (rows, rows[::-1]):
+        got = neardup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string"), 3, 85).collect()
+        assert odd.by_id(got, "doc_id", "n_shingles", "component_id") == odd.by_id(
+            [{"d": d, "n": n, "c": c} for d, n, c in want], "d", "n", "c")

@@ -185,7 +185,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
         def full(key: bytes, text: str) -> np.ndarray | None:
             if key not in recent:
                 s = next(_shingle_sets([text], shingle))
-                recent[key] = s if len(s) and set_key(s) == key else s[:0]
+                if not len(s) or set_key(s) != key:
+                    return s[:0]
+                recent[key] = s
                 if len(recent) > 256:
                     recent.popitem(last=False)
             return recent[key]
@@ -299,7 +301,9 @@ def _regions(members: DataFrame, texts: DataFrame, labels: DataFrame, done: Data
         def full(key: bytes, text: str) -> np.ndarray:
             if key not in recent:
                 s = next(_shingle_sets([text], shingle))
-                recent[key] = s if len(s) and set_key(s) == key else s[:0]
+                if not len(s) or set_key(s) != key:
+                    return s[:0]
+                recent[key] = s
                 if len(recent) > 64:
                     recent.popitem(last=False)
             return recent[key]
@@ -335,6 +339,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     their sets of distinct ``shingle``-word windows (A-Z in lower case, words
     between ASCII white space); ``component_id`` is the smallest id reachable.
 
+    Rows of one id with different texts are told apart.
     Null or wordless texts have the empty set, 0 shingles and link with
     nothing.  A text shorter than a shingle is one shingle.  Repeated rows
     each get their row.  A row without an id takes part in its class and gets
@@ -343,8 +348,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     gives no rows.
     """
     sigs = written(signatures(docs, shingle, id_col, text_col), "signatures")
-    classes = written(sigs.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = written(sigs.select(F.col("doc_id").alias("node"), "key", "sig").join(classes, ["node", "key"])
+    # a node is a class of equal sets, not an id: rows of one id may have several texts
+    classes = written(sigs.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+                      .withColumn("node", F.xxhash64("key")), "classes")
+    nodes = written(sigs.select("doc_id", "key", "text_key", "sig").join(classes, ["doc_id", "key"])
                     .dropDuplicates(["node", "key"]), "nodes")
     signed = nodes.select("node", "sig")
     members = written(forest_neighbours(signed, percent), "members")
@@ -354,9 +361,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     nearest = (candidates.select("a", "b", "lcp", F.explode(F.array("a", "b")).alias("n"))
                .withColumn("rank", F.row_number().over(best)).filter(f"rank <= {NEIGHBOURS}")
                .select("a", "b").distinct())
-    wanted = members.select("node").distinct().join(nodes.select("node", "key"), "node")
-    texts = written(docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-                    .join(wanted, "node"), "candidate-texts")
+    wanted = members.select("node").distinct().join(nodes.select("node", "key", "doc_id", "text_key"), "node")
+    texts = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+                    .withColumn("text_key", F.xxhash64("text")).join(wanted, ["doc_id", "text_key"])
+                    .select("node", "text", "key"), "candidate-texts")
     first = written(confirm(nearest, texts, shingle, percent), "confirmed")
     links = first.filter("linked").select("a", "b")
     labels = components(links)
@@ -365,8 +373,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
         # the first round's components are stars already; only the new links are added to them
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = components(stars.union(merged))
-    placed = classes.join(labels, "node", "left").select(
-        "key", F.coalesce("component", "node").alias("component_id"))
+    labelled = written(classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
+    smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = labelled.join(smallest, "component").select("key", "component_id")
     out = sigs.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key").join(written(placed, "placed"), "key", "left")
     own = F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id")))
     kept = F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept")
