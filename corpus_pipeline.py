@@ -17,7 +17,7 @@ from tidewater.llm.common import read, written
 from tidewater.llm.queries import trusted_ids
 from tidewater.session import apply_core_conf
 
-MAX_SPAN_WORDS = 50
+WINDOW = 13
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops contaminated documents; cuts hit spans of more than MAX_SPAN_WORDS words out of the others."""
-    found = decontam.contamination(docs, read(spark, sf_dir, "benchmark"), max_span=MAX_SPAN_WORDS)
+    """Drops contaminated documents; cuts every hit span of WINDOW or more words out of the others."""
+    found = decontam.contamination(docs, read(spark, sf_dir, "benchmark"), WINDOW, max_span=WINDOW - 1)
     return _with_text(found.filter("not contaminated"), "cleaned")
 
 

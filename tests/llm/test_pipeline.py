@@ -76,3 +76,13 @@ def packed(before, after):
     for r in after:
         total[r.doc_id] = total.get(r.doc_id, 0) + r.length
     assert total == length
+
+
+def test_short_benchmark_spans_are_cut_from_long_documents(spark, tmp_path):
+    item = " ".join(f"exam{i}" for i in range(20))
+    odd.documents(spark, [(1, f"{prose(1, 400)} {item}. {prose(2, 400)}", "en", "s"), (2, prose(3, 400), "en", "s"), (3, f"a {item} b", "en", "s")],
+                  clashing=False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in corpus_pipeline.decontaminate(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()}
+    assert set(got) == {1, 2} and got[2].text == prose(3, 400)
+    assert got[1].text == f"{prose(1, 400)} . {prose(2, 400)}" and got[1].n_chars == len(got[1].text)
