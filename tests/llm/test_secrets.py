@@ -71,3 +71,19 @@ def test_query_lists_spans_in_order(spark, tmp_path):
         found = [f"{k}:{s}:{e}" for s, e, k, _ in secrets.find(TEXTS[r.doc_id])]
         assert r.spans == ",".join(found)
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(f.startswith(k + ":") for f in found) for k in ("assign", "access", "hex"))
+
+
+def test_verdict_uses_repositories_and_rare_phrases(spark):
+    copied, phrase = 'token = "Example0Example1"', 'password: "correct-horse-battery"'
+    rows = [(i, f"{copied} a", "en", f"owner{i % 3}") for i in range(150)]
+    rows += [(200, f"{phrase} b", "en", "o"), (201, 'secret = "Rare0Credential1"', "en", "o")]
+    rows += [(300 + i, 'password = "sharedlettersonly"', "en", f"p{i % 2}") for i in range(2)]
+    rows += [(400 + i, 'password = "manyplacesbyone"', "en", "q") for i in range(8)]
+    rows += [(500, 'secret = "aaaaaaaaaaaaaaaa" token: 1234567890123456', "en", "r")]
+    got = {r.row.doc_id: r.spans for r in secrets.scan(odd.documents(spark, rows)).collect()}
+    verdict = {d: {(s.owners, s.repositories, s.live) for s in spans} for d, spans in got.items()}
+    assert verdict[7] == {(3, 150, False)}
+    assert verdict[200] == verdict[201] == {(1, 1, True)}
+    assert verdict[300] == {(2, 2, False)} and verdict[400] == {(1, 8, False)} and verdict[500] == {(1, 1, False)}
+    text = {r.row.doc_id: r.redacted for r in secrets.redact(secrets.scan(odd.documents(spark, rows))).collect()}
+    assert text[7] == f"{copied} a" and text[200] == '[SECRET]" b'

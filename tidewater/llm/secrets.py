@@ -2,8 +2,9 @@
 
 Pattern rules find candidate spans in every whole text.  Each candidate value
 is hashed; its distinct repositories and owners over the whole corpus are
-counted.  A value many owners hold is an example copied around; a value of one
-or few owners that looks random is a live-looking credential.
+counted.  A value that many owners or very many repositories hold is an example
+copied around; one of few that looks random is a live-looking credential, and so
+is a phrase behind a password keyword that one owner holds in few repositories.
 """
 
 from __future__ import annotations
@@ -69,7 +70,12 @@ def looks_random(kind: str, value: str) -> bool:
     return (any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and entropy(value) >= 2.5)
 
 
-_SPAN = "struct<start:int,end:int,kind:string,hash:string,random:boolean>"
+def looks_phrase(kind: str, value: str) -> bool:
+    """Whether a value behind a password keyword is varied enough for a passphrase, digits or not."""
+    return kind == "assign" and any(c.isalpha() for c in value) and entropy(value) >= 3.0
+
+
+_SPAN = "struct<start:int,end:int,kind:string,hash:string,random:boolean,phrase:boolean>"
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -80,9 +86,9 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for text in batch.column(1):
             spans = find(text.as_py() or "")
             found.append([{"start": s, "end": e, "kind": k, "hash": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()[:32],
-                           "random": looks_random(k, v)} for s, e, k, v in spans])
+                           "random": looks_random(k, v), "phrase": looks_phrase(k, v)} for s, e, k, v in spans])
         kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("hash", pa.string()),
-                          ("random", pa.bool_())])
+                          ("random", pa.bool_()), ("phrase", pa.bool_())])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(kind))], names=["row", "spans"])
 
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
@@ -104,13 +110,15 @@ def ownership(spans: DataFrame, repository_col: str, owner_col: str) -> DataFram
 
 
 def scan(docs: DataFrame, repository_col: str = "doc_id", owner_col: str = "source", text_col: str = "text",
-         copied_owners: int = 5) -> DataFrame:
+         copied_owners: int = 5, copied_repositories: int = 100) -> DataFrame:
     """(row, spans): each row of ``docs`` as a struct and its spans, every span with its verdict.
 
-    A span has start, end (code points, end exclusive), kind, hash, random,
+    A span has start, end (code points, end exclusive), kind, hash, random, phrase,
     repositories, owners and ``live``: it looks random and fewer than
-    ``copied_owners`` owners hold its value; else it is a copied example or a
-    plain number.  A null owner or repository counts as one more holder.
+    ``copied_owners`` owners and ``copied_repositories`` repositories hold its
+    value, or it is a phrase behind a password keyword of one owner and fewer
+    than ``copied_owners`` repositories; else it is a copied example or a plain
+    number.  A null owner or repository counts as one more holder.
 
     Null and empty texts have no spans.  Repeated rows each get their row and
     count once as holders.  An empty table gives no rows.  Other columns,
@@ -126,11 +134,13 @@ def scan(docs: DataFrame, repository_col: str = "doc_id", owner_col: str = "sour
                                            "spans"), "repository", "owner"), "secret-owners")
     # a verdict for each document and hash, by the rows' repository and spans: repeated rows share it
     key = held.select(of_row(repository_col).alias("repository"), F.col("spans").alias("found")).distinct()
+    few = F.col("s.random") & (F.col("owners") < copied_owners) & (F.col("repositories") < copied_repositories)
+    rare = F.col("s.phrase") & (F.col("owners") == 1) & (F.col("repositories") < copied_owners)
     verdicts = (key.select("repository", "found", F.explode("found").alias("s"))
                 .join(counts.withColumnRenamed("hash", "h"), F.col("s.hash") == F.col("h"))
                 .select("repository", "found", F.struct(
-                    "s.start", "s.kind", "s.end", "s.hash", "s.random", "repositories", "owners",
-                    (F.col("s.random") & (F.col("owners") < copied_owners)).alias("live")).alias("s"))
+                    "s.start", "s.kind", "s.end", "s.hash", "s.random", "s.phrase", "repositories", "owners",
+                    (few | rare).alias("live")).alias("s"))
                 .groupBy("repository", "found").agg(F.collect_list("s").alias("judged")))
     none = found.filter("size(spans) = 0").select("row", F.array().cast(verdicts.schema["judged"].dataType).alias("spans"))
     some = held.join(verdicts, of_row(repository_col).eqNullSafe(verdicts["repository"])
