@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontam, langid, licenses, neardup, packing, quality, secrets, toxicity, warc
+from tidewater.llm import chat, decontam, fim, langid, licenses, neardup, packing, quality, secrets, toxicity, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -159,3 +159,35 @@ def op5_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = chat.format_preferences(chat.reply_pairs(read(spark, sf_dir, "conversations")))
     return made.select(F.col("pair_id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", "rejected",
                        chat.spans_text("chosen_mask").alias("chosen_mask"), chat.spans_text("rejected_mask").alias("rejected_mask"))
+
+
+_FIM_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), d AS (
+  SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM t
+), p AS (
+  SELECT *, array_to_string(units[1:least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(units[greatest(a, b) + 1:], '') AS suffix
+  FROM d
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op13_fill_in_middle", _FIM_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents arranged, four fifths of them suffix first; each rebuilt from its output."""
+    made = fim.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fim.restore(made).select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
