@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontam, fim, langid, licenses, neardup, packing, quality, secrets, toxicity, warc
+from tidewater.llm import chat, decontam, fim, langid, licenses, neardup, packing, quality, rans, secrets, toxicity, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -191,3 +191,10 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents arranged, four fifths of them suffix first; each rebuilt from its output."""
     made = fim.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return fim.restore(made).select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@query("op11_rans_token_files")
+def op11_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written and read back; SQL has no tokenizer."""
+    folder, manifest = rans.write(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rans.read(folder, manifest)

@@ -114,3 +114,128 @@ class ChunkedTokenizer:
         if len(known) > self.limit:
             self.old, self.young = known, {"": b""}
         return out
+
+
+class ByteLevelChunks:
+    """Ids of a byte-level BPE tokenizer, with a cache of its space-led chunks.
+
+    Its pattern starts a new word at every single space that stands between two
+    characters other than white space, so a text's ids are those of its pieces
+    cut there, one after the other.  Python's white space includes all of the
+    pattern's, so a cut is never made where the tokenizer makes none.  The cache has
+    two generations of ``limit`` chunks, as above.
+    """
+
+    def __init__(self, path: str, limit: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec["pre_tokenizer"] or {}
+        added = any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(map(str.isspace, t["content"])) for t in spec["added_tokens"])
+        if spec["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex") or added:
+            raise ValueError(f"{path} is not a byte-level tokenizer without normalisation")
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.line_end = self._encode(["\n"])["\n"]
+
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        """The text cut before every single space between two other characters that are not white space."""
+        parts = text.split(" ")
+        out = [parts[0]]
+        for i in range(1, len(parts)):
+            left, right = parts[i - 1], parts[i]
+            if left and right and not left[-1].isspace() and not right[0].isspace():
+                out.append(" " + right)
+            else:
+                out[-1] += " " + right
+        return out
+
+    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
+        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        out = {}
+        for at in range(0, len(chunks), 10_000):
+            some = chunks[at:at + 10_000]
+            out.update((c, array("I", e.ids).tobytes()) for c, e in zip(some, fast(some, add_special_tokens=False), strict=True))
+        return out
+
+    def _word(self, word: str, space: bool) -> bytes:
+        """Ids of a word of letters, which the pattern never divides, straight from the model; kept in ``words``."""
+        key = " " + word if space else word
+        ids = self.words.get(key)
+        if ids is None:
+            spelled = word if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(_LETTERS[32] + spelled if space else spelled)]).tobytes()
+            self.words[key] = ids
+        return ids
+
+    def _parts(self, chunk: str) -> bytes | None:
+        """Ids of a chunk behind a space that is lines of one word with punctuation behind it; None of any other."""
+        out = []
+        for k, line in enumerate(chunk.split("\n")):
+            word = line.rstrip(_TAIL)
+            if not word or not _plain(word):
+                return None
+            if k:
+                out.append(self.line_end)
+            out.append(self._word(word, not k))
+            tail = line[len(word):]
+            if tail:
+                if tail not in self.tails:
+                    self.tails[tail] = self._encode([tail])[tail]
+                out.append(self.tails[tail])
+        return b"".join(out)
+
+    def _fill(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words behind a space; what the older generation knows comes back, the rest is encoded."""
+        new, rest = {}, []
+        for w in words:
+            ids = self.old.get(w) or self._parts(w)
+            if ids is None:
+                rest.append(" " + w)
+            else:
+                new[w] = ids
+        new.update((c[1:], ids) for c, ids in self._encode(rest).items())
+        if len(self.words) > self.limit:
+            self.words.clear()
+        if len(self.tails) > self.limit:
+            self.tails.clear()
+        return new
+
+    @staticmethod
+    def _loose(word: str) -> bool:
+        """White space meets the space before or after it: the tokenizer may join them."""
+        return not word or word[0].isspace() or word[-1].isspace()
+
+    def block(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        known, out = self.young, []
+        split, heads, missing, loose = [], set(), set(), set()
+        for text in texts:
+            words = text.split(" ")
+            got = [known.get(w) for w in words]
+            got[0] = None
+            heads.add(words[0])
+            split.append((words, got))
+            missing.update(w for w, ids in zip(words, got, strict=True) if ids is None)
+        loose = {w for w in missing | heads if self._loose(w)}
+        new = self._fill(missing - loose)
+        first = self._encode(list(heads))
+        for text, (words, got) in zip(texts, split, strict=True):
+            if (words[0] in loose and len(words) > 1) or not loose.isdisjoint(words[1:]):
+                pieces = self.pieces(text)
+                plain = [p for p in pieces[1:] if p[1:] not in known and p[1:] not in new or self._loose(p[1:])]
+                made = self._encode([pieces[0], *plain])
+                out.append(b"".join([made[pieces[0]], *[made[p] if p in made else known.get(p[1:]) or new[p[1:]] for p in pieces[1:]]]))
+                continue
+            got[0] = first[words[0]]
+            out.append(b"".join([ids if ids is not None else new[w] for w, ids in zip(words, got, strict=True)]))
+        known.update((w, ids) for w, ids in new.items() if len(w) <= _CACHED_LENGTH)
+        if len(known) > self.limit:
+            self.old, self.young = known, {}
+        return out
