@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontam, fim, langid, licenses, neardup, packing, quality, rans, secrets, toxicity, warc
+from tidewater.llm import audit, chat, decontam, fim, langid, licenses, neardup, packing, quality, rans, secrets, toxicity, warc
 from tidewater.llm.common import read
 from tidewater.session import apply_core_conf
 
@@ -198,3 +198,52 @@ def op11_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written and read back; SQL has no tokenizer."""
     folder, manifest = rans.write(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return rans.read(folder, manifest)
+
+
+_AUDIT_SQL = r"""
+WITH letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), l AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM t LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+), s AS (
+  SELECT c.*, filter_order, step, substr(filter_order, CAST(step AS INT), 1) AS f,
+         len(regexp_replace(substr(filter_order, 1, CAST(step - 1 AS INT)), '[^' || fails || '_]', '', 'g')) > 0 AS earlier,
+         contains(fails, substr(filter_order, CAST(step AS INT), 1)) AS bad
+  FROM c, orders, range(1, 6) AS r(step)
+), r AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, any_value(f) AS f,
+         CAST(coalesce(sum(n) FILTER (NOT earlier AND NOT bad), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (NOT earlier AND bad), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (earlier AND bad), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (fails = f), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(good) FILTER (NOT earlier AND bad), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(toxic) FILTER (NOT earlier AND bad), 0) AS BIGINT) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query("op12_filter_interaction_audit", _AUDIT_SQL)
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of the documents through the stream, then every order of the five filters."""
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    return audit.interactions(audit.counters(spark, path, read(spark, sf_dir, "labels")))
