@@ -126,7 +126,7 @@ class ByteLevelChunks:
     two generations of ``limit`` chunks, as above.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -139,8 +139,8 @@ class ByteLevelChunks:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        self._fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)  # without offsets
         self.line_end = self._encode(["\n"])["\n"]
 
     @staticmethod
@@ -157,54 +157,65 @@ class ByteLevelChunks:
         return out
 
     def _encode(self, chunks: list[str]) -> dict[str, bytes]:
-        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         out = {}
         for at in range(0, len(chunks), 10_000):
             some = chunks[at:at + 10_000]
-            out.update((c, array("I", e.ids).tobytes()) for c, e in zip(some, fast(some, add_special_tokens=False), strict=True))
+            out.update((c, array("I", e.ids).tobytes()) for c, e in zip(some, self._fast(some, add_special_tokens=False), strict=True))
         return out
 
-    def _word(self, word: str, space: bool) -> bytes:
-        """Ids of a word of letters, which the pattern never divides, straight from the model; kept in ``words``."""
-        key = " " + word if space else word
-        ids = self.words.get(key)
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters behind a space, which the pattern never divides, straight from the model."""
+        space, tokenize = _LETTERS[32], self.tokenizer.model.tokenize
+        spelled = [w if w.isascii() else "".join([_LETTERS[b] for b in w.encode()]) for w in words]
+        return {w: array("I", [t.id for t in tokenize(space + s)]).tobytes() for w, s in zip(words, spelled, strict=True)}
+
+    def _bare(self, text: str) -> bytes:
+        """Ids of a short text that is a piece of its own: punctuation, or a word at the start of a line."""
+        ids = self.bare.get(text)
         if ids is None:
-            spelled = word if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(_LETTERS[32] + spelled if space else spelled)]).tobytes()
-            self.words[key] = ids
+            ids = self.bare[text] = self._encode([text])[text]
         return ids
 
-    def _parts(self, chunk: str) -> bytes | None:
-        """Ids of a chunk behind a space that is lines of one word with punctuation behind it; None of any other."""
+    @staticmethod
+    def _divided(chunk: str) -> list[str] | None:
+        """Lines of one word with punctuation behind it: [word, punctuation, word, ...]; None of any other chunk."""
         out = []
-        for k, line in enumerate(chunk.split("\n")):
+        for line in chunk.split("\n"):
             word = line.rstrip(_TAIL)
             if not word or not _plain(word):
                 return None
-            if k:
-                out.append(self.line_end)
-            out.append(self._word(word, not k))
-            tail = line[len(word):]
-            if tail:
-                if tail not in self.tails:
-                    self.tails[tail] = self._encode([tail])[tail]
-                out.append(self.tails[tail])
-        return b"".join(out)
+            out += [word, line[len(word):]]
+        return out
 
     def _fill(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words behind a space; what the older generation knows comes back, the rest is encoded."""
-        new, rest = {}, []
+        old, known, new = self.old, self.young, {}
+        plain, divided, rest = [], {}, []
         for w in words:
-            ids = self.old.get(w) or self._parts(w)
-            if ids is None:
-                rest.append(" " + w)
-            else:
+            ids = old.get(w)
+            if ids is not None:
                 new[w] = ids
+            elif _plain(w):
+                plain.append(w)
+            elif parts := self._divided(w):
+                divided[w] = parts
+            else:
+                rest.append(" " + w)
+        heads = {p[0] for p in divided.values()}.difference(known, new, plain)
+        new.update((w, old[w]) for w in heads if w in old)
+        new.update(self._words([*plain, *(w for w in heads if w not in old)]))
+        for w, (word, tail, *lines) in divided.items():
+            ids = known.get(word) or new[word]
+            if tail:
+                ids += self._bare(tail)
+            for k in range(0, len(lines), 2):
+                ids += self.line_end + self._bare(lines[k])
+                if lines[k + 1]:
+                    ids += self._bare(lines[k + 1])
+            new[w] = ids
         new.update((c[1:], ids) for c, ids in self._encode(rest).items())
-        if len(self.words) > self.limit:
-            self.words.clear()
-        if len(self.tails) > self.limit:
-            self.tails.clear()
+        if len(self.bare) > self.limit:
+            self.bare.clear()
         return new
 
     @staticmethod
@@ -214,27 +225,29 @@ class ByteLevelChunks:
 
     def block(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        known, out = self.young, []
-        split, heads, missing, loose = [], set(), set(), set()
+        known, split, missing, heads = self.young, [], set(), set()
         for text in texts:
             words = text.split(" ")
-            got = [known.get(w) for w in words]
-            got[0] = None
+            got = list(map(known.get, words))
             heads.add(words[0])
+            if None in got:
+                missing.update([w for w, ids in zip(words, got, strict=True) if ids is None])
             split.append((words, got))
-            missing.update(w for w, ids in zip(words, got, strict=True) if ids is None)
         loose = {w for w in missing | heads if self._loose(w)}
         new = self._fill(missing - loose)
         first = self._encode(list(heads))
+        out = []
         for text, (words, got) in zip(texts, split, strict=True):
-            if (words[0] in loose and len(words) > 1) or not loose.isdisjoint(words[1:]):
+            if (words[0] in loose and len(words) > 1) or (None in got and not loose.isdisjoint(words[1:])):
                 pieces = self.pieces(text)
                 plain = [p for p in pieces[1:] if p[1:] not in known and p[1:] not in new or self._loose(p[1:])]
                 made = self._encode([pieces[0], *plain])
                 out.append(b"".join([made[pieces[0]], *[made[p] if p in made else known.get(p[1:]) or new[p[1:]] for p in pieces[1:]]]))
                 continue
             got[0] = first[words[0]]
-            out.append(b"".join([ids if ids is not None else new[w] for w, ids in zip(words, got, strict=True)]))
+            if None in got:
+                got = [new[w] if ids is None else ids for w, ids in zip(words, got, strict=True)]
+            out.append(b"".join(got))
         known.update((w, ids) for w, ids in new.items() if len(w) <= _CACHED_LENGTH)
         if len(known) > self.limit:
             self.old, self.young = known, {}
