@@ -35,10 +35,10 @@ from tidewater.session import scratch_dir
 
 MAGIC = b"TWRANS1\n"
 PRECISION = 20
-LANES = 256
-BLOCK_IDS = 1 << 18
-CHECKPOINT_IDS = 1 << 16
-RANGE_BLOCKS = 8
+LANES = 1024
+BLOCK_IDS = 1 << 20
+CHECKPOINT_IDS = 1 << 18
+RANGE_BLOCKS = 2
 RUN_CHARS = 1 << 20
 _LOW = np.uint64(1 << 31)
 _MASK = np.uint64((1 << PRECISION) - 1)
