@@ -7,8 +7,11 @@ session that already exists except what correctness needs (time zone, ANSI).
 
 from __future__ import annotations
 
+import contextlib
+import json
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +58,23 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, CORE_CONF[k])
 
 
+#: Keeps the state of streams on the executors' disks, not in their heap.
+STATE_ON_DISK = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; the caller's are put back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _LOCAL_DIRS: dict = {}
 
 
@@ -87,3 +107,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
+
+
+def write_note(spark: SparkSession, path: str, value) -> None:
+    """A small JSON file that appears whole."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    p = fs_path(f"{path}.tmp")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(value).encode()))
+    out.close()
+    fs.rename(p, fs_path(path))
+
+
+def read_note(spark: SparkSession, path: str):
+    """What ``write_note`` put there, or None."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return json.loads(spark.read.text(path, wholetext=True).first().value)
