@@ -3,7 +3,9 @@
 The files of the documents pass as available-now micro-batches.  A document's
 own filters give a mask; whether it repeats a smaller id's text is known only
 once all files are seen.  So each distinct text has keyed state: the smallest
-id so far and what its rows count.  When a smaller id arrives, the counts of
+id so far and what its rows count.  (The state store's rows are groups of some
+256 texts by hash, as a call of the state function for each text costs a
+hundred times what it does.)  When a smaller id arrives, the counts of
 the former holder are retracted from the part counters and counted again with
 the repeat filter's bit.  A micro-batch's changes are one folder, overwritten
 when the batch is replayed; the counters are their sum.
@@ -16,8 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pickle
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,21 +30,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.llm.common import broadcast_up_to, map_arrow, small_batches
-from tidewater.session import scratch_dir
+from tidewater.session import STATE_ON_DISK, read_note, scratch_dir, settings, write_note
 
 FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 50, 65, 5
 REPEATED = 1 << FILTERS.index("E")
 MICRO_BATCHES = 4
 HELD_TEXTS = 200_000
+TEXTS_PER_STATE = 256
 BROADCAST_LABELS = 2_000_000
 _CAPITALS = re.compile(rb"[A-Z]+")
 _SYMBOL = re.compile(rb"[#$%&*|]")
 _CONTINUATION = bytes(range(0x80, 0xC0))
 _MASKED = "text_key binary, mask int, doc_id long, part string"
-_CANDIDATE = "text_key binary, mask int, has_id boolean, least_id long, part string, good boolean, toxic boolean, at_least long, above long"
+_CANDIDATE = "texts long, text_key binary, mask int, has_id boolean, least_id long, part string, good boolean, toxic boolean, at_least long, above long"
 _CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
-_STATE = "least_id long, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>"
+_STATE = "held binary"
 
 
 def own_mask(text: bytes) -> int:
@@ -69,8 +73,11 @@ def _masked(docs: DataFrame) -> DataFrame:
     return map_arrow(rows, run, _MASKED)
 
 
-def _combined(rows: DataFrame) -> DataFrame:
-    """A task's rows, once per text, part and labels: the rows of its smallest id there, and those above it."""
+def _combined(rows: DataFrame, groups: int) -> DataFrame:
+    """A task's rows, once per text, part and labels: the rows of its smallest id there, and those above it.
+
+    ``texts`` is the group of the text's hash, one of ``groups``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, list] = {}
@@ -78,9 +85,9 @@ def _combined(rows: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             out = []
             for (key, named), (mask, least, at, above) in held.items():
-                out += [(key, mask, named, least, *kind, at[kind], above[kind]) for kind in at.keys() | above.keys()]
+                out += [(int.from_bytes(key[:7], "big") % groups, key, mask, named, least, *kind, at[kind], above[kind]) for kind in at.keys() | above.keys()]
             held.clear()
-            kinds = [pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
             names = [c.strip().split(" ")[0] for c in _CANDIDATE.split(",")]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
@@ -106,52 +113,46 @@ def _combined(rows: DataFrame) -> DataFrame:
 
 
 def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One text's candidates of a micro-batch: changes of the part counters, and the state after them."""
-    rows = [r for f in frames for r in zip(*(f[c].tolist() for c in f.columns[1:]), strict=True)]
-    least, held = None, Counter()
-    if state.exists:
-        old = state.get
-        least, held = old[0], Counter(dict(zip(zip(*old[1:4], strict=True), old[4], strict=True)))
-    mask = rows[0][0]
-    now = min([r[2] for r in rows if r[1]], default=least)
-    if least is not None and now > least:
-        now = least
+    """A micro-batch's candidates of one group of texts: changes of the part counters, and the texts' state after them."""
+    texts: dict[bytes, list[tuple]] = defaultdict(list)
+    for frame in frames:
+        for text, *row in zip(*(frame[c].tolist() for c in frame.columns[1:]), strict=True):
+            texts[text].append(row)
+    held: dict[bytes, tuple[int, dict]] = pickle.loads(state.get[0]) if state.exists else {}
     change: Counter = Counter()
-    if least is not None and now < least:
-        for kind, n in held.items():  # no longer the smallest: retracted, and counted as a repeat
+    for text, rows in texts.items():
+        now = fold_text(rows, held.get(text), change)
+        if now is not None:
+            held[text] = now
+    state.update((pickle.dumps(held, protocol=5),))
+    out = [(*kind, m, n) for (kind, m), n in change.items() if n]
+    if out:
+        part, good, toxic, masks, n = zip(*out, strict=True)
+        yield pd.DataFrame({"part": part, "mask": masks, "good": good, "toxic": toxic, "n": n})
+
+
+def fold_text(rows: list, before: tuple[int, dict] | None, change: Counter) -> tuple[int, dict] | None:
+    """One text's candidates on its (smallest id, rows of it by kind); adds to ``change``, returns the new state."""
+    mask = rows[0][0]
+    ids = [r[2] for r in rows if r[1]]
+    if before is not None:
+        ids.append(before[0])
+    least = min(ids, default=None)
+    counts: Counter = Counter()
+    if before is not None and before[0] == least:
+        counts.update(before[1])
+    elif before is not None:
+        for kind, n in before[1].items():  # no longer the smallest: retracted, and counted as a repeat
             change[kind, mask] -= n
             change[kind, mask | REPEATED] += n
-        held = Counter()
     for _, named, own, part, good, toxic, at_least, above in rows:
         kind = (part, good, toxic)
-        first = not named or own == now
+        first = not named or own == least
         change[kind, mask if first else mask | REPEATED] += at_least
         change[kind, mask | REPEATED] += above
         if named and first:
-            held[kind] += at_least
-    if now is not None:
-        parts, goods, toxics = zip(*held, strict=True)
-        state.update((now, list(parts), list(goods), list(toxics), list(held.values())))
-    out = [(*kind, m, n) for (kind, m), n in change.items() if n]
-    if out:
-        part, good, toxic, masks, n = zip(*out, strict=True)
-        yield pd.DataFrame({"part": part, "mask": masks, "good": good, "toxic": toxic, "n": n})
-
-
-class _Settings:
-    """Session settings for the time of a stream."""
-
-    def __init__(self, spark: SparkSession, **values: str):
-        self.spark, self.values = spark, {k.replace("__", "."): v for k, v in values.items()}
-
-    def __enter__(self) -> None:
-        self.before = {k: self.spark.conf.get(k, None) for k in self.values}
-        for k, v in self.values.items():
-            self.spark.conf.set(k, v)
-
-    def __exit__(self, *_) -> None:
-        for k, v in self.before.items():
-            self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+            counts[kind] += at_least
+    return None if least is None else (least, dict(counts))
 
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: int = MICRO_BATCHES, folder: str | None = None) -> DataFrame:
@@ -172,6 +173,10 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: i
     table = spark.read.parquet(path)
     folder = folder or scratch_dir(spark, "audit")
     changes = f"{folder}/changes"
+    groups = read_note(spark, f"{folder}/groups")
+    if groups is None:  # of a hash's bits, so the same for as long as the state lives
+        groups = max(1, table.count() // TEXTS_PER_STATE)
+        write_note(spark, f"{folder}/groups", groups)
     per_batch = max(1, -(-len(table.inputFiles()) // micro_batches))
     marks = (labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.coalesce(F.max(F.col("quality") == 1), F.lit(False)).alias("good"), F.coalesce(F.max(F.col("toxic") == 1), F.lit(False)).alias("toxic")))
@@ -179,13 +184,13 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: i
             .option("maxFilesPerTrigger", per_batch).parquet(f"{path[:-1]}[{path[-1]}]"))  # a pattern, so that one file will do
     marked = _masked(docs).join(broadcast_up_to(marks, BROADCAST_LABELS), "doc_id", "left").select(
         "text_key", "mask", "doc_id", "part", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
-    folded = _combined(marked).groupBy("text_key").applyInPandasWithState(fold, _CHANGE, _STATE, "update", GroupStateTimeout.NoTimeout)
+    folded = _combined(marked, groups).groupBy("texts").applyInPandasWithState(fold, _CHANGE, _STATE, "update", GroupStateTimeout.NoTimeout)
 
     def store(batch: DataFrame, number: int) -> None:
         total = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
         total.write.mode("overwrite").parquet(f"{changes}/batch={number}")
 
-    with _Settings(spark, spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"):
+    with settings(spark, STATE_ON_DISK):
         query = (folded.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint")
                  .trigger(availableNow=True).foreachBatch(store).start())
         query.awaitTermination()
