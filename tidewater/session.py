@@ -7,11 +7,9 @@ session that already exists except what correctness needs (time zone, ANSI).
 
 from __future__ import annotations
 
-import contextlib
 import json
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +26,8 @@ CORE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the state of streams lies on the executors' disks, not in their heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -58,23 +58,6 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, CORE_CONF[k])
 
 
-#: Keeps the state of streams on the executors' disks, not in their heap.
-STATE_ON_DISK = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
-
-
-@contextlib.contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the time of a block; the caller's are put back."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 _LOCAL_DIRS: dict = {}
 
 
