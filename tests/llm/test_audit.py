@@ -81,7 +81,6 @@ def test_stream_goes_on_with_files_that_come_later(spark, tmp_path):
     again = audit.counters(spark, path, labels(spark), folder=folder)
     assert got(audit.interactions(again)) == brute(ROWS, LABELS)
     assert got(audit.interactions(audit.counters(spark, path, labels(spark), folder=folder))) == brute(ROWS, LABELS)
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
 def test_odd_rows_and_empty_tables(spark, tmp_path):

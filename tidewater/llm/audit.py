@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.llm.common import broadcast_up_to, map_arrow, small_batches
-from tidewater.session import STATE_ON_DISK, read_note, scratch_dir, settings, write_note
+from tidewater.session import read_note, scratch_dir, write_note
 
 FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 50, 65, 5
@@ -167,7 +167,8 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: i
     A null text is empty.  Texts are the same when their bytes are (by
     SHA-256).  Rows of the smallest id of a text never repeat it, however many
     they are; a row without id is never smaller or larger than another.  A null
-    source is the part ''.  An empty table gives no rows; other columns are not read.
+    source is the part ''.  The state is kept by the session's state store;
+    for large tables that should be the one on disk.  An empty table gives no rows; other columns are not read.
     """
     path = path.rstrip("/")
     table = spark.read.parquet(path)
@@ -190,10 +191,9 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: i
         total = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
         total.write.mode("overwrite").parquet(f"{changes}/batch={number}")
 
-    with settings(spark, STATE_ON_DISK):
-        query = (folded.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint")
-                 .trigger(availableNow=True).foreachBatch(store).start())
-        query.awaitTermination()
+    query = (folded.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint")
+             .trigger(availableNow=True).foreachBatch(store).start())
+    query.awaitTermination()
     root = spark._jvm.org.apache.hadoop.fs.Path(changes)
     root.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(root)
     read = spark.read.schema(_CHANGE).parquet(changes)
