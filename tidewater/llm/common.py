@@ -43,11 +43,11 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark, name)}/table"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -339,7 +339,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None =
     fs, root = _fs(folder)
     fs.create_dir(root, recursive=True)
     kind = _id_type(_chunks(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True))
-    ids = written(_tokenized(docs, tokenizer, end_id), "rans-ids")
+    ids = written(_tokenized(docs, tokenizer, end_id), "rans-ids", compression="zstd")
     table = _counts(ids, kind)
     with fs.open_output_stream(f"{root}/table", compression=None) as out:
         out.write(table.dump())
