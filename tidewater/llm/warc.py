@@ -188,6 +188,28 @@ def _read(manifest: DataFrame, folder: str) -> DataFrame:
     return files.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
+def _sample(rows: DataFrame) -> list[bytes]:
+    """Records to train on: SAMPLE_RECORDS pages by hash, at most SAMPLE_BYTES of them.
+
+    Only ids and hashes are ordered; payloads are looked up afterwards.  Of a
+    longer payload a stretch of RECORD_SAMPLE_BYTES is taken at a place that its
+    hash gives; a page that is repeated counts once.
+    """
+    mixed = F.xxhash64("page_id", "url")
+    chosen = rows.select("page_id", "url", mixed.alias("order")).distinct().orderBy("order").limit(SAMPLE_RECORDS)
+    chosen = F.broadcast(chosen.select(F.col("page_id").alias("i"), F.col("url").alias("u")))  # SAMPLE_RECORDS rows at most
+    begin = F.pmod(F.xxhash64("digest"), F.greatest(F.length("payload") - RECORD_SAMPLE_BYTES, F.lit(0)) + 1).cast("int") + 1
+    stretch = F.substring("payload", begin, F.lit(RECORD_SAMPLE_BYTES))
+    found = (rows.join(chosen, rows["page_id"].eqNullSafe(F.col("i")) & rows["url"].eqNullSafe(F.col("u")), "left_semi")
+             .groupBy("page_id", "url").agg(F.min(stretch).alias("payload")))
+    sample, used = [], 0
+    for r in found.orderBy(mixed).toLocalIterator():
+        if used < SAMPLE_BYTES:
+            sample.append(record(r.page_id, r.url, bytes(r.payload), None))
+            used += len(sample[-1])
+    return sample
+
+
 def archive(pages: DataFrame, min_bytes: int = 0, level: int = 3, max_file_bytes: int = 64 << 20,
             folder: str | None = None) -> tuple[str, DataFrame]:
     """Writes the pages; (folder, manifest of file, records, bytes).
@@ -207,13 +229,7 @@ def archive(pages: DataFrame, min_bytes: int = 0, level: int = 3, max_file_bytes
     rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    sample, used = [], 0
-    for r in (rows.select(F.expr(f"substring(payload, 1, {RECORD_SAMPLE_BYTES})").alias("payload"), "page_id", "url")
-              .orderBy(F.xxhash64("page_id", "url")).limit(SAMPLE_RECORDS).toLocalIterator()):
-        if used < SAMPLE_BYTES:
-            sample.append(record(r.page_id, r.url, bytes(r.payload), None))
-            used += len(sample[-1])
-    dictionary = train_dictionary(sample)
+    dictionary = train_dictionary(_sample(rows))
     repeats = written(rows.filter(F.length("payload") >= min_bytes).groupBy("digest")
                       .agg(F.min("page_id").alias("holder"), F.count("*").alias("n"))
                       .filter("n > 1 and holder is not null").select("digest", "holder"), "warc-repeats")
