@@ -117,3 +117,24 @@ def test_one_id_with_several_texts(spark):
         got = neardup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string"), 3, 85).collect()
         assert odd.by_id(got, "doc_id", "n_shingles", "component_id") == odd.by_id(
             [{"d": d, "n": n, "c": c} for d, n, c in want], "d", "n", "c")
+
+
+@pytest.mark.parametrize("small", [1_000_000, 10])
+def test_components_settle_alike_in_one_task_and_in_rounds(spark, monkeypatch, small):
+    monkeypatch.setattr(neardup, "SMALL_EDGES", small)
+    rng = random.Random(9)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1200)] + [(5, 5)]
+    rng.shuffle(edges)
+    root = {n: n for e in edges if e[0] != e[1] for n in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = neardup.components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
+    assert {r.node: r.component for r in got} == {n: find(n) for n in root} and len(got) == len(root)

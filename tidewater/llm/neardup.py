@@ -40,6 +40,7 @@ from tidewater.llm.wordhash import SPACE, U64, Words, blocks, mix, shingles
 PERMUTATIONS = 256
 NEIGHBOURS = 3
 BLOCK_NODES = 1024
+SMALL_EDGES = 1_000_000
 _RNG = np.random.default_rng(20240229)
 _MUL_HIGH = _RNG.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
 _MUL_LOW = _RNG.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -206,13 +207,55 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its component) of the edges' nodes that are not the smallest themselves."""
+    names, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    root = np.arange(len(names))
+    while True:  # names are in order, so the smallest place is the smallest node
+        least = root.copy()
+        np.minimum.at(least, root[a], root[b])
+        np.minimum.at(least, root[b], root[a])
+        while (least[least] != least).any():
+            least = least[least]
+        if (least[root] == root).all():
+            break
+        root = least[root]
+    far = np.flatnonzero(root != np.arange(len(names)))
+    return names[far], names[root[far]]
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """(u, v), u > v, with the same components: each task gives the stars of its own edges, bounded stretches at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        us, vs, held = [], [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                us.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+                vs.append(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64))
+                held += batch.num_rows
+            if held and (batch is None or held >= 2 * SMALL_EDGES):
+                u, v = _stars(np.concatenate(us), np.concatenate(vs))
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                us, vs, held = [], [], 0
+
+    return edges.mapInArrow(run, "u long, v long")
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of an undirected edge table (a, b); the component is its smallest node.
 
-    Alternating star rounds: each hooks neighbours to the smallest one in reach, until nothing changes.
+    Each task first contracts its own edges to stars.  At most SMALL_EDGES of
+    them are then settled in one task, which that number bounds; more go through
+    alternating star rounds, each of which hooks neighbours to the smallest one in reach,
+    until nothing changes.  Both give the same components.
     """
-    state = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-                    name)
+    state = written(_contracted(edges.filter("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), name)
+    if state.count() <= SMALL_EDGES:
+        state = written(_contracted(state.coalesce(1)), name)
+        return (state.select(F.col("u").alias("node"), F.col("v").alias("component"))
+                .union(state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
     seen = None
     while True:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
