@@ -1,11 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import clean
 from tidewater.operators.latest import keep_latest
-from tidewater.operators.upsert import merge_upsert, VersionedTable
-from tidewater.session import scratch_dir
+from tidewater.operators.upsert import merge_upsert
+from tidewater.plans import facts
 
 
 def rows(df, *cols):
@@ -87,12 +88,19 @@ def test_merge_update_and_insert_column_lists(spark):
     assert rows(out, "k", "cat", "v") == [("a", "x", 9), ("b", "none", 2)]
 
 
-def test_versioned_table_retry_is_idempotent(spark):
-    t = VersionedTable(spark, scratch_dir(spark, "vt"))
-    base = spark.createDataFrame([("a", "x", 1)], SCHEMA)
-    t.commit(base, 0)
-    batch = spark.createDataFrame([("a", "x", 2), ("b", "y", 3)], SCHEMA)
-    t.upsert(batch, 1, "k")
-    t.upsert(batch, 1, "k")  # the same micro-batch retried
-    assert t.versions() == [0, 1]
-    assert rows(t.current(), "k", "v") == [("a", 2), ("b", 3)]
+@pytest.mark.parametrize("flip", [False, True])
+def test_rows_that_differ_in_one_column_alone_have_a_fixed_survivor(spark, flip):
+    """Equal key, times, status and total: the order goes on over all other columns."""
+    ts = dt.datetime(2024, 1, 1)
+    a = {c: "x" for c in facts.FACT_TRANSACTION_COLS} | {"bill_country": "x", "bill_city": "x", "bill_state": "x", "timestamp": ts, "processed_at": ts,
+                                                         "total": 5, "subtotal": 4}
+    both = [a | {"tax": 1}, a | {"tax": 2}]
+    df = spark.createDataFrame(both[::-1] if flip else both).coalesce(1)
+    got = facts.fact_transactions(df).collect()
+    assert len(got) == 1
+    survivor = got[0].tax
+    assert facts.fact_transactions(spark.createDataFrame(both[::-1]).repartition(3)).first().tax == survivor
+    items = [{"transaction_id": "t", "line_item_index": 0, "processed_at": ts, "timestamp": ts, "product_id": "p", "quantity": 1, "brand": b,
+              **{c: "x" for c in ("user_id", "product_name", "category", "unit_price", "item_subtotal", "currency")}} for b in ("b1", "b2")]
+    first, second = (facts.transaction_items(spark.createDataFrame(rows).coalesce(1)).first().brand for rows in (items, items[::-1]))
+    assert first == second

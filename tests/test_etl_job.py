@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidewater.plans import layers as P
@@ -41,11 +42,57 @@ def test_second_landing_of_a_day_keeps_the_first(spark):
     assert spark.read.text(f"{root}/out/user_events/_quarantine").count() == 2
 
 
-def test_date_range(spark):
+def _day(d, **more):
+    return {"event_id": f"e{d}", "timestamp": f"2024-01-{d:02d}T00:00:00.000000Z", **more}
+
+
+def _out(spark, root, topic="user_events"):
+    return sorted(r.event_id for r in spark.read.parquet(f"{root}/out/{topic}").collect())
+
+
+@pytest.mark.parametrize("archive", [False, True])
+def test_a_range_keeps_every_row_once(spark, archive):
+    """Ten events in one file: a run over two days, then runs without bounds."""
     root = scratch_dir(spark, "etl_range")
-    _land(spark, f"{root}/landing/user_events", [{"event_id": f"e{d}", "timestamp": f"2024-01-{d:02d}T00:00:00.000000Z"} for d in range(1, 10)])
-    run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-03", end="2024-01-05")
-    assert sorted(r.event_id for r in spark.read.parquet(f"{root}/out/user_events").collect()) == ["e3", "e4", "e5"]
+    options = {"archive": f"{root}/archive"} if archive else {}
+    _land(spark, f"{root}/landing/user_events", [_day(d) for d in range(1, 11)])
+    run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-03", end="2024-01-04", **options)
+    assert _out(spark, root) == sorted(f"e{d}" for d in range(1, 11))
+    for _ in range(2):
+        run_etl(spark, f"{root}/landing", f"{root}/out", **options)
+    assert _out(spark, root) == sorted(f"e{d}" for d in range(1, 11))
+    _land(spark, f"{root}/landing/user_events", [_day(d) for d in (3, 20)])
+    run_etl(spark, f"{root}/landing", f"{root}/out", **options)
+    run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-02", **options)
+    assert _out(spark, root) == sorted([*(f"e{d}" for d in range(1, 11)), "e20", "e3"])
+
+
+def test_a_range_is_computed_anew_and_the_rest_stays(spark, monkeypatch):
+    from tidewater.plans import etl
+    root = scratch_dir(spark, "etl_again")
+    _land(spark, f"{root}/landing/user_events", [_day(d) for d in range(1, 6)] + [{"event_id": "undated"}, _day(25), _day(26)])
+    run_etl(spark, f"{root}/landing", f"{root}/out")
+    before = etl.CLEAN["user_events"]
+    monkeypatch.setitem(etl.CLEAN, "user_events", lambda df: before(df).withColumn("page", F.lit("new")).filter("event_id <> 'e4'"))
+    for _ in range(2):
+        run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-03", end="2024-01-05")
+    got = {r.event_id: r.page for r in spark.read.parquet(f"{root}/out/user_events").collect()}
+    assert got == {"e1": None, "e2": None, "e3": "new", "e5": "new", "e25": None, "e26": None, "undated": None}
+    assert _out(spark, root) == sorted(got)  # each once
+
+
+def test_a_lost_range_run_is_finished_by_the_next(spark, monkeypatch):
+    from tidewater.plans import etl
+    root = scratch_dir(spark, "etl_lost")
+    _land(spark, f"{root}/landing/user_events", [_day(d) for d in range(1, 6)])
+    run_etl(spark, f"{root}/landing", f"{root}/out")
+    delete = etl._delete
+    monkeypatch.setattr(etl, "_delete", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):  # after the overwrite, before the emptied folder went
+        run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-01")
+    monkeypatch.setattr(etl, "_delete", delete)
+    run_etl(spark, f"{root}/landing", f"{root}/out", start="2024-01-01")
+    assert _out(spark, root) == [f"e{d}" for d in range(1, 6)]
 
 
 def test_a_broken_rule_fails_the_run(spark, monkeypatch):

@@ -2,10 +2,15 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SF_SMALL
+from tidewater.plans import facts, marts
 from tidewater.plans import layers as P
 from tidewater.plans import silver as S
+from tidewater.plans.gold import GoldTables
 from tidewater.session import scratch_dir
+from tidewater.sources import fixtures as fx
 from tidewater.sources.bronze import load_bronze
 from tidewater.sources.landing import write_json_lines
 from tidewater.streaming import jobs as J
@@ -15,37 +20,61 @@ def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
+def _silver(spark, topic, name, kept_marts=()):
+    cleaned = P.clean_topics(spark, SF_SMALL, (topic,))[topic]
+    root = scratch_dir(spark, name)
+    gold = GoldTables(spark, f"{root}/tables", kept_marts)
+    return gold, cleaned, root
+
+
 def test_stream_equals_batch_and_restart_adds_nothing(spark):
-    cleaned = P.clean_topics(spark, SF_SMALL, ("transaction_events",))["transaction_events"]
-    root = scratch_dir(spark, "t_stream")
+    gold, cleaned, root = _silver(spark, "transaction_events", "t_stream")
 
     def run():
-        sink, _ = J.stream_silver(spark, cleaned, "transaction_events", root, f"{root}/_ckpt/silver", max_files=40)
-        gold, _ = J.stream_gold(spark, {t: sink.changes(t) for t in sink.builds}, f"{root}/gold", f"{root}/_ckpt/gold",
-                                kept_marts=())
-        return sink, gold
-
-    sink, gold = run()
-    batches = sorted(os.listdir(sink.changes("transactions")))
-    assert len(batches) > 1  # several micro-batches
+        J.stream_silver(spark, cleaned, "transaction_events", gold, f"{root}/_ckpt/silver", max_files=40)
+        for c in ("fact_transactions", "transaction_items"):
+            J.stream_consumer(gold, c, f"{root}/_ckpt/{c}")
+
+    run()
+    feeds = {f: sorted(os.listdir(gold.feed(f).removeprefix("file:"))) for f in ("transactions", "items", "fact_transactions", "transaction_items")}
+    assert len(feeds["transactions"]) > 1  # several micro-batches
     bronze = load_bronze(spark, cleaned)
     cols = ["transaction_id", "user_id", "status", "total", "bill_city"]
-    assert _rows(gold.stg_transactions.current(), cols) == _rows(S.silver_transactions(bronze), cols)
+    assert _rows(gold.read("stg_transactions"), cols) == _rows(S.silver_transactions(bronze), cols)
     icols = ["transaction_id", "line_item_index", "product_id", "quantity", "item_subtotal"]
-    assert _rows(gold.items.current(), icols) == _rows(S.silver_transaction_items(bronze), icols)
-    # restart from the checkpoints with no new files: nothing is processed
-    versions = gold.items.versions()
-    sink2, gold2 = run()
-    assert sorted(os.listdir(sink2.changes("transactions"))) == batches
-    assert gold2.items.versions() == versions
+    assert _rows(gold.read("transaction_items"), icols) == _rows(S.silver_transaction_items(bronze), icols)
+    run()  # restart from the checkpoints with no new files: nothing is processed
+    assert {f: sorted(os.listdir(gold.feed(f).removeprefix("file:"))) for f in feeds} == feeds
+
+
+def test_a_stopped_consumer_catches_up_and_starves_no_other(spark):
+    """Three consumers of one feed: one runs after every batch, one is stopped and started again, one starts at the end."""
+    root = scratch_dir(spark, "t_consumers")
+    gold = GoldTables(spark, f"{root}/tables", ("customer_risk", "refund_items_nested"))
+    tx, items = fx.stg_transactions(spark, SF_SMALL), fx.stg_items(spark, SF_SMALL).drop("tie1", "tie2", "tie3", "tie4")
+    gold.load("items", items, 0)
+    J.stream_consumer(gold, "transaction_items", f"{root}/_ckpt/transaction_items")
+    late = tx.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 40 DAYS")).withColumn("status", F.lit("pending"))
+    third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    for n, rows in enumerate((late, tx.filter(third > 0), tx.filter(third == 0))):
+        gold.load("transactions", rows, n)
+        J.stream_consumer(gold, "fact_transactions", f"{root}/_ckpt/fact_transactions")  # the fast one
+        if n != 1:
+            J.stream_consumer(gold, "customer_risk", f"{root}/_ckpt/customer_risk", max_files=1)  # stopped for a batch
+    J.stream_consumer(gold, "refund_items_nested", f"{root}/_ckpt/refund_items_nested", max_files=1)
+    cols = ["transaction_id", "status", "transaction_date", "total"]
+    assert _rows(gold.read("fact_transactions"), cols) == _rows(facts.fact_transactions(tx), cols)
+    risk = ["user_id", "event_date", "num_refunds", "num_chargebacks", "bill_city"]
+    assert _rows(gold.read("customer_risk"), risk) == _rows(marts.risk_counts(tx), risk)
+    nested = marts.refund_items_nested(tx, facts.transaction_items(items))
+    assert _rows(gold.read("refund_items_nested"), ["transaction_id", "purchase_items"]) == _rows(nested, ["transaction_id", "purchase_items"])
 
 
 def test_stamp_is_one_per_batch(spark):
-    cleaned = P.clean_topics(spark, SF_SMALL, ("user_events",))["user_events"]
-    root = scratch_dir(spark, "t_stamp")
-    sink, _ = J.stream_silver(spark, cleaned, "user_events", root, f"{root}/_ckpt")
-    got = spark.read.parquet(sink.changes("events"))
-    assert got.select("batch", "processed_at").distinct().count() == got.select("batch").distinct().count()
+    gold, cleaned, root = _silver(spark, "user_events", "t_stamp")
+    J.stream_silver(spark, cleaned, "user_events", gold, f"{root}/_ckpt")
+    got = spark.read.parquet(gold.feed("events")).select("batch", "after.processed_at")
+    assert got.distinct().count() == got.select("batch").distinct().count()
 
 
 def _landing(spark, name, parts=3):

@@ -612,7 +612,8 @@ def q_silver_products(spark, sf):
 
 # ------------------------------------------------------ write and read back
 from tidewater.operators.quality import quality_report  # noqa: E402
-from tidewater.operators.upsert import VersionedTable, merge_upsert  # noqa: E402
+from tidewater.operators.tables import read_table, upsert_partitions  # noqa: E402
+from tidewater.operators.upsert import merge_upsert  # noqa: E402
 from tidewater.session import scratch_dir  # noqa: E402
 from tidewater.sources import sinks  # noqa: E402
 
@@ -644,13 +645,12 @@ def q_merge_upsert(spark, sf):
 
 @query("replay_idempotent", _MERGED_SQL)
 def q_replay_idempotent(spark, sf):
-    """The same batch merged twice, through written versions: no change."""
+    """A batch merged into the written table, repeated under its number and sent again under the next: no change."""
     target, batch = _merge_inputs(spark, sf)
-    t = VersionedTable(spark, scratch_dir(spark, "replay"))
-    t.commit(target, 0)
-    t.upsert(batch, 1, "transaction_id")
-    t.upsert(batch, 2, "transaction_id")
-    return t.current()
+    path = f"{scratch_dir(spark, 'replay')}/fact"
+    for n, rows in ((0, target), (1, batch), (1, batch), (2, batch)):
+        upsert_partitions(P.with_month(rows, "transaction_date"), path, "transaction_id", "event_month", n)
+    return read_table(spark, path).drop("event_month")
 
 
 @query("write_parquet_roundtrip", "SELECT * FROM fact_transactions")
@@ -694,15 +694,14 @@ def _buckets(source) -> int:
 def q_bucketed_join(spark, sf):
     """Items and transactions stored bucketed by transaction_id: the join reads
     matching buckets side by side, with no shuffle."""
-    import uuid
-    tag = uuid.uuid4().hex[:8]
     root = scratch_dir(spark, "bucketed")
     f = _fact_tx(spark, sf).select("transaction_id", "transaction_date", "transaction_type")
     i = _items(spark, sf).select("transaction_id", "line_item_index", "category", "item_subtotal")
     n = _buckets(table(spark, sf, "lineitem"))
-    tf = sinks.write_bucketed(f, spark, f"tw_fact_{tag}", f"{root}/fact", "transaction_id", n)
-    ti = sinks.write_bucketed(i, spark, f"tw_items_{tag}", f"{root}/items", "transaction_id", n)
-    return spark.table(ti).join(spark.table(tf), "transaction_id")
+    with sinks.catalog_tables(spark, "fact", "items") as (tf, ti):
+        sinks.write_bucketed(f, spark, tf, f"{root}/fact", "transaction_id", n)
+        sinks.write_bucketed(i, spark, ti, f"{root}/items", "transaction_id", n)
+        return spark.table(ti).join(spark.table(tf), "transaction_id")  # resolved: it reads the files, not the catalog
 
 
 BACKFILL_FROM = "1998-01-01"
@@ -865,8 +864,7 @@ def q_cart_to_purchase(spark, sf):
 
 
 # ------------------------------------------------------------------ streaming
-from tidewater.operators.upsert import PartitionedTable  # noqa: E402
-from tidewater.plans.gold import GoldTables  # noqa: E402
+from tidewater.plans.gold import CONSUMERS, GoldTables  # noqa: E402
 from tidewater.streaming import jobs as J  # noqa: E402
 
 
@@ -909,40 +907,43 @@ def _has_files(spark, path: str) -> bool:
     return fs.exists(p) and fs.listFiles(p, True).hasNext()
 
 
-def _streamed(spark, sf, topic: str):
-    """Cleaned files of a topic through the silver stream in about three micro-batches; its sink and root."""
+def _streamed(spark, sf, topic: str, kept_marts=()) -> tuple[GoldTables, str]:
+    """Cleaned files of a topic through the silver stream in about three micro-batches; the tables and their root."""
     cleaned = P.clean_topics(spark, sf, (topic,))[topic]
-    root = scratch_dir(spark, f"silver_stream_{topic}")
+    root = scratch_dir(spark, f"stream_{topic}")
+    gold = GoldTables(spark, f"{root}/tables", kept_marts)
     files = max(1, -(-spark.read.parquet(cleaned).select("event_month").distinct().count() // 3))
-    sink, _ = J.stream_silver(spark, cleaned, topic, root, f"{root}/_ckpt/silver", max_files=files)
-    return sink, root
+    J.stream_silver(spark, cleaned, topic, gold, f"{root}/_ckpt/silver", max_files=files)
+    return gold, root
 
 
-def _stream_to_gold(spark, sf, topic: str, kept_marts=()) -> GoldTables:
-    sink, root = _streamed(spark, sf, topic)
-    changes = {t: sink.changes(t) for t in sink.builds}
-    files = max(_files_for(spark, f"{path}/*/*.parquet", 2) for path in changes.values())
-    gold, _ = J.stream_gold(spark, changes, f"{root}/gold", f"{root}/_ckpt/gold", max_files=files, kept_marts=kept_marts)
+def _consumed(spark, sf, topic: str, *consumers: str) -> GoldTables:
+    """The given gold tables by their own streams over the change feeds, two micro-batches or more each."""
+    gold, root = _streamed(spark, sf, topic)
+    for c in consumers:
+        files = max(_files_for(spark, f"{gold.feed(f)}/*/*.parquet", 2) for f in CONSUMERS[c].feeds)
+        J.stream_consumer(gold, c, f"{root}/_ckpt/{c}", max_files=files)
     return gold
 
 
 @query("stream_silver", BODY["silver_transactions"])
 def q_stream_silver(spark, sf):
-    """Bronze stream -> silver transactions and items -> persisted tables, several micro-batches each."""
-    return _stream_to_gold(spark, sf, "transaction_events").stg_transactions.current().drop("processed_at", "event_month")
+    """Bronze stream -> silver transactions and items, upserted by several micro-batches."""
+    return _streamed(spark, sf, "transaction_events")[0].read("stg_transactions").drop("processed_at")
 
 
 @query("stream_silver_events", BODY["silver_user_events"])
 def q_stream_silver_events(spark, sf):
-    return _stream_to_gold(spark, sf, "user_events").stg_events.current().drop("processed_at", "event_month")
+    """Bronze stream of user events -> silver table."""
+    return _streamed(spark, sf, "user_events")[0].read("stg_user_events").drop("processed_at")
 
 
 @query("change_feed", """
 SELECT * REPLACE (COALESCE(payment_method, 'USD') AS payment_method) FROM fact_transactions
 WHERE transaction_id IN (SELECT transaction_id FROM transaction_items)""")
 def q_change_feed(spark, sf):
-    """Silver change log consumed by a gold stream with its own checkpoint."""
-    return _stream_to_gold(spark, sf, "transaction_events").fact_transactions.current().drop("event_month")
+    """Feed of the silver transactions consumed by the fact's stream, with its own checkpoint."""
+    return _consumed(spark, sf, "transaction_events", "fact_transactions").read("fact_transactions")
 
 
 @query("daily_revenue_stream", f"""
@@ -955,9 +956,8 @@ FROM fact_transactions
 WHERE status = 'completed' AND transaction_id IN (SELECT transaction_id FROM transaction_items)
 GROUP BY transaction_date""")
 def q_daily_revenue_stream(spark, sf):
-    """Daily revenue kept by the gold stream: each batch recomputes the months
-    its rows left or entered."""
-    return _stream_to_gold(spark, sf, "transaction_events", ("daily_revenue",)).marts["daily_revenue"].current().drop("event_month")
+    """Daily revenue by a stream over the feed of the fact: changed rows take their old share away and add the new one."""
+    return _consumed(spark, sf, "transaction_events", "fact_transactions", "daily_revenue").read("daily_revenue")
 
 
 # ------------------------------------------- batches with updates and moves
@@ -999,49 +999,46 @@ def _gold(spark, sf, feeds, kept_marts=(), batches=(0, 1, 2)) -> GoldTables:
     return gold
 
 
-def _register_gold(name: str, feeds: tuple, body: str, get):
+def _register_gold(name: str, feeds: tuple, body: str):
     @query(f"gold_{name}_incremental", body)
     def _q(spark, sf):
         replayed = (0, 1, 1, 2, 2) if name == "fact_transactions" else (0, 1, 2)
-        return get(_gold(spark, sf, feeds, [m for m in GoldTables.MARTS if m == name], replayed))
+        return _gold(spark, sf, feeds, [m for m in GoldTables.MARTS if m == name], replayed).read(name).drop("processed_at")
     _q.__doc__ = f"{name} kept through three batches with corrections and moved dates."
 
 
-def _no_month(table):
-    return table.current().drop("event_month", "processed_at")
-
-
 _TX_DIM = ("transactions", "customers")
-for _name, _feeds, _sql, _get in (
-    ("stg_customers", ("customers",), BODY["silver_customers"], lambda g: _no_month(g.stg_customers)),
-    ("stg_products", ("products",), BODY["silver_products"], lambda g: _no_month(g.stg_products)),
-    ("dim_customer", ("customers",), BODY["dim_customer"], lambda g: _no_month(g.dim_customer)),
-    ("dim_product", ("products",), BODY["dim_product"], lambda g: _no_month(g.dim_product)),
-    ("fact_transactions", ("transactions",), BODY["fact_transactions"], lambda g: _no_month(g.fact_transactions)),
-    ("transaction_items", ("items",), BODY["transaction_items"], lambda g: _no_month(g.items)),
-    ("fact_user_events", ("events",), BODY["fact_user_events"], lambda g: _no_month(g.events)),
-    ("daily_revenue", ("transactions",), BODY["daily_revenue"], lambda g: _no_month(g.marts["daily_revenue"])),
-    ("revenue_by_category", ("items",), BODY["revenue_by_category"], lambda g: _no_month(g.marts["revenue_by_category"])),
-    ("refunds_by_category", ("transactions", "items"), BODY["refunds_by_category"], lambda g: _no_month(g.marts["refunds_by_category"])),
-    ("customer_daily_spend", _TX_DIM, BODY["customer_daily_spend"], lambda g: _no_month(g.marts["customer_daily_spend"])),
-    ("customer_risk", _TX_DIM, BODY["customer_risk"], lambda g: _no_month(g.marts["customer_risk"])),
-    ("refund_items_nested", ("transactions", "items"), BODY["refund_items_nested"], lambda g: _no_month(g.marts["refund_items_nested"])),
+for _name, _feeds, _sql in (
+    ("stg_customers", ("customers",), BODY["silver_customers"]),
+    ("stg_products", ("products",), BODY["silver_products"]),
+    ("dim_customer", ("customers",), BODY["dim_customer"]),
+    ("dim_product", ("products",), BODY["dim_product"]),
+    ("fact_transactions", ("transactions",), BODY["fact_transactions"]),
+    ("transaction_items", ("items",), BODY["transaction_items"]),
+    ("fact_user_events", ("events",), BODY["fact_user_events"]),
+    ("daily_revenue", ("transactions",), BODY["daily_revenue"]),
+    ("revenue_by_category", ("items",), BODY["revenue_by_category"]),
+    ("refunds_by_category", ("transactions", "items"), BODY["refunds_by_category"]),
+    ("customer_daily_spend", _TX_DIM, BODY["customer_daily_spend"]),
+    ("customer_risk", _TX_DIM, BODY["customer_risk"]),
+    ("refund_items_nested", ("transactions", "items"), BODY["refund_items_nested"]),
 ):
-    _register_gold(_name, _feeds, _sql, _get)
+    _register_gold(_name, _feeds, _sql)
 
 
-def _by_date(spark, name: str) -> PartitionedTable:
-    return PartitionedTable(spark, scratch_dir(spark, name), "event_month")
+def _upserted(spark, name: str, *batches):
+    """A table by months of transactions after (number, rows) batches."""
+    path = f"{scratch_dir(spark, name)}/table"
+    for n, rows in batches:
+        upsert_partitions(P.with_month(rows, "transaction_date"), path, "transaction_id", "event_month", n)
+    return read_table(spark, path).drop("event_month")
 
 
 @query("upsert_moved_date", "SELECT * FROM fact_transactions")
 def q_upsert_moved_date(spark, sf):
     """Every transaction first lies 40 days late; the second batch moves it."""
-    f, t = _fact_tx(spark, sf), _by_date(spark, "moved")
-    late = f.withColumn("transaction_date", F.date_add("transaction_date", 40))
-    t.upsert(P.with_month(late, "transaction_date"), "transaction_id", 0)
-    t.upsert(P.with_month(f, "transaction_date"), "transaction_id", 1)
-    return t.current().drop("event_month")
+    f = _fact_tx(spark, sf)
+    return _upserted(spark, "moved", (0, f.withColumn("transaction_date", F.date_add("transaction_date", 40))), (1, f))
 
 
 @query("upsert_null_date", """
@@ -1051,21 +1048,14 @@ def q_upsert_null_date(spark, sf):
     """Rows without a date come in two batches; the second must not lose those of the first."""
     k = F.col("transaction_id").cast("bigint")
     f = _fact_tx(spark, sf).withColumn("transaction_date", F.when(k % 3 != 0, F.col("transaction_date")))
-    t = _by_date(spark, "nulls")
-    t.upsert(P.with_month(f.filter(k % 2 == 0), "transaction_date"), "transaction_id", 0)
-    t.upsert(P.with_month(f.filter(k % 2 == 1), "transaction_date"), "transaction_id", 1)
-    return t.current().drop("event_month")
+    return _upserted(spark, "nulls", (0, f.filter(k % 2 == 0)), (1, f.filter(k % 2 == 1)))
 
 
 @query("upsert_three_batches", _MERGED_SQL)
 def q_upsert_three_batches(spark, sf):
     """Old snapshot, a batch of updates and new rows, and the same batch replayed."""
     target, batch = _merge_inputs(spark, sf)
-    t = _by_date(spark, "three")
-    t.upsert(P.with_month(target, "transaction_date"), "transaction_id", 0)
-    for n in (1, 1, 2):
-        t.upsert(P.with_month(batch, "transaction_date"), "transaction_id", n)
-    return t.current().drop("event_month")
+    return _upserted(spark, "three", (0, target), (1, batch), (1, batch), (2, batch))
 
 
 @query("daily_revenue_updates", BODY["daily_revenue"])
@@ -1077,7 +1067,7 @@ def q_daily_revenue_updates(spark, sf):
     gold.apply(0, transactions=wrong.filter(_third("transaction_id") > 0).unionByName(alone.filter(_third("transaction_id") == 0)))
     gold.apply(1, transactions=tx.filter(_third("transaction_id") == 0))
     gold.apply(2, transactions=tx.filter(_third("transaction_id") > 0))
-    return _no_month(gold.marts["daily_revenue"])
+    return gold.read("daily_revenue")
 
 
 # --------------------------------------------------- landing with bad lines

@@ -5,7 +5,9 @@ with a partial ``WindowGroupLimit`` *below* the shuffle, so every map task
 already keeps one row per key before anything is exchanged: a key that holds a
 third of all rows costs one row per map task in the shuffle, not a third of
 the data.  The order is made total by ascending tie-breakers over the other
-columns, so the survivor never depends on the run.
+columns, so the survivor never depends on the run; where some are named as
+``tie_breakers``, those come first, then a hash of the rest, then the rest.
+Rows that differ in a map or variant alone are alike.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ def keep_latest(df: DataFrame, keys, order_by, descending: bool = True,
     order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
-    if tie_breakers is None:
-        tie_breakers = [c for c in df.columns
-                        if c not in keys and c not in order_by and _orderable(df, c)]
-    order += [F.col(c).asc() for c in tie_breakers]
+    others = [c for c in df.columns if c not in {*keys, *order_by, *(tie_breakers or [])} and _orderable(df, c)]
+    order += [F.col(c).asc() for c in tie_breakers or []]
+    if tie_breakers is not None and others:
+        order.append(F.xxhash64(*others).asc())  # settles nearly every tie in one comparison
+    order += [F.col(c).asc() for c in others]
     w = Window.partitionBy(*key_cols).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

@@ -1,26 +1,18 @@
 """Keyed upsert (MERGE ... WHEN MATCHED UPDATE / WHEN NOT MATCHED INSERT).
 
 Plain Parquet takes no MERGE, so the merge is one full outer join on the key
-(null-safe by default, still planned as an equi-join), and the new state is
-written as a fresh version folder: a job never overwrites a path it reads.
-
-``PartitionedTable`` restricts the work to the partitions a batch touches, old
-and new; ``VersionedTable`` rewrites a small table whole.
+(null-safe by default, still planned as an equi-join).  ``operators.tables``
+writes it back, partition by partition.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.operators.latest import keep_latest
 
 _T, _S = "__tw_t", "__tw_s"
-BATCH = "tw_batch"  # folder of one batch; the name must not be a column of a table
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols=None, insert_cols=None,
@@ -74,169 +66,3 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols=None, i
             expr = F.when(new, ins_val).when(matched, upd_val).otherwise(F.col(c))
         out.append(expr.cast(dtype).alias(c))
     return j.select(*out)
-
-
-class VersionedTable:
-    """A table kept as immutable version folders ``<root>/v=<n>``.
-
-    ``commit(df, n)`` writes version n (overwriting an unfinished or repeated
-    n, so a retried micro-batch is idempotent); ``current(before=n)`` reads the
-    newest finished version below n.  Each version is read from files, so the
-    lineage of a long-running stream never grows.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema=None):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p, jvm
-
-    def versions(self) -> list[int]:
-        fs, p, jvm = self._fs()
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def path(self, n: int) -> str:
-        return f"{self.root}/v={n:012d}"
-
-    def current(self, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
-            if self.schema is None:
-                return None
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(self.path(vs[-1]))
-
-    def commit(self, df: DataFrame, n: int) -> str:
-        df.write.mode("overwrite").parquet(self.path(n))
-        return self.path(n)
-
-    def upsert(self, source: DataFrame, n: int, keys, **kw) -> str:
-        cur = self.current(before=n)
-        new = source if cur is None else merge_upsert(cur, source, keys, **kw)
-        return self.commit(new, n)
-
-
-class PartitionedTable:
-    """A keyed table in partition folders, published by a manifest.
-
-    Batch ``n`` writes the partitions it changes to ``data/tw_batch=<n>/`` and then a
-    manifest that names the version of every partition: readers follow the
-    newest finished manifest, so they see all of a batch or nothing, and a
-    repeated ``n`` starts again from the manifest before it.  A partition whose
-    rows all moved away is left out of the manifest.
-
-    Which partition holds a key is known from a compact log of
-    (key, partition) rows, one folder per batch, so a batch reads that log and
-    the partitions it touches, old and new, never the whole history.  NULL
-    partition values are a partition like any other.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, partition_col: str):
-        self.spark, self.root, self.part = spark, root.rstrip("/"), partition_col
-
-    # ------------------------------------------------------------- files
-    def _list(self, path: str) -> list[str]:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
-
-    def versions(self, what: str = "manifests") -> list[int]:
-        return [int(v.split("=")[1]) for v in self._list(f"{self.root}/{what}")
-                if v.startswith(f"{BATCH}=") and "_SUCCESS" in self._list(f"{self.root}/{what}/{v}")]
-
-    def _manifest(self, before: int | None = None) -> dict:
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
-            return {"schema": None, "parts": {}}
-        return json.loads(self.spark.read.text(f"{self.root}/manifests/{BATCH}={vs[-1]:012d}").first().value)
-
-    def _publish(self, n: int, schema, parts: dict) -> None:
-        text = json.dumps({"schema": schema.jsonValue(), "parts": parts})
-        (self.spark.createDataFrame([(text,)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{self.root}/manifests/{BATCH}={n:012d}"))
-
-    # ------------------------------------------------------------- reads
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def _read(self, manifest: dict, folders=None) -> DataFrame:
-        schema = StructType.fromJson(manifest["schema"])
-        parts = {f: v for f, v in manifest["parts"].items() if folders is None or f in folders}
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        paths = [f"{self.root}/data/{BATCH}={v:012d}/{f}" for f, v in sorted(parts.items())]
-        stored = StructType([f for f in schema.fields if f.name != self.part]
-                            + [StructField(BATCH, StringType()), schema[self.part]])
-        df = self.spark.read.schema(stored).option("basePath", f"{self.root}/data").parquet(*paths)
-        return df.select(*[f.name for f in schema.fields])
-
-    def current(self, folders=None) -> DataFrame | None:
-        """The table, or only the given partition folders of it; None before the first batch."""
-        return self._read(self._manifest(), folders) if self.exists() else None
-
-    def folder(self) -> F.Column:
-        """The partition folder of a row."""
-        return F.concat(F.lit(f"{self.part}="), F.coalesce(F.col(self.part).cast("string"), F.lit(NULL_FOLDER)))
-
-    # ------------------------------------------------------------- writes
-    def _write(self, df: DataFrame, n: int, manifest: dict, touched: set) -> None:
-        from tidewater.sources.sinks import cluster_by_partition
-        path = f"{self.root}/data/{BATCH}={n:012d}"
-        files = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 2 * max(1, len(touched)))
-        cluster_by_partition(df, [self.part], files).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(self.part).parquet(path)
-        parts = {f: v for f, v in manifest["parts"].items() if f not in touched}
-        parts |= {f: n for f in self._list(path) if f.startswith(f"{self.part}=")}
-        self._publish(n, df.schema, parts)
-
-    def replace(self, df: DataFrame, folders: set, n: int) -> None:
-        """The given partitions hold exactly ``df`` from now on; those without a row in it are gone."""
-        self._write(df, n, self._manifest(before=n), set(folders))
-
-    def upsert(self, source: DataFrame, keys, n: int, **kw) -> set:
-        """Merges a batch with one row per key; returns the partition folders that changed, old and new."""
-        keys = [keys] if isinstance(keys, str) else list(keys)
-        manifest = self._manifest(before=n)
-        staged = f"{self.root}/batches/{BATCH}={n:012d}"
-        source.write.mode("overwrite").parquet(staged)  # the batch is computed once, whatever reads it
-        batch = self.spark.read.schema(source.schema).parquet(staged)
-        placed = batch.select(*keys, self.folder().alias("folder"))
-        log = [f"{self.root}/keys/{BATCH}={v:012d}" for v in self.versions("keys") if v < n]
-        moved = placed.withColumn("was", F.lit(None).cast("string"))
-        if log:
-            seen = (self.spark.read.option("basePath", f"{self.root}/keys").parquet(*log)
-                    .groupBy(*keys).agg(F.max_by("folder", F.col(BATCH).cast("long")).alias("was")))
-            same = [placed[k].eqNullSafe(seen[k]) for k in keys]
-            moved = placed.join(seen, same, "left").select(*[placed[k] for k in keys], "folder", "was")
-        moved.filter(~F.col("folder").eqNullSafe(F.col("was"))).select(*keys, "folder") \
-            .write.mode("overwrite").parquet(f"{self.root}/keys/{BATCH}={n:012d}")
-        touched = {r.f for r in moved.select(F.explode(F.array("folder", "was")).alias("f")).distinct().collect() if r.f}
-        if manifest["schema"] is None:
-            merged = batch
-        else:
-            base = self._read(manifest, touched)
-            merged = merge_upsert(base, batch.select(*[c for c in base.columns if c in batch.columns]), keys, **kw)
-        self._write(merged, n, manifest, touched)
-        return touched
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Deletes data that none of the newest ``keep`` manifests names, and staged batches before them."""
-        jvm, vs = self.spark._jvm, self.versions()
-        used = {v for m in vs[-keep:] for v in json.loads(
-            self.spark.read.text(f"{self.root}/manifests/{BATCH}={m:012d}").first().value)["parts"].values()}
-        for what in ("data", "batches"):
-            for name in self._list(f"{self.root}/{what}"):
-                v = int(name.split("=")[1])
-                if v not in used and v not in vs[-keep:]:
-                    p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{what}/{name}")
-                    p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

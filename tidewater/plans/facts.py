@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.latest import keep_latest
 
-#: newest event wins; equal times go by these columns, which settle the rows' values
+#: newest event wins; equal times go by these columns first, then by all the others
 TX_TIES = ["status", "total"]
 ITEM_TIES = ["product_id", "quantity"]
 EVENT_TIES = ["event_type", "page"]
@@ -28,8 +28,12 @@ USER_EVENT_COLS = [
 
 
 def fact_transactions(stg_transactions: DataFrame) -> DataFrame:
-    latest = keep_latest(stg_transactions.filter(F.col("timestamp").isNotNull()),
-                         "transaction_id", ["processed_at", "timestamp"], tie_breakers=TX_TIES)
+    return project_transactions(keep_latest(stg_transactions.filter(F.col("timestamp").isNotNull()),
+                                            "transaction_id", ["processed_at", "timestamp"], tie_breakers=TX_TIES))
+
+
+def project_transactions(latest: DataFrame) -> DataFrame:
+    """Fact columns of silver rows that hold each key once."""
     return latest.select(
         "transaction_id", "user_id",
         F.col("timestamp").alias("transaction_ts"),

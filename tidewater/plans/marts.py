@@ -64,12 +64,24 @@ def customer_daily_spend(fact_tx: DataFrame, dim_customer: DataFrame) -> DataFra
     g = (fact_tx.filter(F.col("status") == "completed")
          .groupBy(F.col("transaction_date").alias("sales_date"), "user_id")
          .agg(F.count("*").alias("orders"), _sum("total").alias("spend")))
+    return with_names(g, dim_customer, ["sales_date", "user_id", "customer_name", "email", "orders", "spend"])
+
+
+def with_names(mart: DataFrame, dim_customer: DataFrame, columns: list[str]) -> DataFrame:
+    """A mart by user with the customer's name and address, as they are now."""
     d = dim_customer.select("user_id", F.col("full_name").alias("customer_name"), "email")
-    return g.join(d, "user_id", "left").select(
-        "sales_date", "user_id", "customer_name", "email", "orders", "spend")
+    return mart.join(d, "user_id", "left").select(*columns)
+
+
+RISK_COLS = ["user_id", "event_date", "customer_name", "email", "bill_city", "bill_country", "bill_state", "num_refunds", "num_chargebacks"]
 
 
 def customer_risk(stg_tx: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    return with_names(risk_counts(stg_tx), dim_customer, RISK_COLS)
+
+
+def risk_counts(stg_tx: DataFrame) -> DataFrame:
+    """Refunds, chargebacks and latest billing place per user and day."""
     src = stg_tx.filter((F.col("status") == "completed")
                         & F.col("transaction_type").isin(*REFUND_TYPES))
     loc = F.struct("bill_city", "bill_country", "bill_state")
@@ -79,13 +91,8 @@ def customer_risk(stg_tx: DataFrame, dim_customer: DataFrame) -> DataFrame:
          .agg(F.count_if(F.col("transaction_type") == "refund").alias("num_refunds"),
               F.count_if(F.col("transaction_type") == "chargeback").alias("num_chargebacks"),
               F.max_by(loc, order).alias("loc")))
-    d = dim_customer.select("user_id", F.col("full_name").alias("customer_name"), "email")
-    return g.join(d, "user_id", "left").select(
-        "user_id", "event_date", "customer_name", "email",
-        F.col("loc.bill_city").alias("bill_city"),
-        F.col("loc.bill_country").alias("bill_country"),
-        F.col("loc.bill_state").alias("bill_state"),
-        "num_refunds", "num_chargebacks")
+    return g.select("user_id", "event_date", F.col("loc.bill_city").alias("bill_city"), F.col("loc.bill_country").alias("bill_country"),
+                    F.col("loc.bill_state").alias("bill_state"), "num_refunds", "num_chargebacks")
 
 
 ITEM_STRUCT_FIELDS = ["product_id", "product_name", "category", "brand", "quantity",

@@ -7,6 +7,10 @@ partition overwrite), so a rerun of one day never touches another.
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +57,39 @@ def publish_staging(df: DataFrame, staging_root: str, dataset: str, batch_id: st
 
 
 def write_bucketed(df: DataFrame, spark: SparkSession, table: str, path: str, key: str,
-                   buckets: int) -> str:
-    """Bucketed + sorted catalog table: later joins on ``key`` with the same bucket
-    count read co-located data and skip the shuffle."""
-    (df.write.mode("overwrite").format("parquet").option("path", path)
-     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+                   buckets: int, partition_by=()) -> str:
+    """Bucketed + sorted catalog table, in folders of ``partition_by`` if given: later joins on
+    ``key`` with the same bucket count read co-located data and skip the shuffle, and a join
+    on a folder column with a filtered dimension reads only the folders that it names."""
+    if partition_by:  # each bucket's rows of a folder in one file
+        df = df.repartition(buckets, key)
+    w = df.write.mode("overwrite").format("parquet").option("path", path)
+    w = w.partitionBy(*partition_by) if partition_by else w
+    w.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return table
+
+
+@contextlib.contextmanager
+def catalog_tables(spark: SparkSession, *names: str) -> Iterator[tuple[str, ...]]:
+    """Table names of this block alone; the tables are dropped behind it."""
+    tag = uuid.uuid4().hex[:12]
+    tables = tuple(f"tw_{n}_{tag}" for n in names)
+    try:
+        yield tables
+    finally:
+        for t in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def replace_table(df: DataFrame, path: str) -> str:
+    """Full replace: the table at ``path`` holds exactly ``df`` from now on.
+
+    The rows are one folder (``whole=1``) that Spark's dynamic overwrite swaps
+    when all of them are written, so readers see the old state or the new one.
+    """
+    df.withColumn("whole", F.lit(1)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("whole").parquet(path)
+    return path
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("whole")

@@ -14,8 +14,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.tables import read_table
 from tidewater.plans import silver as S
-from tidewater.plans.gold import GoldTables
+from tidewater.plans.gold import CONSUMERS, GoldTables
 from tidewater.sources.bronze import to_bronze
 from tidewater.sources.landing import bad_lines, parse_lines
 from tidewater.sources.schemas import TOPICS
@@ -54,12 +55,12 @@ def ingest_landing(spark: SparkSession, landing_dir: str, topic: str, out_dir: s
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
 
     def sink(lines: DataFrame, n: int) -> None:
-        rows, path = parse_lines(lines, TOPICS[topic]), f"{out_dir}/batch={n:012d}"
+        rows, path = parse_lines(lines, TOPICS[topic]), f"{out_dir}/batch={n}"
         if clean is None:
             rows.write.mode("overwrite").parquet(path)
         else:
             clean(rows, path)
-        bad_lines(lines).write.mode("overwrite").text(f"{out_dir}/_quarantine/batch={n:012d}")
+        bad_lines(lines).write.mode("overwrite").text(f"{out_dir}/_quarantine/batch={n}")
 
     return _run(r.text(landing_dir).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), available_now, every)
 
@@ -72,11 +73,7 @@ def _cleaned(spark: SparkSession, cleaned_dir: str, max_files: int | None) -> Da
 
 
 class SilverSink:
-    """foreachBatch target: the silver tables of one topic, and a change log of the rows of each batch.
-
-    The change log (``_changes/<table>/batch=<n>``) is what downstream
-    consumers stream, with checkpoints of their own.
-    """
+    """foreachBatch target: the silver tables of one topic; what changed in them appears in their feeds."""
 
     BUILDS = {
         "transaction_events": {"transactions": S.silver_transactions, "items": S.silver_transaction_items},
@@ -85,57 +82,49 @@ class SilverSink:
         "products": {"products": S.silver_products},
     }
 
-    def __init__(self, spark: SparkSession, root: str, topic: str):
-        self.spark, self.root, self.builds = spark, root, self.BUILDS[topic]
-
-    def changes(self, table: str) -> str:
-        return f"{self.root}/_changes/{table}"
+    def __init__(self, gold: GoldTables, topic: str):
+        self.gold, self.builds = gold, self.BUILDS[topic]
 
     def __call__(self, batch: DataFrame, n: int) -> None:
         stamp = _batch_time()
-        for table, build in self.builds.items():
-            build(batch, stamp).write.mode("overwrite").parquet(f"{self.changes(table)}/batch={n:012d}")
+        for feed, build in self.builds.items():
+            self.gold.load(feed, build(batch, stamp), n)
 
 
-def stream_silver(spark: SparkSession, cleaned_dir: str, topic: str, root: str, checkpoint: str,
+def stream_silver(spark: SparkSession, cleaned_dir: str, topic: str, gold: GoldTables, checkpoint: str,
                   max_files: int | None = None, available_now: bool = True, every: str = "2 minutes"):
-    """Cleaned files of a topic -> change logs of its silver tables; (sink, query)."""
-    sink = SilverSink(spark, root, topic)
-    w = _cleaned(spark, cleaned_dir, max_files).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return sink, _run(w, available_now, every)
-
-
-class GoldSink:
-    """foreachBatch target of the change logs: one batch of rows of every feed into all tables."""
-
-    def __init__(self, gold: GoldTables, schemas: dict):
-        self.gold, self.schemas = gold, schemas
-
-    def __call__(self, batch: DataFrame, n: int) -> None:
-        feeds = {}
-        for feed, schema in self.schemas.items():
-            rows = batch.filter(F.col("feed") == feed).select(f"{feed}.*")
-            if not rows.isEmpty():
-                feeds[feed] = rows.select(*[f.name for f in schema.fields])
-        if feeds:
-            self.gold.apply(n, **feeds)
+    """Cleaned files of a topic -> its silver tables and their change feeds."""
+    w = _cleaned(spark, cleaned_dir, max_files).writeStream.foreachBatch(SilverSink(gold, topic)).option("checkpointLocation", checkpoint)
+    return _run(w, available_now, every)
 
 
-def stream_gold(spark: SparkSession, changes: dict[str, str], root: str, checkpoint: str, max_files: int | None = None,
-                available_now: bool = True, every: str = "2 minutes", kept_marts=GoldTables.MARTS):
-    """Change logs (feed -> folder) -> persisted silver and gold tables; (tables, query).
+def stream_consumer(gold: GoldTables, consumer: str, checkpoint: str, max_files: int | None = None,
+                    available_now: bool = True, every: str = "2 minutes"):
+    """One gold table from its change feeds, with a checkpoint of its own; None while its feeds are empty.
 
-    The feeds are one stream, so every table sees the batches in one order.
+    Consumers do not wait for each other: each takes its feeds at its own pace
+    (``max_files`` files of a feed at a time) and goes on from its own position.
     """
-    gold = GoldTables(spark, root, kept_marts)
-    schemas = {feed: spark.read.parquet(path).drop("batch").schema for feed, path in changes.items()}
-    source = None
-    for feed, path in changes.items():
-        r = spark.readStream.schema(schemas[feed])
+    spark, source, schemas = gold.spark, None, {}
+    for feed in CONSUMERS[consumer].feeds:
+        table = read_table(spark, gold.feed(feed))
+        if table is None:
+            continue
+        schemas[feed] = table.schema
+        r = spark.readStream.schema(table.schema)
         if max_files:
             r = r.option("maxFilesPerTrigger", max_files)
-        one = r.parquet(f"{path}/*")
-        rows = one.select(F.lit(feed).alias("feed"), F.struct(*schemas[feed].names).alias(feed))
+        rows = r.parquet(gold.feed(feed)).select(F.lit(feed).alias("feed"), F.struct(*table.columns).alias(feed))
         source = rows if source is None else source.unionByName(rows, allowMissingColumns=True)
-    w = source.writeStream.foreachBatch(GoldSink(gold, schemas)).option("checkpointLocation", checkpoint)
-    return gold, _run(w, available_now, every)
+    if source is None:
+        return None
+
+    def fold(batch: DataFrame, n: int) -> None:
+        gold.consume(consumer, {f: batch.filter(F.col("feed") == f).select(f"{f}.*") for f in schemas}, n)
+
+    return _run(source.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint), available_now, every)
+
+
+def stream_gold(gold: GoldTables, checkpoints: str, max_files: int | None = None, available_now: bool = True, every: str = "2 minutes"):
+    """Every consumer of ``gold``: drained one after the other in the order of their feeds, or all running."""
+    return {c: stream_consumer(gold, c, f"{checkpoints}/{c}", max_files, available_now, every) for c in gold.consumers}
