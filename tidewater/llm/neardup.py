@@ -41,6 +41,8 @@ PERMUTATIONS = 256
 NEIGHBOURS = 3
 BLOCK_NODES = 1024
 SMALL_EDGES = 1_000_000
+RARITY_BUCKETS = 1 << 20
+_BUCKET_MASK = U64(RARITY_BUCKETS - 1)
 _RNG = np.random.default_rng(20240229)
 _MUL_HIGH = _RNG.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
 _MUL_LOW = _RNG.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -314,27 +316,79 @@ def _links_across(node: list[int], label: list[int], block: list[int], sets: lis
     return out
 
 
-def _regions(members: DataFrame, texts: DataFrame, labels: DataFrame, done: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between components within a region, on the full sets of all its nodes.
-
-    A region of more than BLOCK_NODES nodes is cut into blocks, and every pair
-    of blocks is compared; what comes out joins components, so a group of n
-    nodes yields fewer than n links, not all of its pairs.
-    """
+def _open(members: DataFrame, labels: DataFrame, done: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(region, node, component) of the members, and (region, size) of the regions that hold several components still to be compared."""
     placed = written(members.select("region", "node").distinct().join(labels, "node", "left")
-                     .withColumn("component", F.coalesce("component", "node")), "regions")
+                     .withColumn("component", F.coalesce("component", "node")), name)
     several = (placed.groupBy("region").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
                                             F.min("node").alias("a"), F.max("node").alias("b")).filter("lo <> hi"))
     # a region of two nodes that round one compared is settled
     settled = done.select("a", "b", F.lit(2).cast("long").alias("size"))
-    several = written(several.join(settled, ["a", "b", "size"], "left_anti").select("region", "size"), "open-regions")
+    return placed, written(several.join(settled, ["a", "b", "size"], "left_anti").select("region", "size"), f"open-{name}")
+
+
+def _bucket_counts(texts: DataFrame, shingle: int) -> np.ndarray:
+    """How many sets hold a shingle of each of RARITY_BUCKETS hash buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for s in _shingle_sets(batch.column(0).to_pylist(), shingle):
+                np.add.at(seen, (s & _BUCKET_MASK).astype(np.int64), 1)
+        found = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(seen[found])], names=["bucket", "n"])
+
+    counted = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    return out
+
+
+def rare_shingles(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(region, node): the rarest shingles of each set, as many as it can lack and still link.
+
+    A set of n shingles shares at least ceil(n * percent / 100) with any set it
+    links to.  In one order of all shingles, two linked sets so share one of
+    their first n - ceil(n * percent / 100) + 1; the order is by the counts of
+    hash buckets, the rarest first, so text that many documents share comes last
+    and makes no groups.  Any order would be exact.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(_bucket_counts(texts, shingle))  # RARITY_BUCKETS counts, 8 MB
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            nodes, firsts = [], []
+            for node, s in zip(batch.column(0).to_pylist(), _shingle_sets(batch.column(1).to_pylist(), shingle), strict=True):
+                keep = len(s) - -(-len(s) * percent // 100) + 1
+                order = np.lexsort((s, counts[(s & _BUCKET_MASK).astype(np.int64)]))[:keep] if len(s) else []
+                firsts.append(s[order].view(np.int64))
+                nodes.append(np.full(len(order), node, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), pa.array(np.concatenate(nodes))], names=["region", "node"])
+
+    return texts.select("node", "text").mapInArrow(run, "region long, node long")
+
+
+def _regions(members: DataFrame, texts: DataFrame, labels: DataFrame, done: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between components, on the full sets of all nodes of the regions that hold several.
+
+    A region may hold any number of texts that share a template.  So its nodes
+    are divided deeper, by their rarest shingles: linked nodes share one, and
+    only nodes that do are compared.  A group of more than BLOCK_NODES nodes is
+    cut into blocks, and every pair of blocks is compared; what comes out joins
+    components, so a group of n nodes yields fewer than n links, not all of its pairs.
+    """
+    placed, several = _open(members, labels, done, "regions")
+    nodes = placed.join(several, "region", "left_semi").select("node").distinct()
+    apart = written(texts.join(nodes, "node", "left_semi"), "open-texts")
+    placed, several = _open(rare_shingles(apart, shingle, percent), labels, done, "rare")
     blocked = (placed.join(several, "region")
                .withColumn("n_blocks", F.expr(f"cast((size + {BLOCK_NODES - 1}) div {BLOCK_NODES} as int)"))
                .withColumn("block", F.expr("cast(pmod(xxhash64(node), n_blocks) as int)"))
                .withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
                .select("node", "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                        "block", "component"))
-    rows = (blocked.join(texts, "node").select("region", "i", "j", "block", "node", "component", "key", "text")
+    rows = (blocked.join(apart, "node").select("region", "i", "j", "block", "node", "component", "key", "text")
             .repartition("region", "i", "j").sortWithinPartitions("region", "i", "j"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
