@@ -12,7 +12,7 @@ from tidewater.plans.gold import GoldTables
 from tidewater.session import scratch_dir
 from tidewater.sources import fixtures as fx
 from tidewater.sources.bronze import load_bronze
-from tidewater.sources.landing import write_json_lines
+from tidewater.sources.landing import topic_lines, write_json_lines
 from tidewater.streaming import jobs as J
 
 
@@ -96,6 +96,18 @@ def test_ingest_each_file_once_and_keep_bad_lines(spark):
     assert [r.value for r in spark.read.text(f"{root}/out/_quarantine").collect()] == ["{broken"]
 
 
+def test_messages_go_through_the_parser_of_files(spark):
+    """A stream of binary messages, as the topic source gives them (here from files): drift, bad and empty messages."""
+    root = scratch_dir(spark, "t_messages")
+    rows = [(b'{"event_id": "a", "quantity": "2"}', b"k"), (b'{"event_id": "b", "quantity": "n/a"}', None), (b"{broken", b"k"), (None, b"k"), (b"", b"k")]
+    spark.createDataFrame(rows, "value binary, key binary").write.parquet(f"{root}/in")
+    messages = spark.readStream.schema("value binary, key binary").parquet(f"{root}/in")
+    for _ in range(2):
+        J.ingest(topic_lines(messages), "user_events", f"{root}/out", f"{root}/_ckpt")
+    assert sorted((r.event_id, r.quantity) for r in spark.read.parquet(f"{root}/out").collect()) == [("a", 2), ("b", None)]
+    assert [r.value for r in spark.read.text(f"{root}/out/_quarantine").collect()] == ["{broken"]
+
+
 def test_archive_moves_consumed_files(spark):
     root = _landing(spark, "t_archive")
     before = len([f for f in os.listdir(f"{root}/in") if f.startswith("part-")])

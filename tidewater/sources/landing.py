@@ -2,7 +2,7 @@
 
 The topic source is written for Kafka (``read_topic``); where that connector
 is not installed the JSON file source under ``landing/<topic>/`` is used, with
-the same fixed schema and the same downstream code.
+the same parser, quarantine and downstream code.
 """
 
 from __future__ import annotations
@@ -103,13 +103,21 @@ def extract_topics(spark: SparkSession, landing_root: str, topics=None) -> dict[
     return {t: read_landing_json(spark, f"{landing_root.rstrip('/')}/{t}", TOPICS[t]) for t in names}
 
 
-def read_topic(spark: SparkSession, bootstrap: str, topic: str, schema,
-               streaming: bool = True, starting: str = "earliest") -> DataFrame:
-    """Kafka topic -> typed rows (needs the Kafka connector on the class path)."""
-    src = spark.readStream if streaming else spark.read
-    raw = (src.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-           .option("subscribe", topic).option("startingOffsets", starting).load())
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("e")).select("e.*")
+def read_topic(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True, starting: str = "earliest",
+               max_offsets: int | None = None) -> DataFrame:
+    """Kafka topic -> its messages as lines (needs the Kafka connector on the class path).
+
+    They go through ``parse_lines`` and the quarantine like the lines of a
+    file.  ``max_offsets`` bounds one micro-batch.
+    """
+    src = (spark.readStream if streaming else spark.read).format("kafka")
+    src = src.option("kafka.bootstrap.servers", bootstrap).option("subscribe", topic).option("startingOffsets", starting)
+    return topic_lines((src.option("maxOffsetsPerTrigger", max_offsets) if max_offsets else src).load())
+
+
+def topic_lines(messages: DataFrame) -> DataFrame:
+    """Messages (binary ``value``, whatever else) as text lines; a message without a value is a blank line."""
+    return messages.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
 
 
 # ----------------------------------------------------------- packing to JSON

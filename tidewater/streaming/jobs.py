@@ -18,7 +18,7 @@ from tidewater.operators.tables import read_table
 from tidewater.plans import silver as S
 from tidewater.plans.gold import CONSUMERS, GoldTables
 from tidewater.sources.bronze import to_bronze
-from tidewater.sources.landing import bad_lines, parse_lines
+from tidewater.sources.landing import bad_lines, parse_lines, read_topic
 from tidewater.sources.schemas import TOPICS
 
 
@@ -53,6 +53,17 @@ def ingest_landing(spark: SparkSession, landing_dir: str, topic: str, out_dir: s
         r = r.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return ingest(r.text(landing_dir), topic, out_dir, checkpoint, available_now, every, clean)
+
+
+def ingest_topic(spark: SparkSession, bootstrap: str, topic: str, out_dir: str, checkpoint: str, max_offsets: int | None = None,
+                 starting: str = "earliest", available_now: bool = True, every: str = "5 seconds", clean=None):
+    """As ``ingest_landing``, from a message topic (needs the Kafka connector); the checkpoint holds its offsets, committed after the write."""
+    return ingest(read_topic(spark, bootstrap, topic, starting=starting, max_offsets=max_offsets), topic, out_dir, checkpoint, available_now, every, clean)
+
+
+def ingest(lines: DataFrame, topic: str, out_dir: str, checkpoint: str, available_now: bool = True, every: str = "5 seconds", clean=None):
+    """A stream of JSON lines (column ``value``), whatever its source -> typed Parquet and quarantine, by one parser."""
 
     def sink(lines: DataFrame, n: int) -> None:
         rows, path = parse_lines(lines, TOPICS[topic]), f"{out_dir}/batch={n}"
@@ -60,9 +71,9 @@ def ingest_landing(spark: SparkSession, landing_dir: str, topic: str, out_dir: s
             rows.write.mode("overwrite").parquet(path)
         else:
             clean(rows, path)
-        bad_lines(lines).write.mode("overwrite").text(f"{out_dir}/_quarantine/batch={n}")
+        bad_lines(lines).select("value").write.mode("overwrite").text(f"{out_dir}/_quarantine/batch={n}")
 
-    return _run(r.text(landing_dir).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), available_now, every)
+    return _run(lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), available_now, every)
 
 
 def _cleaned(spark: SparkSession, cleaned_dir: str, max_files: int | None) -> DataFrame:
