@@ -175,6 +175,41 @@ def q_independent_consumers(spark, sf):
     return gold.read("customer_risk")
 
 
+@query("stream_transaction_items", BODY["silver_transaction_items"])
+def q_stream_transaction_items(spark, sf):
+    """Feed of the silver items consumed by the item fact's stream."""
+    return C._consumed(spark, sf, "transaction_events", "transaction_items").read("transaction_items")
+
+
+@query("stream_fact_user_events", BODY["silver_user_events"])
+def q_stream_fact_user_events(spark, sf):
+    """Feed of the silver user events consumed by the event fact's stream."""
+    return C._consumed(spark, sf, "user_events", "fact_user_events").read("fact_user_events")
+
+
+def _streamed_dimension(spark: SparkSession, sf: str, topic: str) -> DataFrame:
+    """A dimension's cleaned files through its silver stream, its feed and the gold dimension's stream."""
+    cleaned = P.clean_topics(spark, sf, (topic,))[topic]
+    root = scratch_dir(spark, f"stream_{topic}")
+    gold = GoldTables(spark, f"{root}/tables", ())
+    J.stream_silver(spark, cleaned, topic, gold, f"{root}/_ckpt/silver", max_files=C._files_for(spark, cleaned, 2))
+    name = {"customers": "dim_customer", "products": "dim_product"}[topic]
+    J.stream_consumer(gold, name, f"{root}/_ckpt/{name}")
+    return gold.read(name).drop("processed_at")
+
+
+@query("stream_dim_customer", BODY["dim_customer"])
+def q_stream_dim_customer(spark, sf):
+    """Customers: cleaned files -> silver -> change feed -> dimension, each by its own stream."""
+    return _streamed_dimension(spark, sf, "customers")
+
+
+@query("stream_dim_product", BODY["dim_product"])
+def q_stream_dim_product(spark, sf):
+    """Products: cleaned files -> silver -> change feed -> dimension, each by its own stream."""
+    return _streamed_dimension(spark, sf, "products")
+
+
 # ------------------------------------------------------------- reprocessing
 
 @query("etl_range_then_all", """
