@@ -10,6 +10,9 @@ from tidewater.operators.latest import keep_latest
 #: newest event wins; equal times go by these columns first, then by all the others
 TX_TIES = ["status", "total"]
 ITEM_TIES = ["product_id", "quantity"]
+#: columns that come from a dimension and that many marts do not read
+TX_LAST = ["bill_country", "bill_city", "bill_state"]
+ITEM_LAST = ["product_name", "category", "brand"]
 EVENT_TIES = ["event_type", "page"]
 
 FACT_TRANSACTION_COLS = [
@@ -29,7 +32,8 @@ USER_EVENT_COLS = [
 
 def fact_transactions(stg_transactions: DataFrame) -> DataFrame:
     return project_transactions(keep_latest(stg_transactions.filter(F.col("timestamp").isNotNull()),
-                                            "transaction_id", ["processed_at", "timestamp"], tie_breakers=TX_TIES))
+                                            "transaction_id", ["processed_at", "timestamp"], tie_breakers=TX_TIES,
+                                            settled_last=[c for c in [*TX_LAST, "ship_city", "ship_country"] if c in stg_transactions.columns]))
 
 
 def project_transactions(latest: DataFrame) -> DataFrame:
@@ -58,7 +62,7 @@ def transaction_items(stg_items: DataFrame, only_transactions: DataFrame | None
     if only_transactions is not None:
         src = src.join(only_transactions.select("transaction_id").distinct(), "transaction_id", "left_semi")
     return keep_latest(src, ["transaction_id", "line_item_index"], ["processed_at", "timestamp"],
-                       tie_breakers=ITEM_TIES).select(*ITEM_COLS)
+                       tie_breakers=ITEM_TIES, settled_last=ITEM_LAST).select(*ITEM_COLS)
 
 
 def fact_user_events(stg_user_events: DataFrame) -> DataFrame:
