@@ -36,6 +36,13 @@ def changes_between(before: DataFrame, after: DataFrame, keys, ignore=()) -> Dat
     return rows.select(change.alias("change"), "before", "after")
 
 
+def inserts(after: DataFrame) -> DataFrame:
+    """Feed that fills an empty table."""
+    row = F.struct(*after.columns)
+    return after.select(F.lit("insert").alias("change"), row.alias("after")).select(
+        "change", F.when(F.lit(False), F.col("after")).alias("before"), "after")
+
+
 def apply_changes(state: DataFrame, feed: DataFrame, keys) -> DataFrame:
     """The state after a feed with one change per key."""
     keys = [keys] if isinstance(keys, str) else list(keys)

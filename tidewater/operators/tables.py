@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.changes import changes_between
+from tidewater.operators.changes import changes_between, inserts
 from tidewater.operators.upsert import merge_upsert
 from tidewater.session import read_note, write_note
 
@@ -117,6 +117,8 @@ def upsert_partitions(batch: DataFrame, path: str, keys, part: str, n: int, feed
     def make(staged: str) -> tuple:
         batch.write.mode("overwrite").parquet(f"{staged}/batch")  # computed once, whatever reads it
         rows = spark.read.schema(batch.schema).parquet(f"{staged}/batch")
+        if not options and read_table(spark, path) is None:  # the first batch is the table
+            return rows, _values(rows, part), inserts if feed else None
         table = _table(rows, path, part)
         held = table.join(rows.select(*keys), [table[k].eqNullSafe(rows[k]) for k in keys], "left_semi")
         touched = _values(held.select(part).unionByName(rows.select(part)), part)
