@@ -4,6 +4,14 @@ Each stage takes (spark, docs, sf_dir), works on all the rows it gets and
 returns the rows it keeps with the columns of ``documents`` (the last one the
 packed pieces); ``run`` writes each result as Parquet and reads it back as the
 next stage's input.
+
+Null, empty and very short texts fail the quality rules; the later stages, on
+inputs of their own, keep them.  A row without id is judged like any other and
+keeps its null.  Repeated rows are judged each; near_dedup keeps one row of an id and
+text, and of a group of near duplicates those of the smallest id.  Columns
+beyond those of ``documents``, whatever their names, are carried along.  Empty
+``documents`` give empty stages; without ``labels`` or ``benchmark`` rows nothing
+is trusted or contaminated.
 """
 
 from __future__ import annotations
