@@ -91,3 +91,15 @@ def test_windowed_revenue_touches_the_days_of_a_batch(spark):
     last = run(("purchase", "completed", day(1), 100), ("purchase", "completed", day(8), 3))  # the first is too late
     assert {d: v[:2] for d, v in last.items()} == {1: (2, 7.0), 2: (1, 7.0), 8: (1, 3.0), 9: (1, 2.0)}
     assert read_table(spark, f"{root}/table").select(F.countDistinct("sales_date")).first()[0] == 4
+
+
+def test_parts_of_a_topic_arrive_whole_in_the_files_of_several_tasks(spark):
+    from tidewater import catalog_more as M
+    root = scratch_dir(spark, "t_sliced")
+    rows = spark.range(0, 3000, 1, 6).select("id", F.timestamp_seconds("id").alias("at"))
+    seen = []
+    M._arrive({f"{root}/a": M._sliced(rows, "at", f"{root}/ra"), f"{root}/b": M._sliced(rows.limit(0), "at", f"{root}/rb")},
+              lambda: seen.append((spark.read.parquet(f"{root}/a").count(), spark.read.schema(rows.schema).parquet(f"{root}/b").count())))
+    assert len(seen) == M.SLICES and seen[-1] == (3000, 0) and 900 <= seen[0][0] <= 1100
+    files = spark.read.format("binaryFile").load(f"{root}/a/*.parquet").select("path").count()
+    assert files > M.SLICES  # not one task a part

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import pairwise
+from collections.abc import Callable
+from itertools import pairwise, zip_longest
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +33,16 @@ SLICES = 3
 HEARTBEAT_DAYS = 400
 
 
-def _sliced(df: DataFrame, time_col: str, path: str, repeat: bool = False, heartbeat: bool = False) -> str:
-    """Stand-in for a topic: the rows as SLICES files in order of time, so that each micro-batch takes one.
+def _sliced(df: DataFrame, time_col: str, path: str, repeat: bool = False, heartbeat: bool = False) -> list[DataFrame]:
+    """Stand-in for a topic: the rows in SLICES parts in order of time, for ``_arrive``.
 
-    ``repeat`` sends each file's rows once more with the next file;
+    The rows are written once at ``path``, so that no part computes them again.
+    ``repeat`` sends each part's rows once more with the next part;
     ``heartbeat`` ends with a row of nulls far in the future, as a source sends
     one to say that nothing older follows.
     """
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     at = F.col(time_col).cast("timestamp").cast("double")
     cuts = df.select(at.alias("t")).approxQuantile("t", [i / SLICES for i in range(1, SLICES)], 0.01)
     bounds = [float("-inf"), *cuts, float("inf")]
@@ -51,31 +55,37 @@ def _sliced(df: DataFrame, time_col: str, path: str, repeat: bool = False, heart
             *[(F.col("t") + F.expr(f"INTERVAL {HEARTBEAT_DAYS} DAYS")).cast(kind).alias(c) if c == time_col else F.lit(None).cast(df.schema[c].dataType).alias(c)
               for c in df.columns])
         part.append(beat)
-    for p in part:
-        p.coalesce(1).write.mode("append").parquet(path)
-    return path
+    return part
 
 
-def _cart_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _arrive(topics: dict[str, list[DataFrame]], drain: Callable[[], object]) -> None:
+    """Part by part into the topics' folders, in as many files as it has tasks; ``drain`` runs the stream on what has
+    arrived, from its checkpoint, so that no micro-batch takes rows of two parts."""
+    for part in zip_longest(*topics.values()):
+        for rows, path in zip(part, topics, strict=True):
+            if rows is not None:  # a topic without rows has one part alone
+                rows.write.mode("append").parquet(path)
+        drain()
+
+
+def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
     shift = F.date_add(F.lit(C.CART_SHIFT_BASE).cast("date"), (F.col("transaction_id").cast("bigint") % C.CART_SHIFT_DAYS).cast("int"))
     t = fx.stg_transactions(spark, sf)
     bought = t.filter((F.col("status") == "completed") & (F.col("transaction_type") == "purchase"))
     items = facts.transaction_items(fx.stg_items(spark, sf), only_transactions=bought)
     carts, purchases = A.cart_inputs(facts.fact_user_events(fx.stg_user_events(spark, sf)), facts.fact_transactions(t), items,
                                      dims.dim_product(fx.stg_products(spark, sf)), C.CART_MATCH, shift)
-    root = scratch_dir(spark, "cart_streams")
+    root = scratch_dir(spark, "cart_outcomes")
     carts = carts.withColumn("cart_ts", F.col("cart_date").cast("timestamp")).drop("cart_date")
     purchases = purchases.withColumn("purchase_ts", F.col("purchase_date").cast("timestamp")).drop("purchase_date")
-    streams = []
-    for rows, at, name in ((carts, "cart_ts", "carts"), (purchases, "purchase_ts", "purchases")):
-        streams.append(E.read_stream(spark, _sliced(rows, at, f"{root}/{name}", heartbeat=True), rows.schema, max_files=1))
-    return streams[0], streams[1]
+    topics = {f"{root}/carts": _sliced(carts, "cart_ts", f"{root}/rows/carts", heartbeat=True),
+              f"{root}/purchases": _sliced(purchases, "purchase_ts", f"{root}/rows/purchases", heartbeat=True)}
 
+    def drain() -> None:
+        streams = [E.read_stream(spark, path, parts[0].schema) for path, parts in topics.items()]
+        E.append_stream(E.cart_outcomes(*streams, C.CART_WINDOW_DAYS), f"{root}/table", f"{root}/_ckpt")
 
-def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    carts, purchases = _cart_streams(spark, sf)
-    root = scratch_dir(spark, "cart_outcomes")
-    E.append_stream(E.cart_outcomes(carts, purchases, C.CART_WINDOW_DAYS), f"{root}/table", f"{root}/_ckpt")
+    _arrive(topics, drain)
     return spark.read.parquet(f"{root}/table")
 
 
@@ -103,14 +113,16 @@ def q_stream_abandoned_carts(spark, sf):
 
 @query("stream_dedupe_events", "SELECT * FROM fact_user_events")
 def q_stream_dedupe_events(spark, sf):
-    """User events of which each file repeats the one before, deduplicated within event time; the stream is stopped and restarted."""
+    """User events of which each part repeats the one before, deduplicated within event time; the stream is stopped and restarted."""
     ev = facts.fact_user_events(fx.stg_user_events(spark, sf))
     root = scratch_dir(spark, "dedupe")
-    source = _sliced(ev, "timestamp", f"{root}/in", repeat=True)
-    late = "60 days"  # longer than two files, so every repeat falls within it
-    for take in (1, None):  # the second run goes on from the first one's checkpoint
-        rows = E.dedupe(E.read_stream(spark, source, ev.schema, max_files=take), "event_id", "timestamp", late)
+    late = "60 days"  # longer than two parts, so every repeat falls within it
+
+    def drain() -> None:
+        rows = E.dedupe(E.read_stream(spark, f"{root}/in", ev.schema), "event_id", "timestamp", late)
         E.append_stream(rows, f"{root}/table", f"{root}/_ckpt")
+
+    _arrive({f"{root}/in": _sliced(ev, "timestamp", f"{root}/rows", repeat=True)}, drain)
     return spark.read.parquet(f"{root}/table")
 
 
@@ -119,8 +131,11 @@ def q_stream_daily_revenue_windows(spark, sf):
     """Daily revenue in event-time windows: sums in the state, the days of each micro-batch upserted."""
     f = facts.fact_transactions(fx.stg_transactions(spark, sf))
     root = scratch_dir(spark, "windows")
-    source = _sliced(f, "transaction_ts", f"{root}/in")
-    E.stream_daily_revenue(E.read_stream(spark, source, f.schema, max_files=1), f"{root}/table", f"{root}/_ckpt")
+
+    def drain() -> None:
+        E.stream_daily_revenue(E.read_stream(spark, f"{root}/in", f.schema), f"{root}/table", f"{root}/_ckpt")
+
+    _arrive({f"{root}/in": _sliced(f, "transaction_ts", f"{root}/rows")}, drain)
     return E.daily_revenue_of(spark, f"{root}/table").drop("batch", "event_month")
 
 
