@@ -103,3 +103,11 @@ def test_parts_of_a_topic_arrive_whole_in_the_files_of_several_tasks(spark):
     assert len(seen) == M.SLICES and seen[-1] == (3000, 0) and 900 <= seen[0][0] <= 1100
     files = spark.read.format("binaryFile").load(f"{root}/a/*.parquet").select("path").count()
     assert files > M.SLICES  # not one task a part
+
+
+def test_a_topic_of_one_month_and_many_files_takes_three_micro_batches(spark):
+    from tidewater import catalog as C
+    from tests.conftest import SF_SMALL
+    gold, root = C._streamed(spark, SF_SMALL, "user_events")
+    assert spark.read.text(f"{root}/_ckpt/silver/commits/*").filter("value = 'v1'").count() == 3
+    assert gold.read("stg_user_events").count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
