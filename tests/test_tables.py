@@ -183,3 +183,30 @@ def test_strict_fails_on_a_pruned_read(spark):
     for read in (lambda df: df.select("event_id").collect(), lambda df: df.count()):
         with pytest.raises(Exception, match="malformed record"):
             read(read_landing_json(spark, path, USER_EVENT, strict=True))
+
+
+def test_the_merge_tells_its_changes_and_one_feed_batch_names_each_key_once(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.changes import newest
+    from tidewater.operators.upsert import BEFORE, CHANGE, merge_upsert
+    old = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), (None, 3, "x"), ("d", None, "x")], "k string, v int, stamp string")
+    new = spark.createDataFrame([("a", 1, "y"), ("b", 5, "y"), (None, 4, "y"), ("e", 6, "y"), ("d", None, "y")], "k string, v int, stamp string")
+    got = merge_upsert(old, new, "k", track=("stamp",))
+    assert {(r.k, r.v, r[CHANGE], r[BEFORE] and r[BEFORE].v) for r in got.collect()} == {
+        ("a", 1, None, None), ("b", 5, "update", 2), (None, 4, "update", 3), ("e", 6, "insert", None), ("d", None, None, None)}
+    feed = got.filter(F.col(CHANGE).isNotNull()).select(F.col(CHANGE).alias("change"), F.col(BEFORE).alias("before"), F.struct("k", "v").alias("after"))
+    rows = newest(feed, "k")
+    assert "Exchange" not in rows.select("v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.v for r in rows.collect()) == [4, 5, 6]
+
+
+def test_a_batch_finds_keys_in_other_partitions_and_in_that_of_nulls(spark):
+    path = scratch_dir(spark, "t_others") + "/table"
+    kind = "k string, v int, m int"
+    T.upsert_partitions(spark.createDataFrame([("a", 1, 1), ("b", 1, 2), ("c", 1, None), ("d", 1, 3)], kind), path, "k", "m", 0)
+    T.upsert_partitions(spark.createDataFrame([("b", 2, 1), ("c", 2, 1), ("e", 2, 1)], kind), path, "k", "m", 1)
+    assert {tuple(r) for r in T.read_table(spark, path).select("k", "v", "m").collect()} == {("a", 1, 1), ("b", 2, 1), ("c", 2, 1), ("e", 2, 1), ("d", 1, 3)}
+    T.upsert_partitions(spark.createDataFrame([("a", 3, None)], kind), path, "k", "m", 2)
+    assert {tuple(r) for r in T.read_table(spark, path).select("k", "v", "m").collect()} == {("a", 3, None), ("b", 2, 1), ("c", 2, 1), ("e", 2, 1), ("d", 1, 3)}
