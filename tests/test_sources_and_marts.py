@@ -110,3 +110,21 @@ def test_risk_latest_location_ties_broken_by_location(spark):
     dim = spark.createDataFrame([("u", "N", "e")], "user_id string, full_name string, email string")
     r = marts.customer_risk(tx, dim).collect()[0]
     assert (r.num_refunds, r.num_chargebacks, r.bill_city) == (1, 1, "B")
+
+
+def test_a_landed_line_is_parsed_once_and_the_items_shuffled_once(spark):
+    from tidewater.operators.clean import standardize_transactions
+    from tidewater.plans import layers as P
+    from tidewater.sources.landing import parse_lines
+    from tidewater.sources.schemas import TOPICS
+    from tests.conftest import SF_SMALL
+    lines = spark.createDataFrame([('{"transaction_id": "1"}',)], "value string")
+    plan = standardize_transactions(parse_lines(lines, TOPICS["transaction_events"]))._jdf.queryExecution().executedPlan().toString()
+    assert sum(line.count("parseJson(") for line in plan.split("\n")) == 1
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = P.packed_sources(spark, SF_SMALL)["transaction_events"]._jdf.queryExecution().executedPlan().toString().split("collect_list", 1)[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert items.count("Exchange hashpartitioning(transaction_id") == 1 and "Exchange hashpartitioning(transaction_id#" in items

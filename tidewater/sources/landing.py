@@ -28,28 +28,30 @@ def parse_lines(lines: DataFrame, schema, strict: bool = False) -> DataFrame:
     ``strict`` fails on the first line that is no object or has a number field
     that is none, also when only other columns are read.
     """
-    v = F.try_parse_json("value")
-    good = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-    rows = lines.filter(F.trim("value") != "")
+    text = lines.filter(F.trim("value") != "")
+    # exploded, each line is parsed once; as a plain column it would be parsed for every filter on a field
+    v = F.col("__tw_v")
     if strict:
-        rows = rows.filter(F.when(good & ~_drifts(v, schema), True).otherwise(
+        rows = text.select("value", F.explode(F.array(F.try_parse_json("value"))).alias("__tw_v"))
+        rows = rows.filter(F.when(_is_object(v) & ~_drifts(v, schema), True).otherwise(
             F.raise_error(F.concat(F.lit("malformed record: "), F.substring("value", 1, 200))).cast("boolean")))
     else:
-        rows = rows.filter(good)
-    return rows.select(*[_field(v, f).alias(f.name) for f in schema.fields])
+        rows = text.select(F.explode(F.filter(F.array(F.try_parse_json("value")), lambda x: _is_object(x))).alias("__tw_v"))
+    return rows.select(*[_typed(v, f.dataType, f"$.{f.name}").alias(f.name) for f in schema.fields])
 
 
-def _field(v: F.Column, f) -> F.Column:
-    return _typed(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType)
+def _is_object(v: F.Column, path: str = "$") -> F.Column:
+    return F.try_variant_get(v, path, "map<string,variant>").isNotNull()
 
 
-def _typed(v: F.Column, kind) -> F.Column:
+def _typed(v: F.Column, kind, path: str = "$") -> F.Column:
+    """What lies at a path of a variant, by one lookup for every plain value."""
     if isinstance(kind, StructType):
-        inner = F.struct(*[_field(v, f).alias(f.name) for f in kind.fields])
-        return F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), inner)
+        inner = F.struct(*[_typed(v, f.dataType, f"{path}.{f.name}").alias(f.name) for f in kind.fields])
+        return F.when(_is_object(v, path), inner)
     if isinstance(kind, ArrayType):
-        return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: _typed(x, kind.elementType))
-    return F.try_variant_get(v, "$", kind.simpleString())
+        return F.transform(F.try_variant_get(v, path, "array<variant>"), lambda x: _typed(x, kind.elementType))
+    return F.try_variant_get(v, path, kind.simpleString())
 
 
 def _drifts(v: F.Column, kind) -> F.Column:
@@ -175,5 +177,6 @@ def pack_products(p: DataFrame) -> DataFrame:
 
 
 def write_json_lines(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").json(path)
+    """One compressed file per task; Spark's text readers take it as it is."""
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
     return path
