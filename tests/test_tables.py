@@ -210,3 +210,55 @@ def test_a_batch_finds_keys_in_other_partitions_and_in_that_of_nulls(spark):
     assert {tuple(r) for r in T.read_table(spark, path).select("k", "v", "m").collect()} == {("a", 1, 1), ("b", 2, 1), ("c", 2, 1), ("e", 2, 1), ("d", 1, 3)}
     T.upsert_partitions(spark.createDataFrame([("a", 3, None)], kind), path, "k", "m", 2)
     assert {tuple(r) for r in T.read_table(spark, path).select("k", "v", "m").collect()} == {("a", 3, None), ("b", 2, 1), ("c", 2, 1), ("e", 2, 1), ("d", 1, 3)}
+
+
+def test_new_keys_are_added_and_only_partitions_that_hold_a_key_are_written_anew(spark, monkeypatch):
+    t = scratch_dir(spark, "t_added") + "/t"
+    feed, merges, real = t + "-feed", [], T.merge_upsert
+
+    def merging(base, *args, **options):
+        merges.append([r.k for r in base.collect()])
+        return real(base, *args, **options)
+
+    def files(day):
+        return {f for c in T._children(spark, f"{t}/day={day}") for f in T._children(spark, f"{t}/day={day}/{c}")}
+
+    monkeypatch.setattr(T, "merge_upsert", merging)
+    put(spark, t, 0, ("a", 1, D1), ("b", 1, D2), feed=feed)
+    first = files(D1)
+    put(spark, t, 1, ("c", 1, D1), (None, 1, D1), feed=feed)
+    assert merges == [] and first < files(D1)
+    put(spark, t, 1, ("c", 1, D1), (None, 1, D1), feed=feed)  # is published, so it was applied
+    put(spark, t, 2, ("b", 2, D1), feed=feed)
+    assert merges == [["b"]] and first < files(D1) and folders(spark, t) == ["day=2024-01-01"]
+    assert state(spark, t) == sorted([("a", 1, D1), ("b", 2, D1), ("c", 1, D1), (None, 1, D1)], key=str)
+    put(spark, t, 3, (None, 2, D1), ("d", 1, D3), feed=feed)
+    assert len(merges) == 2 and len(merges[1]) == 4
+    assert state(spark, t) == sorted([("a", 1, D1), ("b", 2, D1), ("c", 1, D1), (None, 2, D1), ("d", 1, D3)], key=str)
+    got = spark.read.parquet(feed).collect()
+    assert sorted((r.batch, r.change, r.before and r.before.v, r.after.k or "", r.after.v) for r in got) == [
+        (0, "insert", None, "a", 1), (0, "insert", None, "b", 1), (1, "insert", None, "", 1), (1, "insert", None, "c", 1),
+        (2, "update", 1, "b", 2), (3, "insert", None, "d", 1), (3, "update", 1, "", 2)]
+
+
+def test_a_partition_of_many_batches_is_written_anew(spark, monkeypatch):
+    monkeypatch.setattr(T, "_MOST_ADDED", 2)
+    t = scratch_dir(spark, "t_crowded") + "/t"
+    for n in range(4):
+        put(spark, t, n, (f"k{n}", n, D1))
+    assert T._children(spark, f"{t}/day=2024-01-01") == ["tw_batch=3"]
+    assert state(spark, t) == [(f"k{n}", n, D1) for n in range(4)]
+
+
+def test_batches_of_inserts_are_not_grouped(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.changes import newest
+    kind = "change string, before struct<k string, v int>, after struct<k string, v int>, batch int"
+    rows = [("insert", None, ("a", 1), 0), ("insert", None, (None, 2), 1)]
+    later = [*rows, ("update", ("a", 1), ("a", 3), 1)]
+    for feed, grouped in ((rows, False), (later, True), ([r for r in later if r[3] == 1], False)):
+        got = newest(spark.createDataFrame(feed, kind), "k")
+        assert ("Aggregate" in got._jdf.queryExecution().optimizedPlan().toString()) == grouped
+        assert got.select(F.max("v")).first()[0] == max(r[2][1] for r in feed)
+    assert sorted(r.v for r in newest(spark.createDataFrame(later, kind), "k").collect()) == [2, 3]
