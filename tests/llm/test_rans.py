@@ -2,13 +2,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm import odd
-from tidewater.llm import rans
+from tidewater.llm import rans, tokens
 from tidewater.llm.tokens import ByteLevelChunks
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +57,26 @@ def test_chunks_give_the_ids_of_whole_texts(texts):
 
 
 _CHUNKS = ByteLevelChunks(PATH, limit=40)
+_ANY = "aZé日Ω1٣²_.,'’…—\u0301\u180e\u200b\ufeff😀 \n\t\r\x1c\x85\xa0\u2028\u3000"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.none() | st.lists(st.text(alphabet=_ANY, max_size=9) | st.text(max_size=5) | st.sampled_from(["<|endoftext|>", "<|endof", "'s", "\n\n", "  "])).map("".join), max_size=6),
+       st.sampled_from(["<u2", "<u4"]), st.integers(1, 40), st.integers(0, 3))
+def test_ids_of_any_characters(texts, kind, stretch, skip):
+    want = [np.array([*e.ids, 7], kind).tobytes() for e in _CHUNKS.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(tokens, "_STRETCH", stretch)
+        got = _CHUNKS.ids(pa.array(texts, pa.string())[skip:], kind, np.array([7], "<u4").tobytes())
+    assert got.to_pylist() == want[skip:]
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them():
+    chunks = ByteLevelChunks(PATH)
+    words = [f"{a}{b}" for a in ("on", "thé", "ing", "Er") for b in ("a", "ou", "st", "ß", "ly")]
+    texts = [" ".join(f"{v}{mark}\n{w}" for mark in (".", ",", "!?", "&&&")) for v in words for w in words]
+    assert chunks.block(texts) == [np.array(e.ids, "<u4").tobytes() for e in chunks.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(chunks.young) <= 2 * len(words) + 5  # at the start of a line and behind a space; marks and line ends
 
 
 @settings(max_examples=60, deadline=None)

@@ -39,7 +39,6 @@ LANES = 1024
 BLOCK_IDS = 1 << 20
 CHECKPOINT_IDS = 1 << 18
 RANGE_BLOCKS = 2
-RUN_CHARS = 1 << 20
 _LOW = np.uint64(1 << 31)
 _MASK = np.uint64((1 << PRECISION) - 1)
 _SHIFT, _WORD = np.uint64(PRECISION), np.uint64(32)
@@ -202,23 +201,7 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         chunks = _chunks(tokenizer)
         kind, end = _id_type(chunks.tokenizer.get_vocab_size(with_added_tokens=True)), np.array([end_id], dtype="<u4").tobytes()
-        out: list[bytes] = []
-        run_texts, size = [], 0
-
-        def flush() -> None:
-            nonlocal size
-            out.extend(np.frombuffer(t + end, "<u4").astype(kind).tobytes() for t in chunks.block(run_texts))
-            run_texts.clear()
-            size = 0
-
-        for text in batch.column(1):
-            run_texts.append(text.as_py() or "")
-            size += len(run_texts[-1])
-            if size >= RUN_CHARS:
-                flush()
-        if run_texts:
-            flush()
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+        return pa.RecordBatch.from_arrays([batch.column(0), chunks.ids(batch.column(1), kind, end)], names=["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_arrow(rows, run, "doc_id long, ids binary").withColumn("seq", F.monotonically_increasing_id())
