@@ -1,10 +1,11 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from tests.llm import odd
-from tidewater.llm import neardup
+from tidewater.llm import neardup, wordhash
 
 
 def shingle_set(text, n):
@@ -138,3 +139,18 @@ def test_components_settle_alike_in_one_task_and_in_rounds(spark, monkeypatch, s
             root[y] = x
     got = neardup.components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
     assert {r.node: r.component for r in got} == {n: find(n) for n in root} and len(got) == len(root)
+
+
+def test_a_block_of_words_takes_little_memory(monkeypatch):
+    monkeypatch.setattr(wordhash, "_POWERS", wordhash._Powers())
+    text = " ".join(f"w{i % 9973}" for i in range(22_000)).encode()
+    block = [text] * (wordhash.BLOCK_BYTES // len(text))
+    tracemalloc.start()
+    try:
+        words = wordhash.Words(block, wordhash.SPACE)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 30 << 20
+    alone = wordhash.Words([text], wordhash.SPACE).of(0)
+    assert all((words.of(i) == alone).all() for i in range(len(block)))

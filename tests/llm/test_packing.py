@@ -1,9 +1,11 @@
 import json
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -85,6 +87,21 @@ def test_odd_rows(spark):
     assert len(same) == 50 and len({r.sequence_id for r in same}) == 50
 
 
+def test_idle_workers_keep_no_chunks(spark):
+    docs = odd.documents(spark, [(i, f"word{i} other{i}", "en", "s") for i in range(800)]).repartition(4)
+    assert packing.pack(docs, PATH).count() == 800
+
+    def held(batches):
+        for batch in batches:
+            time.sleep(1)  # all workers take part
+            coders = packing._TOKENIZERS.values()
+            yield pa.RecordBatch.from_pydict({"loaded": [len(coders)], "chunks": [sum(len(c.young) + len(c.old) for c in coders)]})
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, cores, 1, cores).mapInArrow(held, "loaded long, chunks long").collect()
+    assert sum(r.loaded for r in rows) > 0 and all(r.chunks == r.loaded for r in rows)  # the empty chunk alone
+
+
 def test_other_tokenizers_are_refused(tmp_path):
     with open(PATH, encoding="utf-8") as f:
         spec = json.load(f)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -35,11 +36,11 @@ def _ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df`` itself; its session has the package on the workers, and hands them a few megabytes of rows at a time, from now on."""
+def small_batches(df: DataFrame, most: str = "8m") -> DataFrame:
+    """``df`` itself; its session has the package on the workers, and hands them rows of about ``most`` bytes at a time, from now on."""
     _ship_package(df.sparkSession)
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")):
-        df.sparkSession.conf.set(key, most)
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", most)):
+        df.sparkSession.conf.set(key, value)
     return df
 
 
@@ -51,7 +52,15 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def give_back() -> None:
+    """Freed memory of this worker goes back to the system, where the C library can; workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: str = "8m") -> DataFrame:
     """``fn`` over every Arrow batch; batches of whole rows, one in memory at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,8 +68,9 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+        give_back()
 
-    return small_batches(df).mapInArrow(run, schema)
+    return small_batches(df, most).mapInArrow(run, schema)
 
 
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import small_batches, written
+from tidewater.llm.common import give_back, small_batches, written
 from tidewater.llm.wordhash import NON_WORD, U64, Words, blocks, mix
 
 BLOCK_WORDS = 400_000
@@ -184,7 +184,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_p
     is hit.  Repeated documents each get their row; an empty table gives none.
     """
     spark = docs.sparkSession
-    state = small_batches(docs).select(
+    state = small_batches(docs, "2m").select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<b:int,e:int,x:int,y:int>>").alias("spans"),
         F.array().cast("array<string>").alias("items"))
@@ -215,6 +215,7 @@ def _pass(sent: Broadcast, window: int, last: bool, max_percent: float, max_span
         for batch in batches:
             found = _scan(batch, _BUILT[tag])
             yield _digest(found, max_percent, max_span) if last else found
+        give_back()
 
     return run
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_arrow, written
+from tidewater.llm.common import give_back, map_arrow, written
 from tidewater.llm.wordhash import SPACE, U64, Words, blocks, mix, shingles
 
 PERMUTATIONS = 256
@@ -96,7 +96,7 @@ def signatures(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col:
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    return map_arrow(rows, fn, "doc_id long, text_key long, n long, key binary, sig binary")
+    return map_arrow(rows, fn, "doc_id long, text_key long, n long, key binary, sig binary", most="2m")
 
 
 def _fixed(column: pa.Array, width: int) -> np.ndarray:
@@ -200,6 +200,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 out.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([a, b, pa.array(out, pa.bool_())], names=["a", "b", "linked"])
+        recent.clear()
+        give_back()
 
     left = texts.select(F.col("node").alias("a"), F.col("key").alias("ka"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("key").alias("kb"), F.col("text").alias("tb"))
@@ -370,6 +372,8 @@ def _regions(members: DataFrame, texts: DataFrame, labels: DataFrame, done: Data
                 held.append((block.as_py(), node.as_py(), label.as_py(), full(key.as_py(), text.as_py())))
         if held:
             yield closed()
+        recent.clear()
+        give_back()
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small_batches, written
+from tidewater.llm.common import give_back, small_batches, written
 from tidewater.llm.tokens import ChunkedTokenizer
 
 GROUP_PIECES = 200_000
@@ -113,11 +113,12 @@ def _leaves(docs: DataFrame, tokenizer: str, capacity: int, slack: int, end_id:
                         held.append((doc, k // capacity, k, n, zlib.crc32(tokens[4 * k: 4 * (k + n)])))
                 if len(held) >= GROUP_PIECES:
                     yield packed()
-        encode.old = {}  # an idle worker keeps half of the cache
+        encode.forget()  # the worker stays, idle or for other stages
         if held:
             yield packed()
+        give_back()
 
-    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECE)
+    return small_batches(docs, "2m").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECE)
 
 
 def _merge(pieces: DataFrame, level: int, capacity: int, slack: int) -> DataFrame:

@@ -94,7 +94,7 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
                        docs[f"`{text_col}`"].cast("string").alias("text"))
     schema = T.StructType([rows.schema["row"], T.StructField("spans", T._parse_datatype_string(f"array<{_SPAN}>"))])
-    return map_arrow(rows, fn, schema)
+    return map_arrow(rows, fn, schema, most="2m")
 
 
 def ownership(spans: DataFrame, repository_col: str, owner_col: str) -> DataFrame:

@@ -125,6 +125,10 @@ class ChunkedTokenizer:
             self.old, self.young = known, {"": b""}
         return out
 
+    def forget(self) -> None:
+        """Empties the cache."""
+        self.young, self.old = {"": b""}, {}
+
 
 # Kinds of characters; white space has the largest numbers.
 _OTHER, _LETTER, _NUMBER, _MARK, _QUOTE, _SPACE, _LINE, _WHITE = range(8)

@@ -15,7 +15,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 BLOCK_BYTES = 1 << 20
-SPAN_BYTES = 1 << 20
+SPAN_BYTES = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
