@@ -1,12 +1,16 @@
 import datetime as dt
+import glob
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_SMALL
 from tidewater.operators import clean
 from tidewater.operators.latest import keep_latest
 from tidewater.operators.upsert import merge_upsert
-from tidewater.plans import facts
+from tidewater.plans import facts, layers
 
 
 def rows(df, *cols):
@@ -104,3 +108,41 @@ def test_rows_that_differ_in_one_column_alone_have_a_fixed_survivor(spark, flip)
               **{c: "x" for c in ("user_id", "product_name", "category", "unit_price", "item_subtotal", "currency")}} for b in ("b1", "b2")]
     first, second = (facts.transaction_items(spark.createDataFrame(rows).coalesce(1)).first().brand for rows in (items, items[::-1]))
     assert first == second
+
+
+def test_columns_that_settle_ties_may_end_the_order(spark):
+    rows = [("a", 1, 5, "z"), ("a", 1, 5, "b"), ("a", 1, 5, None), ("b", 2, 1, "q"), ("b", 2, 0, "r"), (None, None, 1, "s"), (None, None, 1, "k")]
+    df = spark.createDataFrame(rows, "k string, t int, v int, name string")
+    ways = [keep_latest(df, "k", "t", tie_breakers=["v"], settled_last=["name"], all_read=x) for x in (False, True)]
+    assert sorted(map(str, ways[0].collect())) == sorted(map(str, ways[1].collect()))
+    assert "Aggregate" not in ways[1]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landing_is_removed_and_its_shuffles_are_freed(spark, monkeypatch):
+    """What cleaning needs on its way does not lie beside the cleaned files, nor the landing step's shuffles beside the next one's."""
+    folders, landed, left = [], [], []
+    scratch, write, free = layers.scratch_dir, layers.write_cleaned, layers.free_shuffles
+
+    def freeing(*args):
+        landed.append(shuffle_files(spark) - before)
+        free(*args)
+
+    def writing(*args):
+        until = time.time() + 10
+        while shuffle_files(spark) & landed[0] and time.time() < until:
+            time.sleep(0.1)
+        left.append(shuffle_files(spark) & landed[0])
+        return write(*args)
+
+    monkeypatch.setattr(layers, "scratch_dir", lambda *args: folders.append(scratch(*args)) or folders[-1])
+    monkeypatch.setattr(layers, "free_shuffles", freeing)
+    monkeypatch.setattr(layers, "write_cleaned", writing)
+    before = shuffle_files(spark)
+    cleaned = layers.clean_topics(spark, SF_SMALL, ("transaction_events",))["transaction_events"]
+    assert spark.read.parquet(cleaned).count() > 0 and landed[0] and left == [set()]
+    assert [f for _, _, files in os.walk(folders[0].removeprefix("file:")) for f in files] == []
+
+
+def shuffle_files(spark) -> set:
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
