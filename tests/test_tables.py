@@ -262,3 +262,23 @@ def test_batches_of_inserts_are_not_grouped(spark):
         assert ("Aggregate" in got._jdf.queryExecution().optimizedPlan().toString()) == grouped
         assert got.select(F.max("v")).first()[0] == max(r[2][1] for r in feed)
     assert sorted(r.v for r in newest(spark.createDataFrame(later, kind), "k").collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("with_feed", [False, True])
+def test_what_is_staged_goes_when_it_is_in_the_table(spark, with_feed):
+    """No row of an applied batch stays staged, and the batch may still be repeated."""
+    t = scratch_dir(spark, "t_staged") + "/t"
+    options = {"feed": t + "-feed"} if with_feed else {}
+    for _ in range(2):
+        put(spark, t, 0, ("a", 1, D1), ("b", 1, D2), **options)
+    for _ in range(2):
+        put(spark, t, 1, ("a", 2, D1), ("c", 2, D3), **options)
+        assert state(spark, t) == [("a", 2, D1), ("b", 1, D2), ("c", 2, D3)]
+        assert sorted(T._children(spark, f"{t}-staged/batch={1:012d}")) == ["applied", "touched"]
+    if with_feed:
+        assert spark.read.parquet(t + "-feed").count() == 4
+    named = spark.createDataFrame([("a",)], "k string")
+    for _ in range(2):
+        T.replace_keys(spark.createDataFrame([("a", 7, D2)], SCHEMA), named, t + "k", "k", "day", 0)
+        assert state(spark, t + "k") == [("a", 7, D2)]
+        assert sorted(T._children(spark, f"{t}k-staged/batch={0:012d}")) == ["applied", "touched"]
